@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plazaflow.config import EventConfig
+from plazaflow.operators.dedup import distinct_join_keys
 
 # Fixed values of the timetable format.
 RUNS, ADDED, REMOVED = "1", "1", "2"
@@ -25,4 +26,5 @@ def active_services(
     today = calendar_dates.where(F.col("date") == day)
     added = today.where(F.col("exception_type") == ADDED).select("service_id")
     removed = today.where(F.col("exception_type") == REMOVED).select("service_id")
-    return weekly.union(added).distinct().join(removed, "service_id", "left_anti")
+    running = distinct_join_keys(weekly.union(added), "service_id")
+    return running.join(removed, "service_id", "left_anti")

@@ -22,6 +22,7 @@ from plazaflow.sources.lake import Lake
 
 MODEL_NAME = "delay_model"
 MIN_TRAINING_ROWS = 50
+ROWS_PER_TASK = 1000
 
 
 @dataclass(frozen=True)
@@ -52,7 +53,7 @@ def forecaster(settings: ForestSettings = ForestSettings()) -> Pipeline:
     )
 
 
-def errors(df: DataFrame, actual: str, predicted: str) -> tuple[Column, Column]:
+def errors(actual: str, predicted: str) -> tuple[Column, Column]:
     """Aggregates for the mean absolute and the root mean squared error, in seconds."""
     off = F.col(predicted) - F.col(actual)
     return (
@@ -63,15 +64,17 @@ def errors(df: DataFrame, actual: str, predicted: str) -> tuple[Column, Column]:
 
 def persistence_errors(validation: DataFrame) -> DataFrame:
     """One row: errors of forecasting that the previous slot's delay repeats itself."""
-    return validation.agg(*errors(validation, TARGET, "delay_lag_seconds"))
+    return validation.agg(*errors(TARGET, "delay_lag_seconds"))
 
 
-def check_sizes(split: TimeSplit) -> None:
-    """Training needs enough rows and validation at least one."""
-    if len(split.train.select(TARGET).take(MIN_TRAINING_ROWS)) < MIN_TRAINING_ROWS:
-        raise RuntimeError(f"training needs at least {MIN_TRAINING_ROWS} rows")
+def checked_size(split: TimeSplit) -> int:
+    """Rows to train on; training needs enough of them and validation at least one."""
+    rows = split.train.count()
+    if rows < MIN_TRAINING_ROWS:
+        raise RuntimeError(f"{rows} training rows; at least {MIN_TRAINING_ROWS} are needed")
     if split.validation.isEmpty():
         raise RuntimeError("no slot is left for validation")
+    return rows
 
 
 def score_report(model: PipelineModel, split: TimeSplit) -> DataFrame:
@@ -80,7 +83,7 @@ def score_report(model: PipelineModel, split: TimeSplit) -> DataFrame:
     def judged(part: str, df: DataFrame, predicted: str) -> DataFrame:
         return df.agg(
             F.lit(part).alias("part"),
-            *errors(df, TARGET, predicted),
+            *errors(TARGET, predicted),
             F.count("*").alias("num_rows"),
             F.count_distinct(CATEGORY).alias("num_lines"),
             F.min("slot_ts").alias("first_slot"),
@@ -99,8 +102,10 @@ def train(
 ) -> tuple[PipelineModel, DataFrame]:
     """Fits on the older slots; returns the model and its report against the newer ones."""
     split = temporal_split(features, train_share)
-    check_sizes(split)
-    model = forecaster(settings).fit(split.train)
+    # AQE packs the small feature table into few partitions; the trees need every core.
+    cores = features.sparkSession.sparkContext.defaultParallelism
+    partitions = max(1, min(cores, checked_size(split) // ROWS_PER_TASK))
+    model = forecaster(settings).fit(split.train.repartition(partitions, CATEGORY, "slot_ts"))
     return model, score_report(model, split)
 
 

@@ -53,8 +53,8 @@ def bike_stations(info: DataFrame, event: EventConfig) -> DataFrame:
         "p.capacity",
         *version,
     )
-    newest = [F.col(v).desc_nulls_last() for v in version]
-    return with_cell(keep_first(typed, ["station_id"], newest).drop(*version), event)
+    latest = keep_first(typed, ["station_id"], largest=version, join_side=True)
+    return with_cell(latest.drop(*version), event)
 
 
 def bike_availability(status: DataFrame, info: DataFrame, event: EventConfig) -> DataFrame:
@@ -71,7 +71,12 @@ def stop_delays(updates: DataFrame) -> DataFrame:
     stops = updates.select(
         F.from_json("payload_json", TRIP_UPDATE_JSON).alias("p"),
         F.timestamp_seconds(F.col("feed_timestamp").try_cast("bigint")).alias("feed_ts"),
-    ).select("p.trip.trip_id", "p.trip.route_id", "feed_ts", F.explode("p.stop_time_update").alias("s"))
+    ).select(
+        "p.trip.trip_id",
+        "p.trip.route_id",
+        "feed_ts",
+        F.explode("p.stop_time_update").alias("s"),
+    )
     delays = stops.select(
         "trip_id",
         "route_id",
@@ -79,9 +84,7 @@ def stop_delays(updates: DataFrame) -> DataFrame:
         F.coalesce("s.arrival.delay", "s.departure.delay").alias("delay_seconds"),
         "feed_ts",
     ).where(F.col("delay_seconds").isNotNull())
-    return keep_first(
-        delays, ["trip_id", "stop_id", "feed_ts"], [F.col("delay_seconds").desc_nulls_last()]
-    )
+    return keep_first(delays, ["trip_id", "stop_id", "feed_ts"], largest=["delay_seconds"])
 
 
 def stop_places(stops: DataFrame, event: EventConfig) -> DataFrame:
@@ -93,7 +96,7 @@ def stop_places(stops: DataFrame, event: EventConfig) -> DataFrame:
         F.col("stop_lat").try_cast("double").alias("lat"),
         F.col("stop_lon").try_cast("double").alias("lon"),
     )
-    return with_cell(keep_first(typed, ["stop_id"]), event)
+    return with_cell(keep_first(typed, ["stop_id"], join_side=True), event)
 
 
 def transit_delays(updates: DataFrame, stops: DataFrame, event: EventConfig) -> DataFrame:
@@ -125,8 +128,7 @@ def disruptions(features: DataFrame, event: EventConfig) -> DataFrame:
         "at.lon",
         "at.lat",
     )
-    newest = [F.col("published_ts").desc_nulls_last()]
-    return with_cell(keep_first(typed, ["disruption_id"], newest), event)
+    return with_cell(keep_first(typed, ["disruption_id"], largest=["published_ts"]), event)
 
 
 def scheduled_passes(stop_times: DataFrame) -> DataFrame:
@@ -140,7 +142,7 @@ def scheduled_passes(stop_times: DataFrame) -> DataFrame:
     return keep_first(
         timed.where(F.col("scheduled_hour").isNotNull()),
         ["trip_id", "stop_id", "stop_sequence"],
-        [F.col("hora_programada").asc()],
+        smallest=["hora_programada"],
     )
 
 

@@ -69,14 +69,20 @@ class Lake:
 
     def find(self, layer: str, table: str) -> DataFrame | None:
         """The table, or None where it was never written."""
+        if not self._folder_exists(self.path(layer, table)):
+            return None
         try:
             return self.read(layer, table)
-        except AnalysisException:
+        except AnalysisException:  # a folder without data files
             return None
 
     def exists(self, layer: str, table: str) -> bool:
         return self.find(layer, table) is not None
 
+    def _folder_exists(self, path: str) -> bool:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder)
+
     def register_views(self, layer: str, *tables: str) -> None:
         """Makes tables available to `spark.sql` under their own names."""
         for table in tables:
@@ -163,10 +169,9 @@ class Lake:
 
     def commits(self) -> DataFrame:
         """layer, table_name, num_versions of every table ever written."""
-        try:
-            log = self.spark.read.parquet(self.audit_path)
-        except AnalysisException:
+        if not self._folder_exists(self.audit_path):
             return self.spark.createDataFrame(
                 [], "layer string, table_name string, num_versions bigint"
             )
+        log = self.spark.read.parquet(self.audit_path)
         return log.groupBy("layer", "table_name").agg(F.count("*").alias("num_versions"))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from plazaflow.config import EventConfig
 from plazaflow.functions.geo import in_area
+from plazaflow.operators.dedup import distinct_join_keys
 from plazaflow.sources.contracts import OPTIONAL_TIMETABLE_FILES, TIMETABLE
 from plazaflow.sources.lake import Lake
 
@@ -55,10 +56,10 @@ def stops_in_area(stops: DataFrame, event: EventConfig) -> DataFrame:
 def referenced(df: DataFrame, by: DataFrame, key: str) -> DataFrame:
     """Rows of `df` whose key occurs in `by`.
 
-    The keys are made distinct first: that is done before the shuffle on every task, so a key
-    holding a large share of `by` travels once per task.
+    The keys are made distinct first, before the shuffle on every task, so a key holding a large
+    share of `by` travels once per task; a key holding a large share of `df` is split by AQE.
     """
-    return df.join(by.select(key).distinct(), key, "left_semi").select(*df.columns)
+    return df.join(distinct_join_keys(by, key), key, "left_semi").select(*df.columns)
 
 
 def cut_to_area(tables: Mapping[str, DataFrame], event: EventConfig) -> dict[str, DataFrame]:
