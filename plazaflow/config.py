@@ -97,8 +97,6 @@ def build_session(app_name: str = "plazaflow", master: str | None = None) -> Spa
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        # Row counts of a drained stream are summed over the progress of its batches.
-        .config("spark.sql.streaming.numRecentProgressUpdates", "10000")
     )
     if master:
         builder = builder.master(master)

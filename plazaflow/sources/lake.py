@@ -121,7 +121,8 @@ class Lake:
             writer = writer.partitionBy(*partition_by)
         writer.save(self.path(layer, table))
         rows = seen.get["rows"]
-        self.record(layer, table, mode, rows)
+        if rows or mode == "overwrite":
+            self.record(layer, table, mode, rows)
         return rows
 
     def append_stream(
@@ -133,27 +134,24 @@ class Lake:
     ) -> int:
         """Drains what is pending in a stream into bronze and stops; returns the rows added.
 
-        The checkpoint remembers the files already read, so each run appends only new ones, and
-        a run that died half-way is finished by the next without repeating rows.
+        The checkpoint remembers the files already read, so each run appends only new ones. A
+        batch that was cut off is written again by the next run, and a lost checkpoint means all
+        files are read again; silver keeps one row per key, so neither shows up beyond bronze.
         """
+        rows = 0
+
+        def append(batch: DataFrame, number: int) -> None:
+            nonlocal rows
+            rows += self._save(batch, "bronze", table, "append", ["ingest_date"])
+
         query = (
             with_provenance(stream, source)
-            .observe("ingest", F.count("*").alias("rows"))
-            .writeStream.format(self.fmt)
-            .outputMode("append")
+            .writeStream.foreachBatch(append)
             .option("checkpointLocation", self.checkpoint(checkpoint or table))
-            .partitionBy("ingest_date")
             .trigger(availableNow=True)
-            .start(self.path("bronze", table))
+            .start()
         )
         query.awaitTermination()
-        rows = sum(
-            p.observedMetrics["ingest"]["rows"]
-            for p in query.recentProgress
-            if "ingest" in p.observedMetrics
-        )
-        if rows:
-            self.record("bronze", table, "stream", rows)
         return rows
 
     # -- audit ---------------------------------------------------------------------------
