@@ -16,7 +16,6 @@ from plazaflow.plans.queries import QUERIES
 
 HEADLINE = (
     "feed_envelope_explode",
-    "geojson_points",
     "generated_mentions",
     "timetable_semijoin_cascade",
     "silver_bikes",
@@ -24,20 +23,15 @@ HEADLINE = (
     "silver_disruptions",
     "silver_supply",
     "silver_mentions",
-    "mobility_pressure",
     "line_reliability",
-    "disruptions_by_cell",
     "station_services",
     "transit_capacity",
     "csd_activity",
-    "k_anonymity_effect",
     "mobility_vs_activity",
     "training_features",
-    "scoring_features",
     "persistence_baseline",
     "category_examples",
     "duplicate_keys",
-    "top_delays",
     "stream_ingest",
     "model_metrics",
 )
@@ -59,6 +53,7 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -35,15 +35,8 @@ def pick(u: Column, values: Sequence) -> Column:
 
 
 def pick_weighted(u: Column, weights: Sequence[int]) -> Column:
-    """Index drawn in proportion to its weight; a zero weight is never drawn."""
-    target = u * sum(weights)
-    choice = F.lit(None).cast("int")
-    reached = sum(weights)
-    for index in reversed(range(len(weights))):
-        if weights[index]:
-            choice = F.when(target < reached, index).otherwise(choice)
-            reached -= weights[index]
-    return choice
+    """Index drawn in proportion to its whole-number weight; a zero weight is never drawn."""
+    return pick(u, [index for index, weight in enumerate(weights) for _ in range(weight)])
 
 
 def gauss_pair(u1: Column, u2: Column) -> tuple[Column, Column]:
@@ -53,6 +46,12 @@ def gauss_pair(u1: Column, u2: Column) -> tuple[Column, Column]:
     return radius * F.cos(angle), radius * F.sin(angle)
 
 
+def padded(number: Column, width: int) -> Column:
+    """Decimal text with leading zeros; longer numbers keep all their digits."""
+    text = number.cast("string")
+    return F.lpad(text, F.greatest(F.lit(width), F.length(text)), F.lit("0"))
+
+
 def pseudonym(user: Column, salt: str) -> Column:
     """First 16 hex digits of the salted SHA-256 of a user id."""
     return F.substring(F.sha2(F.concat(F.lit(f"{salt}:"), user.cast("string")), 256), 1, 16)

@@ -91,10 +91,11 @@ def representative_point(geometry: Column) -> Column:
     text = F.when(geometry["type"] == "Point", geometry["coordinates"]).when(
         geometry["type"] == "GeometryCollection", first_point["coordinates"]
     )
-    pair = F.from_json(text, T.ArrayType(T.DoubleType()))
+    # A point's coordinates are a flat list of numbers, so the text need not be parsed as JSON.
+    pair = F.split(F.btrim(text, F.lit("[] ")), ",")
     return F.struct(
-        F.try_element_at(pair, F.lit(1)).alias("lon"),
-        F.try_element_at(pair, F.lit(2)).alias("lat"),
+        F.try_element_at(pair, F.lit(1)).try_cast("double").alias("lon"),
+        F.try_element_at(pair, F.lit(2)).try_cast("double").alias("lat"),
     )
 
 

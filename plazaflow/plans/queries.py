@@ -442,9 +442,15 @@ def scoring_features(spark, folder):
     return feat.scoring_features(_reliability(spark, folder))
 
 
+def _features(spark, folder):
+    """Training features, kept because finding the cut and using it are two passes."""
+    features = feat.training_features(_reliability(spark, folder))
+    return features.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 @query
 def temporal_split(spark, folder):
-    features = feat.training_features(_reliability(spark, folder))
+    features = _features(spark, folder)
     split = feat.temporal_split(features)
 
     def part(name, df):
@@ -460,13 +466,12 @@ def temporal_split(spark, folder):
 
 @query
 def persistence_baseline(spark, folder):
-    features = feat.training_features(_reliability(spark, folder))
-    return forecast.persistence_errors(feat.temporal_split(features).validation)
+    split = feat.temporal_split(_features(spark, folder))
+    return forecast.persistence_errors(split.validation)
 
 
 def _trained(spark, folder):
-    features = feat.training_features(_reliability(spark, folder))
-    return forecast.train(features.persist(StorageLevel.MEMORY_AND_DISK))
+    return forecast.train(_features(spark, folder))
 
 
 @query
@@ -503,7 +508,7 @@ def lake_inventory(spark, folder):
 def lake_volume_report(spark, folder):
     lake = scratch_lake(spark, "volume")
     lake.replace_bronze(data.stops(spark, folder), "bronze_gtfs_static_stops", "real")
-    lake.replace(_supply(spark, folder).limit(0), "silver", "silver_transit_supply")
+    lake.replace(_supply(spark, folder).where(F.lit(False)), "silver", "silver_transit_supply")
     wanted = ("bronze_gtfs_static_stops", "silver_transit_supply", "gold_transit_capacity")
     return inventory.volume_report(lake, [BY_NAME[n] for n in wanted])
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plazaflow.config import EventConfig
-from plazaflow.functions.draws import pseudonym
+from plazaflow.functions.draws import padded, pseudonym
 
 SALT = "event-mentions"
 
@@ -44,7 +44,7 @@ def mentions(spark: SparkSession, folder: str) -> DataFrame:
     """events as landed mentions."""
     key = F.col("event_id")
     return load(spark, folder, "events").select(
-        F.format_string("men_%06d", key).alias("mention_id"),
+        F.concat(F.lit("men_"), padded(key, 6)).alias("mention_id"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("event_ts"),
         _lat(key).alias("lat"),
         _lon(key).alias("lon"),
@@ -178,7 +178,7 @@ def wide_stops(spark: SparkSession, folder: str) -> DataFrame:
 def stop_times(spark: SparkSession, folder: str) -> DataFrame:
     """lineitem as scheduled passes; hours reach 29, some arrivals and some whole times missing."""
     hour = (F.col("l_partkey") + F.col("l_linenumber")) % 30
-    time = F.format_string("%02d:%02d:00", hour, F.col("l_partkey") % 60)
+    time = F.concat(padded(hour, 2), F.lit(":"), padded(F.col("l_partkey") % 60, 2), F.lit(":00"))
     blank = F.lit("")
     return load(spark, folder, "lineitem").select(
         _text("l_orderkey").alias("trip_id"),
@@ -253,20 +253,25 @@ def calendar_dates(spark: SparkSession, folder: str, event: EventConfig) -> Data
 def _feature_json() -> Column:
     """orders as GeoJSON features in four geometry kinds; every 50th has no id."""
     key = F.col("o_orderkey")
-    here = F.format_string("[%s,%s]", _text(_lon(key)), _text(_lat(key)))
-    line = F.format_string("[%s,%s]", here, here)
+    here = F.concat(F.lit("["), _text(_lon(key)), F.lit(","), _text(_lat(key)), F.lit("]"))
+    line = F.concat(F.lit("["), here, F.lit(","), here, F.lit("]"))
+
+    def of(kind: str, coordinates: Column) -> Column:
+        return F.concat(F.lit(f'{{"type":"{kind}","coordinates":'), coordinates, F.lit("}"))
+
     geometry = (
-        F.when(key % 4 == 0, F.format_string('{"type":"Point","coordinates":%s}', here))
+        F.when(key % 4 == 0, of("Point", here))
         .when(
             key % 4 == 1,
-            F.format_string(
-                '{"type":"GeometryCollection","geometries":['
-                '{"type":"LineString","coordinates":%s},{"type":"Point","coordinates":%s}]}',
-                line,
-                here,
+            F.concat(
+                F.lit('{"type":"GeometryCollection","geometries":['),
+                of("LineString", line),
+                F.lit(","),
+                of("Point", here),
+                F.lit("]}"),
             ),
         )
-        .when(key % 4 == 2, F.format_string('{"type":"LineString","coordinates":%s}', line))
+        .when(key % 4 == 2, of("LineString", line))
         .otherwise(F.lit("null"))
     )
     fmt = "dd.MM.yyyy HH:mm"
@@ -284,7 +289,9 @@ def _feature_json() -> Column:
             ).alias("validity"),
         )
     )
-    return F.format_string('{"type":"Feature","properties":%s,"geometry":%s}', properties, geometry)
+    return F.concat(
+        F.lit('{"type":"Feature","properties":'), properties, F.lit(',"geometry":'), geometry, F.lit("}")
+    )
 
 
 def features(spark: SparkSession, folder: str) -> DataFrame:
@@ -343,7 +350,7 @@ def realtime_documents(spark: SparkSession, folder: str) -> DataFrame:
         F.col("event_type") == "view", F.lit("vehicle")
     )
     entity = F.concat(
-        F.format_string('{"id":"e%d","', key),
+        F.concat(F.lit('{"id":"e'), _text(key), F.lit('","')),
         F.coalesce(kind, F.lit("trip_update")),
         F.lit('":'),
         F.to_json(_trip_update()),

@@ -1,7 +1,8 @@
 """Landed feed documents to bronze rows.
 
 A document is one JSON file as the publisher served it. Documents are parsed by Spark: the
-envelope with an explicit schema, each element kept as the JSON text it was.
+envelope with an explicit schema, each element kept as JSON text. A document that is not JSON, or
+lacks the list its feed is about, gives no rows.
 """
 
 from __future__ import annotations
@@ -69,12 +70,8 @@ def trip_update_rows(documents: DataFrame) -> DataFrame:
         F.col("d.header.timestamp").alias("feed_timestamp"),
         F.explode("d.entity").alias("e"),
     )
-    return entities.where(F.col("e.trip_update").isNotNull()).select(
-        F.col("e.id").alias("entity_id"),
-        F.col("e.trip_update").alias("payload_json"),
-        "feed_timestamp",
-        "source_url",
-    )
+    named = entities.withColumns({"entity_id": F.col("e.id"), "payload_json": F.col("e.trip_update")})
+    return named.where(F.col("payload_json").isNotNull()).select(*TRIP_UPDATES.fieldNames())
 
 
 def feed_urls(discovery: DataFrame, feed: str, language: str = "en") -> DataFrame:
@@ -122,16 +119,3 @@ def ingest_feed(lake: Lake, feed: str) -> int:
         parse(stream_documents(lake.spark, lake.landing(feed))), table, source="real"
     )
 
-
-__all__ = [
-    "FEEDS",
-    "TRIP_UPDATES",
-    "disruption_rows",
-    "feed_urls",
-    "find_feed_url",
-    "ingest_feed",
-    "read_documents",
-    "station_rows",
-    "stream_documents",
-    "trip_update_rows",
-]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plazaflow.config import METRES_PER_DEGREE, EventConfig
@@ -10,6 +10,7 @@ from plazaflow.functions.draws import (
     below,
     digest,
     gauss_pair,
+    padded,
     pick,
     pick_weighted,
     pseudonym,
@@ -27,42 +28,44 @@ MEDIA_SHARE = 0.4
 
 def mentions_for(ids: DataFrame, event: EventConfig, number: str = "number") -> DataFrame:
     """One mention per row of `ids`; equal numbers always give equal mentions."""
-    key = F.col(number)
-    keyed = ids.select(
-        key.alias("n"),
-        digest(key, event.seed, "place").alias("d1"),
-        digest(key, event.seed, "time").alias("d2"),
-        digest(key, event.seed, "text").alias("d3"),
+    digests = {
+        name: digest(F.col(number), event.seed, name) for name in ("place", "time", "text")
+    }
+    # Draws become columns of their own first, so that none is computed more than once.
+    drawn = ids.select(F.col(number).alias("n"), *[d.alias(name) for name, d in digests.items()])
+    drawn = drawn.select(
+        "n",
+        below(uniform(F.col("place"), 0), len(event.route)).alias("place"),
+        *[uniform(F.col("place"), i).alias(c) for i, c in ((1, "r1"), (2, "a1"), (3, "platform"))],
+        *[uniform(F.col("time"), i).alias(c) for i, c in enumerate(("hour", "minute", "second", "lang"))],
+        *[uniform(F.col("text"), i).alias(c) for i, c in enumerate(("r2", "a2", "media", "user"))],
     )
-    d1, d2, d3 = F.col("d1"), F.col("d2"), F.col("d3")
 
-    place = pick(uniform(d1, 0), range(len(event.route)))
-    lat0 = F.element_at(F.array(*[F.lit(p[0]) for p in event.route]), place + 1)
-    lon0 = F.element_at(F.array(*[F.lit(p[1]) for p in event.route]), place + 1)
-    north, east = gauss_pair(uniform(d1, 1), uniform(d1, 2))
-    mood, _ = gauss_pair(uniform(d3, 0), uniform(d3, 1))
+    def at(axis: int) -> Column:
+        return F.element_at(F.array(*[F.lit(p[axis]) for p in event.route]), F.col("place") + 1)
 
-    moment = F.make_timestamp_ntz(
-        F.lit(event.day.year),
-        F.lit(event.day.month),
-        F.lit(event.day.day),
-        pick_weighted(uniform(d2, 0), event.hour_weights),
-        below(uniform(d2, 1), 60),
-        below(uniform(d2, 2), 60),
-    )
+    north, east = gauss_pair(F.col("r1"), F.col("a1"))
+    mood, _ = gauss_pair(F.col("r2"), F.col("a2"))
+    clock = [
+        pick_weighted(F.col("hour"), event.hour_weights),
+        below(F.col("minute"), 60),
+        below(F.col("second"), 60),
+    ]
     sentiment = F.greatest(
         F.lit(-1.0), F.least(F.lit(1.0), SENTIMENT_MEAN + SENTIMENT_SPREAD * mood)
     )
-    return keyed.select(
-        F.format_string("men_%06d", "n").alias("mention_id"),
-        F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss").alias("event_ts"),
-        F.round(lat0 + north * event.jitter_m / METRES_PER_DEGREE, 6).alias("lat"),
-        F.round(lon0 + east * event.jitter_m / event.metres_per_degree_lon, 6).alias("lon"),
-        pick(uniform(d1, 3), PLATFORMS).alias("platform"),
-        pick(uniform(d2, 3), LANGUAGES).alias("language"),
+    return drawn.select(
+        F.concat(F.lit("men_"), padded(F.col("n"), 6)).alias("mention_id"),
+        F.concat(
+            F.lit(f"{event.day.isoformat()}T"), F.concat_ws(":", *[padded(c, 2) for c in clock])
+        ).alias("event_ts"),
+        F.round(at(0) + north * event.jitter_m / METRES_PER_DEGREE, 6).alias("lat"),
+        F.round(at(1) + east * event.jitter_m / event.metres_per_degree_lon, 6).alias("lon"),
+        pick(F.col("platform"), PLATFORMS).alias("platform"),
+        pick(F.col("lang"), LANGUAGES).alias("language"),
         F.round(sentiment, 3).alias("sentiment"),
-        (uniform(d3, 2) < MEDIA_SHARE).alias("has_media"),
-        pseudonym(below(uniform(d3, 3), event.num_users), event.salt).alias("user_hash"),
+        (F.col("media") < MEDIA_SHARE).alias("has_media"),
+        pseudonym(below(F.col("user"), event.num_users), event.salt).alias("user_hash"),
     )
 
 
