@@ -121,10 +121,10 @@ BLOCKS = {
       {SERVICE} AS service_id FROM orders""",
     "line_rows": f"""
     SELECT {_text('n_nationkey')} AS route_id, n_name AS route_name,
-      CASE n_regionkey WHEN 0 THEN '700' WHEN 1 THEN '109' WHEN 2 THEN '900' WHEN 3 THEN '400'
-        ELSE '1501' END AS route_type,
-      CASE n_regionkey WHEN 0 THEN 'bus' WHEN 1 THEN 'sbahn' WHEN 2 THEN 'tram' WHEN 3 THEN 'ubahn'
-        ELSE 'otro' END AS transport_mode FROM nation""",
+      CASE n_regionkey WHEN 0 THEN '700' WHEN 1 THEN '109' WHEN 2 THEN '900'
+        WHEN 3 THEN '400' ELSE '1501' END AS route_type,
+      CASE n_regionkey WHEN 0 THEN 'bus' WHEN 1 THEN 'sbahn' WHEN 2 THEN 'tram'
+        WHEN 3 THEN 'ubahn' ELSE 'otro' END AS transport_mode FROM nation""",
     "services": f"SELECT DISTINCT {SERVICE} AS service_id, o_custkey % 40 AS n FROM orders",
     "active": """
     SELECT service_id FROM services
@@ -196,7 +196,8 @@ BLOCKS = {
     FROM reliability""",
     "lagged": """
     SELECT *, lag(slot_ts) OVER w AS previous_slot_ts,
-      lag(avg_delay_seconds) OVER w AS delay_lag_seconds, lag(pct_on_time) OVER w AS pct_on_time_lag,
+      lag(avg_delay_seconds) OVER w AS delay_lag_seconds,
+      lag(pct_on_time) OVER w AS pct_on_time_lag,
       lag(num_updates) OVER w AS num_updates_lag,
       (epoch(slot_ts) - epoch(previous_slot_ts)) / 3600e0 AS gap_hours
     FROM slots WINDOW w AS (PARTITION BY route_id ORDER BY slot_ts)""",
@@ -213,7 +214,9 @@ BLOCKS = {
     SELECT {_text('s_suppkey')} AS stop_id,
       CASE WHEN s_suppkey % 41 <> 0 THEN 52.40e0 + (s_suppkey * 7919 % 1000) / 4000e0 END AS lat,
       13.30e0 + (s_suppkey * 104729 % 1000) / 4000e0 AS lon FROM supplier""",
-    "near_stops": "SELECT * FROM wide_stop_rows WHERE lat BETWEEN {} AND {} AND lon BETWEEN {} AND {}".format(
+    "near_stops": """
+    SELECT * FROM wide_stop_rows
+    WHERE lat BETWEEN {} AND {} AND lon BETWEEN {} AND {}""".format(
         *[_num(v) for v in area_of_interest(EVENT)]
     ),
     "near_times": """
@@ -299,11 +302,11 @@ def _mentions_sql() -> str:
             " ".join(f"WHEN {i} THEN {x}" for i, x in enumerate(values)),
         )
 
-    reached, hours = 0, []
+    reached, hours, total = 0, [], sum(DEFAULT_HOUR_WEIGHTS)
     for hour, weight in enumerate(DEFAULT_HOUR_WEIGHTS):
         if weight:
             reached += weight
-            hours.append(f"WHEN {u('d2', 0)} * {sum(DEFAULT_HOUR_WEIGHTS)} < {reached} THEN {hour}")
+            hours.append(f"WHEN {u('d2', 0)} * {total} < {reached} THEN {hour}")
     two_pi = _num(2.0 * math.pi)
     r1 = f"sqrt(-2e0 * ln({u('d1', 1)}))"
     r3 = f"sqrt(-2e0 * ln({u('d3', 0)}))"
@@ -333,7 +336,8 @@ def _doc(key: str) -> str:
 def _errors(actual: str, predicted: str) -> str:
     off = f"({predicted} - {actual})"
     return (
-        f"round(avg(abs{off}), 2) AS mae_seconds, round(sqrt(avg({off} * {off})), 2) AS rmse_seconds"
+        f"round(avg(abs{off}), 2) AS mae_seconds,"
+        f" round(sqrt(avg({off} * {off})), 2) AS rmse_seconds"
     )
 
 
@@ -407,7 +411,8 @@ SELECTS = {
         WHERE valid_from < {NEXT_DAY} AND valid_to >= TIMESTAMP '{DAY}' AND h3_index IS NOT NULL
         GROUP BY h3_index""",
     "disruptions_open_ended": f"""SELECT h3_index, count(*) AS num_disruptions FROM disruptions_s
-        WHERE coalesce(valid_from < {NEXT_DAY}, true) AND coalesce(valid_to >= TIMESTAMP '{DAY}', true)
+        WHERE coalesce(valid_from < {NEXT_DAY}, true)
+          AND coalesce(valid_to >= TIMESTAMP '{DAY}', true)
           AND h3_index IS NOT NULL GROUP BY h3_index""",
     "station_services": f"SELECT {SERVICES} FROM station_lines",
     "transit_capacity": "SELECT * FROM capacity",
@@ -432,7 +437,8 @@ SELECTS = {
     "scoring_features": f"""SELECT route_id, {_day('ahead')} AS service_date,
         {_time('ahead')} AS slot_ts, CAST(hour(ahead) AS INT) AS hour_of_day,
         CAST(dayofweek(ahead) + 1 AS INT) AS day_of_week,
-        round(avg_delay_seconds, 6) AS delay_lag_seconds, round(pct_on_time, 6) AS pct_on_time_lag,
+        round(avg_delay_seconds, 6) AS delay_lag_seconds,
+        round(pct_on_time, 6) AS pct_on_time_lag,
         num_updates AS num_updates_lag, 1e0 AS gap_hours
         FROM (SELECT *, slot_ts + INTERVAL 1 HOUR AS ahead FROM slots
               QUALIFY row_number() OVER (PARTITION BY route_id ORDER BY slot_ts DESC) = 1)""",
@@ -459,7 +465,8 @@ SELECTS = {
         GROUP BY 1""",
     "numeric_profile": """SELECT count(*) AS num_rows,
         count(DISTINCT (service_date, hour_of_day)) AS num_distinct,
-        round(min(avg_delay_seconds), 6) AS min_value, round(max(avg_delay_seconds), 6) AS max_value,
+        round(min(avg_delay_seconds), 6) AS min_value,
+        round(max(avg_delay_seconds), 6) AS max_value,
         round(avg(avg_delay_seconds), 6) AS avg_value FROM reliability""",
     "category_examples": """SELECT p_brand, count(*) AS num_rows,
         array_to_string(list_slice(list_sort(list(DISTINCT p_name)), 1, 5), ',') AS examples

@@ -518,10 +518,9 @@ def lake_jobs(spark, folder):
     """Bronze tables written, then the silver and gold jobs, then the last table they build."""
     lake, event = scratch_lake(spark, "jobs"), event_of(spark)
     lake.append_bronze(data.station_status(spark, folder), "bronze_nextbike_status", "real")
+    latest = data.station_information(spark, folder).where("ingest_ts > timestamp_seconds(0)")
     lake.append_bronze(
-        data.station_information(spark, folder).where("ingest_ts > timestamp_seconds(0)").drop("ingest_ts"),
-        "bronze_nextbike_station_information",
-        "real",
+        latest.drop("ingest_ts"), "bronze_nextbike_station_information", "real"
     )
     lake.append_bronze(data.trip_updates(spark, folder), "bronze_gtfs_tripupdates", "real")
     lake.append_bronze(data.features(spark, folder), "bronze_viz_disruptions", "real")

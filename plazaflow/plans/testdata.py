@@ -49,9 +49,7 @@ def mentions(spark: SparkSession, folder: str) -> DataFrame:
         _lat(key).alias("lat"),
         _lon(key).alias("lon"),
         F.col("event_type").alias("platform"),
-        F.element_at(F.array(F.lit("de"), F.lit("en"), F.lit("pl")), (key % 3 + 1).cast("int")).alias(
-            "language"
-        ),
+        F.when(key % 3 == 0, "de").when(key % 3 == 1, "en").otherwise("pl").alias("language"),
         # Sixty-fourths are exact in binary, so means do not depend on the order of addition.
         (_k() / F.lit(64.0) - F.lit(1.0)).alias("sentiment"),
         (key % 5 < 2).alias("has_media"),
@@ -190,7 +188,9 @@ def stop_times(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _service() -> Column:
-    return F.concat(F.substring("o_orderpriority", 1, 1), F.lit("_"), _text(F.col("o_custkey") % 40))
+    return F.concat(
+        F.substring("o_orderpriority", 1, 1), F.lit("_"), _text(F.col("o_custkey") % 40)
+    )
 
 
 def trips(spark: SparkSession, folder: str) -> DataFrame:
@@ -276,7 +276,8 @@ def _feature_json() -> Column:
     )
     fmt = "dd.MM.yyyy HH:mm"
     start = F.date_format("o_orderdate", fmt)
-    until = F.date_format(F.date_add(F.to_date("o_orderdate"), (F.col("o_custkey") % 60).cast("int")), fmt)
+    days = (F.col("o_custkey") % 60).cast("int")
+    until = F.date_format(F.date_add(F.to_date("o_orderdate"), days), fmt)
     properties = F.to_json(
         F.struct(
             F.when(key % 50 != 0, F.concat(F.lit("D"), _text(key))).alias("id"),
@@ -290,7 +291,11 @@ def _feature_json() -> Column:
         )
     )
     return F.concat(
-        F.lit('{"type":"Feature","properties":'), properties, F.lit(',"geometry":'), geometry, F.lit("}")
+        F.lit('{"type":"Feature","properties":'),
+        properties,
+        F.lit(',"geometry":'),
+        geometry,
+        F.lit("}"),
     )
 
 

@@ -70,7 +70,9 @@ def trip_update_rows(documents: DataFrame) -> DataFrame:
         F.col("d.header.timestamp").alias("feed_timestamp"),
         F.explode("d.entity").alias("e"),
     )
-    named = entities.withColumns({"entity_id": F.col("e.id"), "payload_json": F.col("e.trip_update")})
+    named = entities.withColumns(
+        {"entity_id": F.col("e.id"), "payload_json": F.col("e.trip_update")}
+    )
     return named.where(F.col("payload_json").isNotNull()).select(*TRIP_UPDATES.fieldNames())
 
 

@@ -33,16 +33,22 @@ def mentions_for(ids: DataFrame, event: EventConfig, number: str = "number") ->
     }
     # Draws become columns of their own first, so that none is computed more than once.
     drawn = ids.select(F.col(number).alias("n"), *[d.alias(name) for name, d in digests.items()])
+    draws = {
+        "place": ("stop", "r1", "a1", "platform"),
+        "time": ("hour", "minute", "second", "language"),
+        "text": ("r2", "a2", "media", "user"),
+    }
     drawn = drawn.select(
         "n",
-        below(uniform(F.col("place"), 0), len(event.route)).alias("place"),
-        *[uniform(F.col("place"), i).alias(c) for i, c in ((1, "r1"), (2, "a1"), (3, "platform"))],
-        *[uniform(F.col("time"), i).alias(c) for i, c in enumerate(("hour", "minute", "second", "lang"))],
-        *[uniform(F.col("text"), i).alias(c) for i, c in enumerate(("r2", "a2", "media", "user"))],
+        *[
+            uniform(F.col(name), part).alias(draw)
+            for name, parts in draws.items()
+            for part, draw in enumerate(parts)
+        ],
     )
 
     def at(axis: int) -> Column:
-        return F.element_at(F.array(*[F.lit(p[axis]) for p in event.route]), F.col("place") + 1)
+        return pick(F.col("stop"), [point[axis] for point in event.route])
 
     north, east = gauss_pair(F.col("r1"), F.col("a1"))
     mood, _ = gauss_pair(F.col("r2"), F.col("a2"))
@@ -62,7 +68,7 @@ def mentions_for(ids: DataFrame, event: EventConfig, number: str = "number") ->
         F.round(at(0) + north * event.jitter_m / METRES_PER_DEGREE, 6).alias("lat"),
         F.round(at(1) + east * event.jitter_m / event.metres_per_degree_lon, 6).alias("lon"),
         pick(F.col("platform"), PLATFORMS).alias("platform"),
-        pick(F.col("lang"), LANGUAGES).alias("language"),
+        pick(F.col("language"), LANGUAGES).alias("language"),
         F.round(sentiment, 3).alias("sentiment"),
         (F.col("media") < MEDIA_SHARE).alias("has_media"),
         pseudonym(below(F.col("user"), event.num_users), event.salt).alias("user_hash"),
