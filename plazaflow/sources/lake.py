@@ -79,9 +79,28 @@ class Lake:
     def exists(self, layer: str, table: str) -> bool:
         return self.find(layer, table) is not None
 
-    def _folder_exists(self, path: str) -> bool:
+    def _folder(self, path: str):
+        """A path and its file system, local or shared."""
         folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder)
+        return folder, folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _folder_exists(self, path: str) -> bool:
+        folder, files = self._folder(path)
+        return files.exists(folder)
+
+    def _reads(self, df: DataFrame, path: str) -> bool:
+        """Whether a plan scans a folder; looks at the scans' roots, not at their many files."""
+        folder, files = self._folder(path)
+        target = files.makeQualified(folder).toString()
+        leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+        for leaf in (leaves.apply(i) for i in range(leaves.size())):
+            if leaf.getClass().getSimpleName() != "LogicalRelation":
+                continue
+            relation = leaf.relation()
+            if relation.getClass().getSimpleName() == "HadoopFsRelation":
+                if target in relation.location().rootPaths().mkString("\n").split("\n"):
+                    return True
+        return False
 
     def register_views(self, layer: str, *tables: str) -> None:
         """Makes tables available to `spark.sql` under their own names."""
@@ -100,6 +119,9 @@ class Lake:
 
     def replace(self, df: DataFrame, layer: str, table: str) -> int:
         """Rebuilds a silver or gold table. The plan must not read the table it replaces."""
+        if self.fmt != "delta" and self._reads(df, self.path(layer, table)):
+            # Spark would delete the files first and find them missing afterwards.
+            raise ValueError(f"{table} cannot be rebuilt from itself")
         return self._save(df, layer, table, "overwrite")
 
     def _save(

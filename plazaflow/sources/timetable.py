@@ -24,11 +24,11 @@ def read_timetable_file(spark: SparkSession, folder: str, name: str) -> DataFram
     """One timetable text file as strings, its columns taken by header name.
 
     Columns the file lacks are null. A missing optional file is an empty table; a missing
-    required one is an error.
+    required one is an error, and so are parts whose columns come in different orders.
     """
     wanted = TIMETABLE[name]
     try:
-        raw = spark.read.option("header", True).csv(f"{folder}/{name}.txt")
+        raw = spark.read.csv(f"{folder}/{name}.txt", header=True, enforceSchema=False)
     except AnalysisException:
         if name not in OPTIONAL_TIMETABLE_FILES:
             raise

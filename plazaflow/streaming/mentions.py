@@ -7,18 +7,19 @@ from pyspark.sql import DataFrame, SparkSession
 from plazaflow.sources.contracts import MENTIONS
 from plazaflow.sources.lake import Lake
 
+# A backlog is drained in batches of this many files, so a failure repeats one batch at most.
+FILES_PER_BATCH = 10_000
+
 
 def read_mentions_stream(
-    spark: SparkSession, folder: str, files_per_batch: int | None = None
+    spark: SparkSession, folder: str, files_per_batch: int = FILES_PER_BATCH
 ) -> DataFrame:
     """Stream of JSON lines files; a field that does not parse is null, its row is kept."""
     reader = spark.readStream.schema(MENTIONS)
-    if files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", str(files_per_batch))
-    return reader.json(folder)
+    return reader.option("maxFilesPerTrigger", str(files_per_batch)).json(folder)
 
 
-def ingest_mentions(lake: Lake, files_per_batch: int | None = None) -> int:
+def ingest_mentions(lake: Lake, files_per_batch: int = FILES_PER_BATCH) -> int:
     """Appends the mentions landed since the last run; returns how many."""
     stream = read_mentions_stream(lake.spark, lake.landing("mentions"), files_per_batch)
     return lake.append_stream(stream, "bronze_csd_mentions", source="synthetic")

@@ -53,6 +53,16 @@ def test_silver_and_gold_are_rebuilt(spark, lake):
     assert rows(lake.read("gold", "t")) == [(0,), (1,)]
 
 
+def test_a_table_is_not_rebuilt_from_itself(spark, lake):
+    lake.replace(numbers(spark, 3), "gold", "t")
+    lake.replace(numbers(spark, 3), "gold", "t2")
+    same = lake.read("gold", "t2").union(lake.read("gold", "t").where("n > 1"))
+    with pytest.raises(ValueError, match="itself"):
+        lake.replace(same, "gold", "t")
+    assert lake.read("gold", "t").count() == 3
+    assert lake.replace(lake.read("gold", "t"), "gold", "t2") == 3
+
+
 def test_an_empty_table_can_be_written_and_read(spark, lake):
     assert lake.replace(numbers(spark, 0), "silver", "t") == 0
     assert lake.read("silver", "t").count() == 0

@@ -30,6 +30,18 @@ def test_a_byte_order_mark_does_not_hide_the_first_column(spark, tmp_path):
     assert rows(out, "route_id", "route_type") == [("r", "700")]
 
 
+def test_parts_must_agree_on_their_columns(spark, tmp_path):
+    write(tmp_path / "stops.txt", "a", "stop_id,stop_name\n1,A\n", bom=True)
+    write(tmp_path / "stops.txt", "b", "stop_id,stop_name\n2,B\n", bom=True)
+    read = lambda: rows(
+        timetable.read_timetable_file(spark, str(tmp_path), "stops"), "stop_id", "stop_name"
+    )
+    assert read() == [("1", "A"), ("2", "B")]
+    write(tmp_path / "stops.txt", "c", "stop_name,stop_id\nC,3\n")
+    with pytest.raises(Exception, match="header|FAILED_READ_FILE"):
+        read()
+
+
 def test_optional_files_may_be_missing_and_others_not(spark, tmp_path):
     assert timetable.read_timetable_file(spark, str(tmp_path), "calendar").count() == 0
     with pytest.raises(AnalysisException):
