@@ -92,6 +92,16 @@ def test_from_landed_files_to_the_forecast(spark, lake, tmp_path):
     assert metrics.where("num_delta_versions = 0").count() == 0
 
 
+def test_command_line(spark, lake, capsys):
+    jobs.main([lake.root, "stream", "--day", "2026-09-21"])
+    assert capsys.readouterr().out.strip() == "{'landed': 2000, 'ingested': 2000}"
+    jobs.main([lake.root, "inventory"])
+    metrics = lake.read("gold", "gold_pipeline_metrics")
+    assert rows(metrics, "table_name", "num_rows") == [("bronze_csd_mentions", 2000)]
+    days = lake.read("bronze", "bronze_csd_mentions").where("event_ts like '2026-09-21T%'")
+    assert days.count() == 2000
+
+
 def test_a_failing_table_does_not_stop_the_others(spark, lake):
     jobs.stream_job(lake, EVENT, batches=1, per_batch=50)
     done = jobs.silver_job(lake, EVENT)

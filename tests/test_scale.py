@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from plazaflow.operators import gold, silver
+from plazaflow.operators import gold, profile, silver
 from plazaflow.plans.queries import QUERIES
 from plazaflow.sources import timetable
 
@@ -153,6 +153,22 @@ def test_plans_stay_in_the_jvm_and_have_no_cross_joins(spark, name):
         assert slow not in plan
 
 
+def test_examples_are_cut_before_the_shuffle(spark):
+    """A category with most of the examples sends n of them per task."""
+    df = spark.range(0, 50_000, 1, 8).select(
+        F.when(F.col("id") % 3 > 0, "large").otherwise("small").alias("mode"),
+        F.format_string("%06d", F.col("id")).alias("name"),
+    )
+    plan, result = ran(profile.category_examples(df, "mode", "name", 3))
+    assert sorted(tuple(r) for r in result) == [
+        ("large", 33_333, ["000001", "000002", "000004"]),
+        ("small", 16_667, ["000000", "000003", "000006"]),
+    ]
+    final = plan.split("== Initial Plan ==")[0]
+    cut = final.split("WindowGroupLimit [mode")
+    assert len(cut) == 3 and "Exchange hashpartitioning(mode" in cut[1]
+
+
 def test_pressure_joins_without_another_shuffle(spark, event):
     """Both sides are aggregated on the join key: two shuffles, none for the join."""
     bikes = spark.createDataFrame(
