@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plazaflow.llm import decontaminate
+from plazaflow.llm import bpe, decontaminate
 from plazaflow.llm.tables import load
 
 
@@ -13,6 +14,20 @@ def hex_digest(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    docs = load(spark, folder, "documents").select("doc_id", "text")
+    ids = bpe.encode(docs, RANKS, public_tokenizers.PATTERN).drop("text")
+    return bpe.decode(ids, RANKS).select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        hex_digest(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
+        hex_digest(F.col("decoded")).alias("decoded_sha256"),
+    )
+
+
 def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     docs = load(spark, folder, "documents").select("doc_id", "text")
     hits = decontaminate.marked(docs, load(spark, folder, "benchmark"))
@@ -28,5 +43,6 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_byte_bpe": op1_byte_bpe,
     "op10_decontaminate": op10_decontaminate,
 }
