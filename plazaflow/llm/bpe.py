@@ -23,6 +23,7 @@ need no care. A text of any length is held in one task, with its ids.
 from __future__ import annotations
 
 import base64
+import hashlib
 import re
 from array import array
 from collections.abc import Iterator
@@ -30,7 +31,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Most transitions, stretches and pairs kept by one task.
@@ -267,16 +269,22 @@ class Utf8Stream:
         return rest
 
 
-_kept: dict[tuple[int, str], Encoder] = {}
+_kept: dict[str, Encoder] = {}
 
 
-def encoder_of(shared, pattern: str) -> Encoder:
+def encoder_of(shared, pattern: str, name: str) -> Encoder:
     """The task's encoder for broadcast ranks; later tasks of a worker find it filled."""
-    key = shared.id, pattern
-    if key not in _kept:
+    if name not in _kept:
         _kept.clear()
-        _kept[key] = Encoder(shared.value, pattern)
-    return _kept[key]
+        _kept[name] = Encoder(shared.value, pattern)
+    return _kept[name]
+
+
+def share_ranks(spark: SparkSession, path: str, pattern: str = "") -> tuple[Broadcast, str]:
+    """The ranks as a broadcast, and a name that only the same ranks and pattern have."""
+    ranks = read_ranks(path)
+    name = hashlib.sha256(repr((sorted(ranks.items()), pattern)).encode()).hexdigest()
+    return spark.sparkContext.broadcast(ranks), name
 
 
 def encode(
@@ -286,10 +294,10 @@ def encode(
     column named `ids_col` is replaced. The rank file is read by the driver and broadcast; a
     vocabulary does not grow with the data."""
     docs = docs.drop(ids_col)
-    shared = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
+    shared, name = share_ranks(docs.sparkSession, ranks_path, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(shared, pattern)
+        encoder = encoder_of(shared, pattern, name)
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("_text"))
             found = [encoder.encode(x.as_py()) for x in texts]
@@ -311,7 +319,7 @@ def decode(
 ) -> DataFrame:
     """All columns of `docs` and the text that the ids stand for."""
     docs = docs.drop(text_col)
-    shared = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
+    shared, _ = share_ranks(docs.sparkSession, ranks_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = {v: k for k, v in shared.value.items()}
