@@ -8,6 +8,29 @@ LOWERED = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.a
 SPACED_WORDS = r"'[^\x20\x09-\x0D]+'"
 PLAIN_WORDS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 
+OP8 = f"""
+WITH RECURSIVE doc AS (
+    SELECT doc_id, regexp_extract_all({LOWERED}, {SPACED_WORDS}) AS w FROM documents
+), shingle AS (
+    SELECT DISTINCT doc_id, array_to_string(w[p:p + 4], ' ') AS s
+    FROM doc, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS t(p) WHERE len(w) > 0
+), size AS (
+    SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id
+), link AS (
+    SELECT a.doc_id AS a, b.doc_id AS b
+    FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id
+    JOIN size m ON m.doc_id = a.doc_id JOIN size n ON n.doc_id = b.doc_id
+    GROUP BY a.doc_id, b.doc_id, m.n, n.n
+    HAVING 100 * count(*) >= 80 * (m.n + n.n - count(*))
+), reach AS (
+    SELECT doc_id, doc_id AS other FROM doc
+    UNION
+    SELECT r.doc_id, l.b FROM reach r JOIN link l ON l.a = r.other
+)
+SELECT r.doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, min(other) AS component_id
+FROM reach r LEFT JOIN size USING (doc_id) GROUP BY r.doc_id
+"""
+
 OP10 = f"""
 WITH item AS (
     SELECT item_id, regexp_extract_all({LOWERED}, {PLAIN_WORDS}) AS w FROM benchmark
@@ -34,5 +57,6 @@ FROM doc LEFT JOIN cover USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
 ORACLES = {
+    "op8_ngram_jaccard": OP8,
     "op10_decontaminate": OP10,
 }

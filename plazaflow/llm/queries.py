@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plazaflow.llm import bpe, decontaminate
+from plazaflow.llm import bpe, decontaminate, jaccard
 from plazaflow.llm.tables import load
 
 
@@ -28,6 +28,10 @@ def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.components(load(spark, folder, "documents"))
+
+
 def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     docs = load(spark, folder, "documents").select("doc_id", "text")
     hits = decontaminate.marked(docs, load(spark, folder, "benchmark"))
@@ -44,5 +48,6 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op8_ngram_jaccard": op8_ngram_jaccard,
     "op10_decontaminate": op10_decontaminate,
 }
