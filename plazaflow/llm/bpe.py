@@ -36,9 +36,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Most transitions, stretches and pairs kept by one task.
-MAX_TRANSITIONS = 600_000
-MAX_STRETCHES = 300_000
-MAX_PAIRS = 500_000
+MAX_TRANSITIONS = 500_000
+MAX_STRETCHES = 250_000
+MAX_PAIRS = 400_000
 LONGEST_STRETCH = 64
 
 BETWEEN_WORDS = re.compile(r"(?<=\S) (?=\S)")
@@ -287,31 +287,53 @@ def share_ranks(spark: SparkSession, path: str, pattern: str = "") -> tuple[Broa
     return spark.sparkContext.broadcast(ranks), name
 
 
+def _text_of(ids: list[int], tokens: dict[int, bytes]) -> str:
+    stream = Utf8Stream()
+    parts = [
+        stream.feed(b"".join(map(tokens.__getitem__, ids[i : i + 4096])))
+        for i in range(0, len(ids), 4096)
+    ]
+    return "".join(parts) + stream.finish()
+
+
 def encode(
-    docs: DataFrame, ranks_path: str, pattern: str, text_col: str = "text", ids_col: str = "ids"
+    docs: DataFrame,
+    ranks_path: str,
+    pattern: str,
+    text_col: str = "text",
+    ids_col: str = "ids",
+    decoded_col: str | None = None,
 ) -> DataFrame:
-    """All columns of `docs` and the token ids of the whole text, without special tokens. A
-    column named `ids_col` is replaced. The rank file is read by the driver and broadcast; a
-    vocabulary does not grow with the data."""
-    docs = docs.drop(ids_col)
+    """All columns of `docs` and the token ids of the whole text, without special tokens. With
+    `decoded_col`, also what the ids decode to, in the same task. Columns of these names are
+    replaced. The rank file is read by the driver and broadcast; a vocabulary does not grow with
+    the data."""
+    docs = docs.drop(ids_col, *([decoded_col] if decoded_col else []))
     shared, name = share_ranks(docs.sparkSession, ranks_path, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(shared, pattern, name)
+        tokens = encoder.transducer.bytes_of
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("_text"))
             found = [encoder.encode(x.as_py()) for x in texts]
             ends = np.cumsum([0, *(len(x) // 4 for x in found)])
             if ends[-1] > np.iinfo(np.int32).max:
-                raise ValueError("too many ids in a batch; lower spark.sql.execution.arrow.maxRecordsPerBatch")
+                raise ValueError(
+                    "too many ids in a batch; lower spark.sql.execution.arrow.maxRecordsPerBatch"
+                )
             ids = pa.ListArray.from_arrays(
                 pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), np.int32))
             )
-            yield batch.drop_columns(["_text"]).append_column(ids_col, ids)
+            out = batch.drop_columns(["_text"]).append_column(ids_col, ids)
+            if decoded_col:
+                texts = [_text_of(np.frombuffer(x, np.int32).tolist(), tokens) for x in found]
+                out = out.append_column(decoded_col, pa.array(texts, pa.string()))
+            yield out
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    given = docs.withColumn("_text", F.col(text_col).cast("string"))
-    return given.mapInArrow(run, f"{schema}, `{ids_col}` array<int>")
+    schema += f", `{ids_col}` array<int>" + (f", `{decoded_col}` string" if decoded_col else "")
+    return docs.withColumn("_text", F.col(text_col).cast("string")).mapInArrow(run, schema)
 
 
 def decode(
@@ -325,15 +347,7 @@ def decode(
         tokens = {v: k for k, v in shared.value.items()}
         for batch in batches:
             ids = batch.column(batch.schema.get_field_index(ids_col))
-            texts = []
-            for x in ids:
-                stream = Utf8Stream()
-                own = x.values.to_numpy(zero_copy_only=False).tolist() if x.is_valid else []
-                parts = [
-                    stream.feed(b"".join(map(tokens.__getitem__, own[i : i + 4096])))
-                    for i in range(0, len(own), 4096)
-                ]
-                texts.append("".join(parts) + stream.finish())
+            texts = [_text_of(x.as_py() or [], tokens) for x in ids]
             yield batch.append_column(text_col, pa.array(texts, pa.string()))
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)

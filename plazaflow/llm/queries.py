@@ -19,8 +19,8 @@ RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = load(spark, folder, "documents").select("doc_id", "text")
-    ids = bpe.encode(docs, RANKS, public_tokenizers.PATTERN).drop("text")
-    return bpe.decode(ids, RANKS).select(
+    ids = bpe.encode(docs, RANKS, public_tokenizers.PATTERN, decoded_col="decoded")
+    return ids.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         hex_digest(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
