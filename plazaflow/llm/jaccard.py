@@ -31,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plazaflow.llm.components import connected
@@ -40,7 +40,7 @@ from plazaflow.llm.tables import settled
 
 SHINGLE = 5
 PERCENT = 80
-BITS = 4096
+BITS = 2048
 FANOUT = 8
 BLOCK = 2048
 # Shingles are taken as frequent from this count on within so many shingles of one task; the
@@ -48,6 +48,8 @@ BLOCK = 2048
 COUNTED_AT_ONCE = 4_000_000
 FREQUENT = 4
 MAX_ORDERED = 1 << 18
+# Ids that a semi-join may broadcast.
+MAX_BROADCAST = 1_000_000
 
 SHORT = np.uint64(0x5851F42D4C957F2D)
 
@@ -59,7 +61,8 @@ def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
         for i in range(run.n):
             a, b = run.bounds[i], run.bounds[i + 1]
             if b - a >= SHINGLE:
-                yield np.unique(hashes[a : b - SHINGLE + 1])
+                own = np.sort(hashes[a : b - SHINGLE + 1])
+                yield own[np.concatenate(([True], own[1:] != own[:-1]))]
             elif b > a:
                 places = np.arange(1, b - a + 1, dtype=np.uint64) * SHORT
                 whole = mix(run.hash[a:b] ^ places).sum(dtype=np.uint64, keepdims=True)
@@ -88,30 +91,31 @@ def first_shingles(shingles: np.ndarray, order: tuple[np.ndarray, np.ndarray]) -
 
 
 def _classes(docs: DataFrame) -> DataFrame:
-    """Rows with `key` null: id, set size and class of each text. Others: a shingle and how many
-    texts of a task hold it, if that is often."""
+    """Rows with `key` null: id, set size, class and bitmap of each text. Others: a shingle and how
+    many texts of a task hold it, if that is often."""
 
     def frequent(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         values, counts = np.unique(np.concatenate(parts), return_counts=True)
         return values[counts >= FREQUENT], counts[counts >= FREQUENT]
 
-    def batch_of(ids, sizes, classes, keys, counts) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [ids, sizes, classes, keys, counts], ["id", "n", "class", "key", "count"]
-        )
+    def batch_of(*columns) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(list(columns), ["id", "n", "class", "bits", "key", "count"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def counted() -> Iterator[pa.RecordBatch]:
             values, counts = frequent(waiting)
             empty = pa.nulls(len(values), pa.int64())
-            yield batch_of(empty, empty, empty, pa.array(signed(values)), pa.array(counts, pa.int64()))
+            bits = pa.nulls(len(values), pa.binary())
+            keys, counts = pa.array(signed(values)), pa.array(counts, pa.int64())
+            yield batch_of(empty, empty, empty, bits, keys, counts)
 
         waiting, size = [], 0
         for batch in batches:
-            sizes, classes = [], []
+            sizes, classes, bits = [], [], []
             for shingles in shingle_sets(batch.column(1)):
                 sizes.append(len(shingles))
                 classes.append(digest(shingles) if len(shingles) else None)
+                bits.append(bitmap(shingles).tobytes())
                 waiting.append(shingles)
                 size += len(shingles)
                 if size >= COUNTED_AT_ONCE:
@@ -119,12 +123,18 @@ def _classes(docs: DataFrame) -> DataFrame:
                     waiting, size = [], 0
             none = pa.nulls(len(sizes), pa.int64())
             yield batch_of(
-                batch.column(0), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()), none, none
+                batch.column(0),
+                pa.array(sizes, pa.int64()),
+                pa.array(classes, pa.int64()),
+                pa.array(bits, pa.binary()),
+                none,
+                none,
             )
         if waiting:
             yield from counted()
 
-    return docs.mapInArrow(run, "id bigint, n bigint, class bigint, key bigint, count bigint")
+    schema = "id bigint, n bigint, class bigint, bits binary, key bigint, count bigint"
+    return docs.mapInArrow(run, schema)
 
 
 def _order(classes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -169,35 +179,58 @@ def _postings(docs: DataFrame, shared) -> DataFrame:
     return docs.select("id", "text").mapInArrow(run, "key bigint, class bigint")
 
 
-def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Class, set size and one text of each class in `wanted`."""
+def _texts(docs: DataFrame, rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """One text of each class in `wanted`. Their ids are broadcast while they are few; else the
+    texts are shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = set()
         for batch in batches:
-            names, sizes, fresh = [], [], []
-            for shingles in shingle_sets(batch.column(1)):
-                name = digest(shingles) if len(shingles) else None
-                fresh.append(name is not None and name not in seen)
-                seen.add(name)
-                names.append(name)
-                sizes.append(len(shingles))
-            rows = pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.int64()), pa.array(sizes, pa.int64()), batch.column(1)],
-                ["class", "n", "text"],
+            names = [digest(x) if len(x) else None for x in shingle_sets(batch.column(1))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names, pa.int64()), batch.column(1)], ["class", "text"]
             )
-            yield rows.filter(pa.array(fresh, pa.bool_()))
 
-    known = docs.select("id", "text").mapInArrow(run, "class bigint, n bigint, text string")
+    ids = settled(rows.join(wanted, "class", "left_semi").groupBy("class").agg(F.min("id").alias("head")))
+    if ids.count() <= MAX_BROADCAST:
+        ids = F.broadcast(ids)
+    picked = docs.join(ids, docs["id"].eqNullSafe(ids["head"]), "left_semi").select("id", "text")
+    # An id may stand at several texts, so classes are taken from the texts themselves.
+    known = picked.mapInArrow(run, "class bigint, text string")
     return known.join(wanted, "class", "left_semi").dropDuplicates(["class"])
 
 
-def _close(a: Column, b: Column) -> Column:
-    """Whether sets of these sizes can link at all."""
-    return (100 * a >= PERCENT * b) & (100 * b >= PERCENT * a)
+def _possible(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sizes and bitmaps leave an overlap that is large enough."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 4))
+            x, y = (_matrix(batch.column(i)) for i in (3, 5))
+            hidden = np.minimum(n - _ones(x), m - _ones(y))
+            most = np.minimum(np.minimum(n, m), _ones(x & y) + hidden)
+            fit = (100 + PERCENT) * most >= PERCENT * (n + m)
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(fit))
+
+    def side(name: str) -> DataFrame:
+        return signatures.select(
+            F.col("class").alias(name), F.col("n").alias(f"n_{name}"), F.col("bits").alias(f"bits_{name}")
+        )
+
+    n, m = F.col("n_a"), F.col("n_b")
+    met = pairs.join(side("a"), "a").join(side("b"), "b")
+    met = met.where((100 * n >= PERCENT * m) & (100 * m >= PERCENT * n))
+    return met.select("a", "b", "n_a", "bits_a", "n_b", "bits_b").mapInArrow(run, "a bigint, b bigint")
+
 
+def _matrix(bits: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(x.as_py() for x in bits), np.uint64).reshape(len(bits), -1)
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+
+def _ones(bits: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, rows: DataFrame) -> DataFrame:
     """The pairs (a, b) of classes whose sets link, with the size of what they share."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,11 +241,14 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             ]
             n, m, both = np.array(shared, dtype=np.int64).reshape(-1, 3).T
             found = pa.array(100 * both >= PERCENT * (n + m - both))
-            rows = pa.RecordBatch.from_arrays(
+            out = pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(both)], ["a", "b", "shared"]
             )
-            yield rows.filter(found)
+            yield out.filter(found)
 
+    pairs = settled(pairs)
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    texts = settled(_texts(docs, rows, wanted))
     met = pairs.join(texts.select(F.col("class").alias("a"), F.col("text").alias("left")), "a")
     met = met.join(texts.select(F.col("class").alias("b"), F.col("text").alias("right")), "b")
     return met.select("a", "b", "left", "right").mapInArrow(run, "a bigint, b bigint, shared bigint")
@@ -300,17 +336,6 @@ def bitmap(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(bits)
 
 
-def _bitmaps(texts: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [bitmap(x).tobytes() for x in shingle_sets(batch.column(2))]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(rows, pa.binary())], ["class", "n", "bits"]
-            )
-
-    return texts.select("class", "n", "text").mapInArrow(run, "class bigint, n bigint, bits binary")
-
-
 def _search(group: pd.DataFrame) -> pd.DataFrame:
     """Candidates within one block of a group, or between two."""
 
@@ -330,7 +355,7 @@ def _search(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
 
-def _across(postings: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFrame:
+def _across(postings: DataFrame, labels: DataFrame, signatures: DataFrame) -> DataFrame:
     """Candidate pairs between components: of groups that hold several."""
     known = postings.join(labels, "class", "left").withColumn(
         "component", F.coalesce("component", "class")
@@ -362,16 +387,12 @@ def _across(postings: DataFrame, labels: DataFrame, texts: DataFrame) -> DataFra
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("left", F.least("block", "other"))
         .withColumn("right", F.greatest("block", "other"))
-        .join(_bitmaps(texts), "class")
+        .join(signatures, "class")
         .select("key", "left", "right", "block", "class", "component", "n", "bits")
         .groupBy("key", "left", "right")
         .applyInPandas(lambda x: _search(x), "a bigint, b bigint")
     )
-    sizes = texts.select("class", "n")
-    both = pairs.unionByName(dealt).distinct()
-    both = both.join(sizes.select(F.col("class").alias("a"), F.col("n").alias("n_a")), "a")
-    both = both.join(sizes.select(F.col("class").alias("b"), F.col("n").alias("n_b")), "b")
-    return both.where(_close(F.col("n_a"), F.col("n_b"))).select("a", "b")
+    return pairs.unionByName(dealt).distinct()
 
 
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -391,7 +412,13 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     # Only shingles that several classes hold; copies of a class in several tasks become one row.
     postings = settled(postings.join(met, "key").distinct())
     heads = rows.where("class is not null").groupBy("class").agg(F.min("id").alias("head"))
-    texts = settled(_texts(docs, postings.select("class").distinct()))
+    signatures = (
+        counted.where("class is not null")
+        .groupBy("class")
+        .agg(F.min("n").alias("n"), F.min("bits").alias("bits"))
+        .join(postings.select("class").distinct(), "class", "left_semi")
+    )
+    signatures = settled(signatures)
     star = F.explode(F.array("low", "high"))
     near = (
         postings.select("class", star.alias("head"))
@@ -399,9 +426,10 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         .select(F.least("class", "head").alias("a"), F.greatest("class", "head").alias("b"))
         .distinct()
     )
-    links = settled(_verified(near, texts))
+    links = settled(_verified(_possible(near, signatures), docs, rows))
     labels = connected(links, "a", "b").select(F.col("node").alias("class"), "component")
-    more = settled(_verified(_across(postings.select("key", "class"), labels, texts), texts))
+    rest = _across(postings.select("key", "class"), labels, signatures)
+    more = settled(_verified(_possible(rest, signatures), docs, rows))
     if not more.isEmpty():
         labels = connected(links.unionByName(more), "a", "b").select(
             F.col("node").alias("class"), "component"
