@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plazaflow.llm import bpe, decontaminate, jaccard
+from plazaflow.llm import bpe, decontaminate, jaccard, toxicity
 from plazaflow.llm.tables import load
 
 
@@ -28,6 +28,23 @@ def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def fold(doc_id: Column, parts: int) -> Column:
+    return F.crc32(doc_id.cast("string").cast("binary")) % parts
+
+
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = load(spark, folder, "documents").select("doc_id", "text")
+    labels = load(spark, folder, "labels").where(fold(F.col("doc_id"), 5) != 0)
+    score = F.col("toxicity.score")
+    return toxicity.scored(docs, toxicity.train(docs, labels)).select(
+        "doc_id",
+        F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"),
+        score.alias("score"),
+        F.when(score >= 0.5, 1).otherwise(0).alias("predicted"),
+        F.size("toxicity.passages").cast("bigint").alias("n_passages"),
+    )
+
+
 def op8_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.components(load(spark, folder, "documents"))
 
@@ -48,6 +65,7 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op7_toxicity": op7_toxicity,
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op10_decontaminate": op10_decontaminate,
 }
