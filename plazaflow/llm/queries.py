@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plazaflow.llm import bpe, decontaminate, jaccard, toxicity
+from plazaflow.llm import bpe, decontaminate, jaccard, language, toxicity
 from plazaflow.llm.tables import load
 
 
@@ -32,6 +32,19 @@ def fold(doc_id: Column, parts: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % parts
 
 
+def op2_language_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    docs = load(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(fold(F.col("doc_id"), 3) == 1, F.lit(False))
+    model = language.train(docs.where(~held_out))
+    return language.identified(docs.drop("lang"), model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        F.col("language.lang").alias("lang_pred"),
+        F.col("language.score").alias("score"),
+        F.to_json("language.proportions").alias("proportions"),
+    )
+
+
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = load(spark, folder, "documents").select("doc_id", "text")
     labels = load(spark, folder, "labels").where(fold(F.col("doc_id"), 5) != 0)
@@ -65,6 +78,7 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_language_mixture": op2_language_mixture,
     "op7_toxicity": op7_toxicity,
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op10_decontaminate": op10_decontaminate,
