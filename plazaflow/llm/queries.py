@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plazaflow.llm import bpe, decontaminate, jaccard, language, toxicity
+from plazaflow.llm import bpe, decontaminate, jaccard, language, quality, toxicity
 from plazaflow.llm.tables import load
 
 
@@ -45,6 +45,10 @@ def op2_language_mixture(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judged(load(spark, folder, "documents"))
+
+
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = load(spark, folder, "documents").select("doc_id", "text")
     labels = load(spark, folder, "labels").where(fold(F.col("doc_id"), 5) != 0)
@@ -79,6 +83,7 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_language_mixture": op2_language_mixture,
+    "op4_quality_rules": op4_quality_rules,
     "op7_toxicity": op7_toxicity,
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op10_decontaminate": op10_decontaminate,
