@@ -8,6 +8,90 @@ LOWERED = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.a
 SPACED_WORDS = r"'[^\x20\x09-\x0D]+'"
 PLAIN_WORDS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 
+OP4 = rf"""
+WITH doc AS (
+    SELECT doc_id, lang, source, coalesce(text, '') AS t,
+           regexp_extract_all(coalesce(text, ''), {SPACED_WORDS}) AS w,
+           list_filter(string_split(coalesce(text, ''), chr(10)),
+                       lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+    FROM documents
+), win AS (
+    SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, array_to_string(w[p:p + 4], ' ')) AS times
+    FROM doc, unnest(range(1, len(w) - 3)) AS t(p)
+), repeated AS (
+    SELECT doc_id, count(DISTINCT q) AS n FROM win, unnest(range(p, p + 5)) AS t(q)
+    WHERE times > 1 GROUP BY doc_id
+), m AS (
+    SELECT doc_id, lang, source, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+           len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols,
+           len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words, len(l) AS n_lines
+    FROM doc LEFT JOIN repeated r USING (doc_id)
+), v AS (
+    SELECT *, CASE WHEN word_chars > 0 THEN n_symbols * 1000 // word_chars ELSE 0 END AS v1,
+           CASE WHEN n_lines > 0 THEN n_dup_lines * 1000 // n_lines ELSE 0 END AS v2,
+           CASE WHEN n_words > 0 THEN n_repeat_words * 1000 // n_words ELSE 0 END AS v3,
+           CASE WHEN n_words > 0 THEN word_chars * 100 // n_words ELSE 0 END AS v4
+    FROM m
+), cell AS (
+    SELECT lang, source, k, x >> s << s AS bucket FROM (
+        SELECT lang, source, k, x, greatest(length(bin(x)) - 6, 0)::INTEGER AS s FROM (
+            SELECT lang, source, unnest([1, 2, 3, 4]) AS k, unnest([v1, v2, v3, v4])::BIGINT AS x
+            FROM v WHERE n_words > 0))
+), grouped AS (
+    SELECT 1 AS level, lang, source, k, bucket FROM cell
+    UNION ALL SELECT 2, lang, NULL, k, bucket FROM cell
+    UNION ALL SELECT 3, NULL, NULL, k, bucket FROM cell
+), q AS (
+    SELECT level, lang, source, k, count(*) AS n, quantile_disc(bucket, 0.25) AS q25,
+           quantile_disc(bucket, 0.5) AS q50, quantile_disc(bucket, 0.75) AS q75
+    FROM grouped GROUP BY ALL
+), lim AS (
+    SELECT level, lang, source, max(n) AS n,
+           max(CASE WHEN k = 1 THEN q50 + 8 * greatest(abs(q50 - q25), 10) END) AS l1,
+           max(CASE WHEN k = 2 THEN q50 + 8 * greatest(abs(q50 - q25), 25) END) AS l2,
+           max(CASE WHEN k = 3 THEN q50 + 8 * greatest(abs(q50 - q25), 25) END) AS l3,
+           max(CASE WHEN k = 4 THEN q50 + 8 * greatest(abs(q50 - q25), 40) END) AS l4,
+           max(CASE WHEN k = 4 THEN q50 - 8 * greatest(abs(q50 - q75), 40) END) AS l5
+    FROM q GROUP BY level, lang, source
+), j AS (
+    SELECT v.*, x.l1, x.l2, x.l3, x.l4, x.l5, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed
+    FROM v
+    LEFT JOIN lim a ON a.level = 1 AND a.lang IS NOT DISTINCT FROM v.lang AND a.source IS NOT DISTINCT FROM v.source
+    LEFT JOIN lim b ON b.level = 2 AND b.lang IS NOT DISTINCT FROM v.lang
+    LEFT JOIN lim x ON x.level = CASE WHEN a.n >= 100 THEN 1 WHEN b.n >= 100 THEN 2 ELSE 3 END
+        AND (x.level > 2 OR x.lang IS NOT DISTINCT FROM v.lang)
+        AND (x.level > 1 OR x.source IS NOT DISTINCT FROM v.source)
+)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+       n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
+       NOT base_failed AND coalesce(v1 <= l1 AND v2 <= l2 AND v3 <= l3 AND v4 <= l4 AND v4 >= l5, TRUE) AS kept
+FROM j
+"""
+
+_ESCAPE = (
+    r"regexp_replace(regexp_replace({}, '<(\\*)(\||/?s>|</?SYS>>)', '<\\\1\2', 'g'),"
+    r" '\[(\\*)(/?INST\])', '[\\\1\2', 'g')"
+)
+OP5 = f"""
+WITH said AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), placed AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS p,
+           sum(length({_ESCAPE.format('role')}) + length({_ESCAPE.format('text')}) + 23)
+               OVER (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING) AS so_far,
+           count(*) OVER (PARTITION BY conv_id) AS n
+    FROM said
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY p)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY p) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(so_far) FILTER (role = 'assistant' OR p = n) AS BIGINT) AS formatted_chars
+FROM placed GROUP BY conv_id
+"""
+
 OP8 = f"""
 WITH RECURSIVE doc AS (
     SELECT doc_id, regexp_extract_all({LOWERED}, {SPACED_WORDS}) AS w FROM documents
@@ -57,6 +141,8 @@ FROM doc LEFT JOIN cover USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
 ORACLES = {
+    "op4_quality_rules": OP4,
+    "op5_chat_formatting": OP5,
     "op8_ngram_jaccard": OP8,
     "op10_decontaminate": OP10,
 }

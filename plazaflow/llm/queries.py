@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plazaflow.llm import bpe, decontaminate, jaccard, language, quality, toxicity
+from plazaflow.llm import bpe, chat, decontaminate, jaccard, language, quality, toxicity
 from plazaflow.llm.tables import load
 
 
@@ -49,6 +49,37 @@ def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judged(load(spark, folder, "documents"))
 
 
+def op5_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.range(2).select(
+        F.lit(-1).cast("bigint").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(said).alias("text"),
+    )
+    examples = chat.formatted(load(spark, folder, "conversations").unionByName(extra))
+    read = examples.groupBy("conv_id").agg(
+        F.max_by("formatted", "place").alias("whole"),
+        F.array_sort(F.collect_list(F.struct("place", chat.target_of().alias("said")))).alias("targets"),
+        F.sum(F.char_length("formatted")).cast("bigint").alias("formatted_chars"),
+    )
+    read = read.select(
+        "conv_id",
+        "formatted_chars",
+        chat.turns_of(F.col("whole")).alias("turns"),
+        F.array_join("targets.said", "").alias("loss"),
+    )
+    lines = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("bigint").alias("n_turns"),
+        hex_digest(F.array_join(lines, "")).alias("turns_sha256"),
+        F.char_length("loss").cast("bigint").alias("loss_chars"),
+        hex_digest(F.col("loss")).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = load(spark, folder, "documents").select("doc_id", "text")
     labels = load(spark, folder, "labels").where(fold(F.col("doc_id"), 5) != 0)
@@ -84,6 +115,7 @@ QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_language_mixture": op2_language_mixture,
     "op4_quality_rules": op4_quality_rules,
+    "op5_chat_formatting": op5_chat_formatting,
     "op7_toxicity": op7_toxicity,
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op10_decontaminate": op10_decontaminate,
