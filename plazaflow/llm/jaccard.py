@@ -29,7 +29,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +47,8 @@ BLOCK = 2048
 COUNTED_AT_ONCE = 4_000_000
 FREQUENT = 4
 MAX_ORDERED = 1 << 18
+# Classes of a shingle from which on its group is dealt out in parts.
+HOT = 50_000
 # Ids that a semi-join may broadcast.
 MAX_BROADCAST = 1_000_000
 
@@ -153,10 +154,13 @@ def _order(classes: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _postings(docs: DataFrame, shared) -> DataFrame:
-    """The first shingles of every class, once in each task."""
+    """The first shingles of every class, once in each task. Shingles known to be very frequent
+    are dealt out in parts; others have part -1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order, seen = shared.value, set()
+        hot = order[1] >= HOT
+        values, parts_of = order[0][hot], order[1][hot] // HOT + 1
         for batch in batches:
             parts, owners = [], []
             for shingles in shingle_sets(batch.column(1)):
@@ -166,17 +170,20 @@ def _postings(docs: DataFrame, shared) -> DataFrame:
                 seen.add(name)
                 parts.append(first_shingles(shingles, order))
                 owners.append(name)
-            if parts:
-                times = [len(x) for x in parts]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(signed(np.concatenate(parts))),
-                        pa.array(np.repeat(np.array(owners, np.int64), times)),
-                    ],
-                    ["key", "class"],
-                )
+            if not parts:
+                continue
+            keys = np.concatenate(parts)
+            classes = np.repeat(np.array(owners, np.int64), [len(x) for x in parts])
+            part = np.full(len(keys), -1, dtype=np.int32)
+            if len(values):
+                at = np.minimum(np.searchsorted(values, keys), len(values) - 1)
+                own = np.flatnonzero(values[at] == keys)
+                part[own] = classes[own].view(np.uint64) % parts_of[at[own]].astype(np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(signed(keys)), pa.array(part), pa.array(classes)], ["key", "part", "class"]
+            )
 
-    return docs.select("id", "text").mapInArrow(run, "key bigint, class bigint")
+    return docs.select("id", "text").mapInArrow(run, "key bigint, part int, class bigint")
 
 
 def _texts(docs: DataFrame, rows: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -211,19 +218,18 @@ def _possible(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
             fit = (100 + PERCENT) * most >= PERCENT * (n + m)
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(fit))
 
-    def side(name: str) -> DataFrame:
-        return signatures.select(
-            F.col("class").alias(name), F.col("n").alias(f"n_{name}"), F.col("bits").alias(f"bits_{name}")
-        )
+    def side(name: str, column: str) -> DataFrame:
+        return signatures.select(F.col("class").alias(name), F.col(column).alias(f"{column}_{name}"))
 
     n, m = F.col("n_a"), F.col("n_b")
-    met = pairs.join(side("a"), "a").join(side("b"), "b")
+    met = pairs.join(side("a", "n"), "a").join(side("b", "n"), "b")
     met = met.where((100 * n >= PERCENT * m) & (100 * m >= PERCENT * n))
+    met = met.join(side("a", "bits"), "a").join(side("b", "bits"), "b")
     return met.select("a", "b", "n_a", "bits_a", "n_b", "bits_b").mapInArrow(run, "a bigint, b bigint")
 
 
 def _matrix(bits: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(x.as_py() for x in bits), np.uint64).reshape(len(bits), -1)
+    return np.frombuffer(b"".join(bits.to_pylist()), np.uint64).reshape(-1, BITS // 64)
 
 
 def _ones(bits: np.ndarray) -> np.ndarray:
@@ -336,23 +342,85 @@ def bitmap(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(bits)
 
 
-def _search(group: pd.DataFrame) -> pd.DataFrame:
-    """Candidates within one block of a group, or between two."""
-
-    def tree_of(rows: pd.DataFrame) -> Tree:
-        bits = np.frombuffer(b"".join(rows["bits"]), np.uint64).reshape(len(rows), -1)
-        names, sizes = rows["class"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
-        return Tree(names, rows["component"].to_numpy(np.int64), sizes, bits)
-
-    left, right = group["left"].iloc[0], group["right"].iloc[0]
-    trees = [tree_of(group[group["block"] == x]) for x in sorted({left, right}) if (group["block"] == x).any()]
-    if len(trees) < 2 and left != right:
-        return pd.DataFrame({"a": [], "b": []}, dtype=np.int64)
-    height = max(len(x.low) for x in trees)
-    for tree in trees:
-        _lift(tree, height)
-    a, b = candidates(trees[0], trees[-1])
-    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+class _Rows:
+    """Classes of several groups in order: whatever of a batch belongs to whole groups."""
+
+    columns = ("key", "left", "right", "block", "class", "component", "n", "bits")
+
+    def __init__(self, batch: pa.RecordBatch):
+        for i, name in enumerate(self.columns[:-1]):
+            setattr(self, name, batch.column(i).to_numpy(zero_copy_only=False))
+        self.bits = _matrix(batch.column(len(self.columns) - 1))
+        same = np.ones(len(self.key), dtype=bool)
+        for x in (self.key, self.left, self.right):
+            same[1:] &= x[1:] == x[:-1]
+        same[:1] = False
+        self.starts = np.flatnonzero(~same)
+        self.sizes = np.diff(np.append(self.starts, len(self.key)))
+
+    def tree(self, a: int, b: int, block: int) -> Tree | None:
+        rows = a + np.flatnonzero(self.block[a:b] == block)
+        if not len(rows):
+            return None
+        return Tree(self["class"][rows], self.component[rows], self.n[rows], self.bits[rows])
+
+    def __getitem__(self, name: str) -> np.ndarray:
+        return getattr(self, name)
+
+    def small(self) -> tuple[np.ndarray, np.ndarray]:
+        """Candidates of groups no larger than a node, compared as leaves of one, all at once."""
+        group = np.repeat(np.arange(len(self.starts)), self.sizes)
+        open_ = np.repeat((self.sizes <= FANOUT) & (self.left[self.starts] == self.right[self.starts]), self.sizes)
+        hidden, found = self.n - _ones(self.bits), []
+        for step in range(1, FANOUT):
+            i = np.flatnonzero(open_[:-step] & (group[:-step] == group[step:]))
+            j = i + step
+            fit = (self.component[i] != self.component[j]) & (100 * self.n[i] >= PERCENT * self.n[j])
+            fit &= 100 * self.n[j] >= PERCENT * self.n[i]
+            i, j = i[fit], j[fit]
+            most = _ones(self.bits[i] & self.bits[j]) + np.minimum(hidden[i], hidden[j])
+            most = np.minimum(most, np.minimum(self.n[i], self.n[j]))
+            fit = (100 + PERCENT) * most >= PERCENT * (self.n[i] + self.n[j])
+            found.append((self["class"][i[fit]], self["class"][j[fit]]))
+        return tuple(np.concatenate(x) for x in zip(*found))
+
+    def large(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for a, size in zip(self.starts.tolist(), self.sizes.tolist()):
+            left, right = self.left[a], self.right[a]
+            if size <= FANOUT and left == right:
+                continue
+            tree = self.tree(a, a + size, left)
+            other = tree if left == right else self.tree(a, a + size, right)
+            if tree is None or other is None:
+                continue
+            height = max(len(tree.low), len(other.low))
+            _lift(tree, height)
+            _lift(other, height)
+            yield candidates(tree, other)
+
+
+def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Candidates of all groups in a partition that is sorted by group. A group has at most two
+    blocks of classes; only the last, perhaps unfinished group of a batch waits for the next."""
+
+    def found(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        rows = _Rows(batch)
+        for a, b in (rows.small(), *rows.large()):
+            pairs = [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))]
+            yield pa.RecordBatch.from_arrays(pairs, ["a", "b"])
+
+    waiting = None
+    for batch in batches:
+        if waiting is not None:
+            batch = pa.concat_batches([waiting, batch])
+        if not batch.num_rows:
+            continue
+        last = int(_Rows(batch).starts[-1])
+        waiting = batch.slice(last)
+        if last:
+            yield from found(batch.slice(0, last))
+    if waiting is not None:
+        yield from found(waiting)
 
 
 def _across(postings: DataFrame, labels: DataFrame, signatures: DataFrame) -> DataFrame:
@@ -377,22 +445,21 @@ def _across(postings: DataFrame, labels: DataFrame, signatures: DataFrame) -> Da
         .groupBy("size", "sum", "xor", "a", "b")
         .agg(F.min("key").alias("key"))
     )
-    groups = settled(groups)
-    pairs = groups.where("size = 2").select("a", "b")
-    large = known.join(groups.where("size > 2").select("key", "size"), "key")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    group = ("key", "left", "right")
     dealt = (
-        large.withColumn("blocks", blocks)
+        known.join(groups.select("key", "size"), "key")
+        .withColumn("blocks", blocks)
         .withColumn("block", F.pmod(F.xxhash64("class", F.lit(1)), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("left", F.least("block", "other"))
         .withColumn("right", F.greatest("block", "other"))
         .join(signatures, "class")
-        .select("key", "left", "right", "block", "class", "component", "n", "bits")
-        .groupBy("key", "left", "right")
-        .applyInPandas(lambda x: _search(x), "a bigint, b bigint")
+        .select(*_Rows.columns)
+        .repartition(*group)
+        .sortWithinPartitions(*group)
     )
-    return pairs.unionByName(dealt).distinct()
+    return dealt.mapInArrow(_search, "a bigint, b bigint").distinct()
 
 
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -403,14 +470,15 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     shared = docs.sparkSession.sparkContext.broadcast(_order(counted))
     rows = counted.where("key is null").select("id", "n", "class")
 
-    postings = _postings(docs, shared)
+    # One shuffle serves the aggregation and the join. Only shingles that several classes hold stay;
+    # copies of a class in several tasks become one row.
+    postings = _postings(docs, shared).repartition("key", "part")
     met = (
-        postings.groupBy("key")
+        postings.groupBy("key", "part")
         .agg(F.min("class").alias("low"), F.max("class").alias("high"))
-        .where("low < high")
+        .where("low < high or part >= 0")
     )
-    # Only shingles that several classes hold; copies of a class in several tasks become one row.
-    postings = settled(postings.join(met, "key").distinct())
+    postings = settled(postings.join(met, ["key", "part"]).drop("part").distinct())
     heads = rows.where("class is not null").groupBy("class").agg(F.min("id").alias("head"))
     signatures = (
         counted.where("class is not null")
