@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plazaflow.llm import bpe, chat, decontaminate, jaccard, language, quality, toxicity
+from plazaflow.llm import bpe, chat, decontaminate, jaccard, language, licenses, quality, recount, toxicity
 from plazaflow.llm.tables import load
 
 
@@ -80,6 +80,40 @@ def op5_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def own_edits(doc_id: Column, text: Column) -> Column:
+    """Three edits of a text made of itself: a stretch replaced, one deleted, one put in."""
+    n = F.char_length(text)
+
+    def place(salt: int) -> Column:
+        return F.pmod(F.xxhash64(doc_id, F.lit(salt)), n + 1)
+
+    def edit(start: Column, length: int, new: Column) -> Column:
+        return F.struct(
+            start.cast("bigint").alias("start"), F.lit(length).cast("bigint").alias("length"), new.alias("text")
+        )
+
+    return F.array(
+        edit(place(1), 7, F.substr(text, (place(2) + 1).cast("int"), F.lit(19))),
+        edit(place(3), 45, F.lit("")),
+        edit(place(4), 0, F.concat(F.lit("\n"), F.substr(text, (place(5) + 1).cast("int"), F.lit(150)))),
+    )
+
+
+def op6_edit_recount(spark: SparkSession, folder: str) -> DataFrame:
+    docs = load(spark, folder, "documents").select("doc_id", "text")
+    docs = docs.withColumn("edits", own_edits(F.col("doc_id"), F.coalesce("text", F.lit(""))))
+    counted = recount.edited(docs, RANKS, public_tokenizers.PATTERN)
+    return counted.select(
+        "doc_id",
+        F.col("recount.n_tokens").alias("n_tokens"),
+        F.col("recount.n_tokens_after").alias("n_tokens_after"),
+        (F.col("recount.encoded_chars") - F.coalesce(F.char_length("text"), F.lit(0)))
+        .cast("bigint")
+        .alias("reencoded_chars"),
+        hex_digest(F.col("recount.text")).alias("edited_sha256"),
+    )
+
+
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = load(spark, folder, "documents").select("doc_id", "text")
     labels = load(spark, folder, "labels").where(fold(F.col("doc_id"), 5) != 0)
@@ -97,6 +131,19 @@ def op8_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.components(load(spark, folder, "documents"))
 
 
+def op9_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = load(spark, folder, "documents").select("doc_id", "text")
+    best = F.get("licenses", F.lit(0))
+    return licenses.scanned(docs).select(
+        "doc_id",
+        best["license"].alias("license"),
+        best["coverage"].alias("coverage"),
+        best["first"].alias("first_word"),
+        best["last"].alias("last_word"),
+        F.size("licenses").cast("bigint").alias("n_found"),
+    )
+
+
 def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     docs = load(spark, folder, "documents").select("doc_id", "text")
     hits = decontaminate.marked(docs, load(spark, folder, "benchmark"))
@@ -116,7 +163,9 @@ QUERIES = {
     "op2_language_mixture": op2_language_mixture,
     "op4_quality_rules": op4_quality_rules,
     "op5_chat_formatting": op5_chat_formatting,
+    "op6_edit_recount": op6_edit_recount,
     "op7_toxicity": op7_toxicity,
     "op8_ngram_jaccard": op8_ngram_jaccard,
+    "op9_license_scan": op9_license_scan,
     "op10_decontaminate": op10_decontaminate,
 }
