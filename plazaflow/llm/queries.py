@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plazaflow.llm import bpe, chat, decontaminate, jaccard, language, licenses, quality, recount, toxicity
+from plazaflow.llm import bpe, chat, decontaminate, jaccard, language, licenses, pseudo, quality, recount, toxicity
 from plazaflow.llm.tables import load
 
 
@@ -45,6 +45,12 @@ def op2_language_mixture(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_pseudo_likelihood(spark: SparkSession, folder: str) -> DataFrame:
+    docs = load(spark, folder, "documents").select("doc_id", "text")
+    scores = pseudo.scored(docs, pseudo.train(docs)).select("doc_id", "lm.*")
+    return scores.select("doc_id", "n_tokens", "log_likelihood", "mean")
+
+
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.judged(load(spark, folder, "documents"))
 
@@ -161,6 +167,7 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_language_mixture": op2_language_mixture,
+    "op3_pseudo_likelihood": op3_pseudo_likelihood,
     "op4_quality_rules": op4_quality_rules,
     "op5_chat_formatting": op5_chat_formatting,
     "op6_edit_recount": op6_edit_recount,
