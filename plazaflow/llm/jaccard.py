@@ -212,10 +212,15 @@ def _possible(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, m = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 4))
-            x, y = (_matrix(batch.column(i)) for i in (3, 5))
-            hidden = np.minimum(n - _ones(x), m - _ones(y))
-            most = np.minimum(np.minimum(n, m), _ones(x & y) + hidden)
-            fit = (100 + PERCENT) * most >= PERCENT * (n + m)
+            left, right = batch.column(3).to_pylist(), batch.column(5).to_pylist()
+            sizes = np.array([min(len(x), len(y)) for x, y in zip(left, right)], dtype=np.int64)
+            fit = np.zeros(len(n), dtype=bool)
+            for size in np.unique(sizes):
+                at = np.flatnonzero(sizes == size)
+                x, y = (_folded([side[i] for i in at], int(size)) for side in (left, right))
+                hidden = np.minimum(n[at] - _ones(x), m[at] - _ones(y))
+                most = np.minimum(np.minimum(n[at], m[at]), _ones(x & y) + hidden)
+                fit[at] = (100 + PERCENT) * most >= PERCENT * (n[at] + m[at])
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(fit))
 
     def side(name: str, column: str) -> DataFrame:
@@ -228,8 +233,15 @@ def _possible(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
     return met.select("a", "b", "n_a", "bits_a", "n_b", "bits_b").mapInArrow(run, "a bigint, b bigint")
 
 
-def _matrix(bits: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(bits.to_pylist()), np.uint64).reshape(-1, BITS // 64)
+def _folded(bitmaps: list[bytes], size: int) -> np.ndarray:
+    """Bitmaps of so many bytes; a larger one is folded, which gives the bitmap of that size."""
+    short = [
+        x
+        if len(x) == size
+        else np.bitwise_or.reduce(np.frombuffer(x, np.uint64).reshape(-1, size // 8), axis=0).tobytes()
+        for x in bitmaps
+    ]
+    return np.frombuffer(b"".join(short), np.uint64).reshape(len(bitmaps), size // 8)
 
 
 def _ones(bits: np.ndarray) -> np.ndarray:
@@ -337,8 +349,10 @@ def _lift(tree: Tree, height: int) -> None:
 
 
 def bitmap(shingles: np.ndarray) -> np.ndarray:
-    bits = np.zeros(BITS, dtype=bool)
-    bits[shingles & np.uint64(BITS - 1)] = True
+    """At least BITS bits, and two or more for each shingle, so that large sets stay apart."""
+    size = max(BITS, 1 << (2 * len(shingles) - 1).bit_length())
+    bits = np.zeros(size, dtype=bool)
+    bits[shingles & np.uint64(size - 1)] = True
     return np.packbits(bits)
 
 
@@ -350,7 +364,7 @@ class _Rows:
     def __init__(self, batch: pa.RecordBatch):
         for i, name in enumerate(self.columns[:-1]):
             setattr(self, name, batch.column(i).to_numpy(zero_copy_only=False))
-        self.bits = _matrix(batch.column(len(self.columns) - 1))
+        self.bits = _folded(batch.column(len(self.columns) - 1).to_pylist(), BITS // 8)
         same = np.ones(len(self.key), dtype=bool)
         for x in (self.key, self.left, self.right):
             same[1:] &= x[1:] == x[:-1]
