@@ -36,7 +36,8 @@ PAD = TOKENS
 WIDTH = 16
 PLACES = (-2, -1, 1, 2)
 STEP = 4096  # tokens of a training step
-RATE = 0.1
+RATE = 0.05
+FIRST = 1e-6  # squared gradients that Adagrad starts from
 ROUNDS = 3
 SEED = 41
 BLOCK = 4096
@@ -143,7 +144,7 @@ def log_probabilities(w: dict[str, np.ndarray], around: np.ndarray, tokens: np.n
 class Trainer:
     def __init__(self, flat: np.ndarray):
         self.flat = flat.copy()
-        self.w, self.past = views(self.flat), views(np.full(SIZE, 0.1, dtype=np.float32))
+        self.w, self.past = views(self.flat), views(np.full(SIZE, FIRST, dtype=np.float32))
 
     def _move(self, name: str, at, gradient: np.ndarray) -> None:
         past = self.past[name]

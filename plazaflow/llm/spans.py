@@ -110,7 +110,7 @@ def runs(texts: pa.Array | pa.ChunkedArray, table: np.ndarray, lower: bool = Tru
         texts = texts.combine_chunks()
     if not len(texts):
         return
-    texts = texts.fill_null("").cast(pa.large_string())
+    texts = texts.cast(pa.large_string()).fill_null("")
     _, offsets, data = texts.buffers()
     cuts = np.frombuffer(offsets, dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
     data = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
