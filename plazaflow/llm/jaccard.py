@@ -7,8 +7,8 @@ an empty one, is one shingle as a whole. Two texts link when 100 * |intersection
 2. Linked sets share one of their first |x| - ceil(0.8 |x|) + 1 shingles in any order common to all
    sets. The order puts frequent shingles last, as counted over all texts, so that passages found
    in many texts rarely meet in a group. Only first shingles that several classes hold go on.
-3. Near copies of one text meet many times. Each class is first compared with the smallest and
-   the largest class of every group it is in, which links most of them without pairing them all.
+3. Near copies of one text meet many times. In a few turns, each class is first compared with heads
+   of the groups it is in, which links most of them without pairing them all.
 4. For links between the components of step 3, groups that hold several components are searched by
    signature trees: leaves are classes, inner nodes hold the bitwise OR of the token bitmaps below
    and the range of set sizes. A traversal of node pairs leaves out those whose largest possible
@@ -41,6 +41,9 @@ SHINGLE = 5
 PERCENT = 80
 BITS = 2048
 FANOUT = 8
+# Rounds of comparing classes with heads of their groups, and heads that a class meets in each.
+TURNS = 3
+HEADS = 4
 BLOCK = 2048
 # Shingles are taken as frequent from this count on within so many shingles of one task; the
 # broadcast order holds the most frequent ones, 16 bytes each.
@@ -49,6 +52,8 @@ FREQUENT = 4
 MAX_ORDERED = 1 << 18
 # Classes of a shingle from which on its group is dealt out in parts.
 HOT = 50_000
+# Pairs that a task of the search remembers.
+RECENT = 200_000
 # Ids that a semi-join may broadcast.
 MAX_BROADCAST = 1_000_000
 
@@ -206,21 +211,27 @@ def _texts(docs: DataFrame, rows: DataFrame, wanted: DataFrame) -> DataFrame:
     return known.join(wanted, "class", "left_semi").dropDuplicates(["class"])
 
 
+def overlap_possible(n: np.ndarray, left: list[bytes], m: np.ndarray, right: list[bytes]) -> np.ndarray:
+    """Whether sets of these sizes and bitmaps can overlap enough, pair by pair. What two sets share
+    sets common bits, but for shingles hidden behind others of their own set."""
+    sizes = np.array([min(len(x), len(y)) for x, y in zip(left, right)], dtype=np.int64)
+    fit = np.zeros(len(n), dtype=bool)
+    for size in np.unique(sizes):
+        at = np.flatnonzero(sizes == size)
+        x, y = (_folded([side[i] for i in at], int(size)) for side in (left, right))
+        hidden = np.minimum(n[at] - _ones(x), m[at] - _ones(y))
+        most = np.minimum(np.minimum(n[at], m[at]), _ones(x & y) + hidden)
+        fit[at] = (100 + PERCENT) * most >= PERCENT * (n[at] + m[at])
+    return fit
+
+
 def _possible(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sizes and bitmaps leave an overlap that is large enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, m = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 4))
-            left, right = batch.column(3).to_pylist(), batch.column(5).to_pylist()
-            sizes = np.array([min(len(x), len(y)) for x, y in zip(left, right)], dtype=np.int64)
-            fit = np.zeros(len(n), dtype=bool)
-            for size in np.unique(sizes):
-                at = np.flatnonzero(sizes == size)
-                x, y = (_folded([side[i] for i in at], int(size)) for side in (left, right))
-                hidden = np.minimum(n[at] - _ones(x), m[at] - _ones(y))
-                most = np.minimum(np.minimum(n[at], m[at]), _ones(x & y) + hidden)
-                fit[at] = (100 + PERCENT) * most >= PERCENT * (n[at] + m[at])
+            fit = overlap_possible(n, batch.column(3).to_pylist(), m, batch.column(5).to_pylist())
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(fit))
 
     def side(name: str, column: str) -> DataFrame:
@@ -364,7 +375,8 @@ class _Rows:
     def __init__(self, batch: pa.RecordBatch):
         for i, name in enumerate(self.columns[:-1]):
             setattr(self, name, batch.column(i).to_numpy(zero_copy_only=False))
-        self.bits = _folded(batch.column(len(self.columns) - 1).to_pylist(), BITS // 8)
+        self.whole = batch.column(len(self.columns) - 1).to_pylist()
+        self.bits = _folded(self.whole, BITS // 8)
         same = np.ones(len(self.key), dtype=bool)
         for x in (self.key, self.left, self.right):
             same[1:] &= x[1:] == x[:-1]
@@ -376,10 +388,17 @@ class _Rows:
         rows = a + np.flatnonzero(self.block[a:b] == block)
         if not len(rows):
             return None
-        return Tree(self["class"][rows], self.component[rows], self.n[rows], self.bits[rows])
-
-    def __getitem__(self, name: str) -> np.ndarray:
-        return getattr(self, name)
+        return Tree(rows, self.component[rows], self.n[rows], self.bits[rows])
+
+    def found(self) -> set[tuple[int, int]]:
+        """Candidates of all groups, by class, once bitmaps in full size have been compared."""
+        names, out = getattr(self, "class"), set()
+        for i, j in (self.small(), *self.large()):
+            left, right = ([self.whole[x] for x in side] for side in (i, j))
+            fit = overlap_possible(self.n[i], left, self.n[j], right)
+            a, b = names[i[fit]], names[j[fit]]
+            out.update(zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist()))
+        return out
 
     def small(self) -> tuple[np.ndarray, np.ndarray]:
         """Candidates of groups no larger than a node, compared as leaves of one, all at once."""
@@ -395,7 +414,7 @@ class _Rows:
             most = _ones(self.bits[i] & self.bits[j]) + np.minimum(hidden[i], hidden[j])
             most = np.minimum(most, np.minimum(self.n[i], self.n[j]))
             fit = (100 + PERCENT) * most >= PERCENT * (self.n[i] + self.n[j])
-            found.append((self["class"][i[fit]], self["class"][j[fit]]))
+            found.append((i[fit], j[fit]))
         return tuple(np.concatenate(x) for x in zip(*found))
 
     def large(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -415,13 +434,16 @@ class _Rows:
 
 def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Candidates of all groups in a partition that is sorted by group. A group has at most two
-    blocks of classes; only the last, perhaps unfinished group of a batch waits for the next."""
+    blocks of classes; only the last, perhaps unfinished group of a batch waits for the next. Pairs
+    that were found shortly before are not repeated."""
+    recent: set[tuple[int, int]] = set()
 
-    def found(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        rows = _Rows(batch)
-        for a, b in (rows.small(), *rows.large()):
-            pairs = [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))]
-            yield pa.RecordBatch.from_arrays(pairs, ["a", "b"])
+    def fresh(batch: pa.RecordBatch) -> pa.RecordBatch:
+        nonlocal recent
+        pairs = _Rows(batch).found() - recent
+        recent = pairs if len(recent) > RECENT else recent | pairs
+        columns = list(zip(*pairs)) or [(), ()]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
 
     waiting = None
     for batch in batches:
@@ -432,32 +454,37 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = int(_Rows(batch).starts[-1])
         waiting = batch.slice(last)
         if last:
-            yield from found(batch.slice(0, last))
+            yield fresh(batch.slice(0, last))
     if waiting is not None:
-        yield from found(waiting)
+        yield fresh(waiting)
 
 
-def _across(postings: DataFrame, labels: DataFrame, signatures: DataFrame) -> DataFrame:
-    """Candidate pairs between components: of groups that hold several."""
-    known = postings.join(labels, "class", "left").withColumn(
-        "component", F.coalesce("component", "class")
+def _with_components(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
+    if labels is None:
+        return postings.withColumn("component", F.col("class"))
+    known = postings.join(labels, "class", "left")
+    return known.withColumn("component", F.coalesce("component", "class"))
+
+
+def _star(known: DataFrame, turn: int) -> DataFrame:
+    """Each class with one head of every group it is in, where that is in another component. Which
+    class is the head depends on the group, so that a class meets a few different ones."""
+    order = F.xxhash64("class", F.pmod("key", F.lit(HEADS)), F.lit(turn))
+    heads = known.groupBy("key").agg(F.min_by(F.struct("class", "component"), order).alias("head"))
+    return (
+        known.join(heads, "key")
+        .where(F.col("component") != F.col("head.component"))
+        .select(F.least("class", "head.class").alias("a"), F.greatest("class", "head.class").alias("b"))
+        .distinct()
     )
-    name = F.xxhash64("class")
+
+
+def _across(known: DataFrame, signatures: DataFrame) -> DataFrame:
+    """Candidate pairs between components: of groups that hold several."""
     groups = (
         known.groupBy("key")
-        .agg(
-            F.min("component").alias("first"),
-            F.max("component").alias("last"),
-            F.count("*").alias("size"),
-            F.sum(name % (1 << 40)).alias("sum"),
-            F.bit_xor(name).alias("xor"),
-            F.min("class").alias("a"),
-            F.max("class").alias("b"),
-        )
+        .agg(F.min("component").alias("first"), F.max("component").alias("last"), F.count("*").alias("size"))
         .where("first < last")
-        # Shingles of one passage lead to the same group again and again; it is searched once.
-        .groupBy("size", "sum", "xor", "a", "b")
-        .agg(F.min("key").alias("key"))
     )
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     group = ("key", "left", "right")
@@ -476,6 +503,31 @@ def _across(postings: DataFrame, labels: DataFrame, signatures: DataFrame) -> Da
     return dealt.mapInArrow(_search, "a bigint, b bigint").distinct()
 
 
+def _shared_shingles(docs: DataFrame, shared) -> DataFrame:
+    """Key and class of first shingles that several classes hold, one key for each set of classes.
+
+    One shuffle serves all: copies of a class in several tasks, aggregation and join are by the same
+    key. Shingles of one passage lead to the same classes again and again; one of them is kept, as
+    told by number, sum and exclusive or of the classes' hashes besides the smallest and largest.
+    """
+    postings = _postings(docs, shared).repartition("key", "part").distinct()
+    name = F.xxhash64("class")
+    groups = (
+        postings.groupBy("key", "part")
+        .agg(
+            F.min("class").alias("low"),
+            F.max("class").alias("high"),
+            F.count("*").alias("size"),
+            F.sum(name % (1 << 40)).alias("sum"),
+            F.bit_xor(name).alias("xor"),
+        )
+        .where("low < high or part >= 0")
+        .groupBy("low", "high", "size", "sum", "xor", "part", F.when(F.col("part") >= 0, F.col("key")))
+        .agg(F.min("key").alias("key"))
+    )
+    return postings.join(groups.select("key", "part"), ["key", "part"]).select("key", "class")
+
+
 def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of `docs`: its id, n_shingles and component_id, the smallest id that can be
     reached from it by links."""
@@ -484,15 +536,7 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     shared = docs.sparkSession.sparkContext.broadcast(_order(counted))
     rows = counted.where("key is null").select("id", "n", "class")
 
-    # One shuffle serves the aggregation and the join. Only shingles that several classes hold stay;
-    # copies of a class in several tasks become one row.
-    postings = _postings(docs, shared).repartition("key", "part")
-    met = (
-        postings.groupBy("key", "part")
-        .agg(F.min("class").alias("low"), F.max("class").alias("high"))
-        .where("low < high or part >= 0")
-    )
-    postings = settled(postings.join(met, ["key", "part"]).drop("part").distinct())
+    postings = settled(_shared_shingles(docs, shared))
     heads = rows.where("class is not null").groupBy("class").agg(F.min("id").alias("head"))
     signatures = (
         counted.where("class is not null")
@@ -501,21 +545,24 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         .join(postings.select("class").distinct(), "class", "left_semi")
     )
     signatures = settled(signatures)
-    star = F.explode(F.array("low", "high"))
-    near = (
-        postings.select("class", star.alias("head"))
-        .where("class <> head")
-        .select(F.least("class", "head").alias("a"), F.greatest("class", "head").alias("b"))
-        .distinct()
-    )
-    links = settled(_verified(_possible(near, signatures), docs, rows))
-    labels = connected(links, "a", "b").select(F.col("node").alias("class"), "component")
-    rest = _across(postings.select("key", "class"), labels, signatures)
-    more = settled(_verified(_possible(rest, signatures), docs, rows))
-    if not more.isEmpty():
-        labels = connected(links.unionByName(more), "a", "b").select(
-            F.col("node").alias("class"), "component"
-        )
+    links, labels = None, None
+
+    def linked(pairs: DataFrame) -> bool:
+        """Adds the links among the pairs, and the components they make."""
+        nonlocal links, labels
+        found = settled(_verified(_possible(pairs, signatures), docs, rows))
+        if found.isEmpty():
+            return False
+        links = found if links is None else links.unionByName(found)
+        labels = connected(links, "a", "b").select(F.col("node").alias("class"), "component")
+        return True
+
+    for turn in range(TURNS):
+        if not linked(_star(_with_components(postings, labels), turn)):
+            break
+    linked(_across(_with_components(postings, labels), signatures))
+    if labels is None:
+        labels = heads.select("class", F.col("class").alias("component")).limit(0)
     named = heads.join(labels, "class", "left").withColumn(
         "component", F.coalesce("component", "class")
     )
