@@ -42,7 +42,7 @@ PERCENT = 80
 BITS = 2048
 FANOUT = 8
 # Rounds of comparing classes with heads of their groups, and heads that a class meets in each.
-TURNS = 3
+TURNS = 2
 HEADS = 4
 BLOCK = 2048
 # Shingles are taken as frequent from this count on within so many shingles of one task; the
@@ -191,9 +191,9 @@ def _postings(docs: DataFrame, shared) -> DataFrame:
     return docs.select("id", "text").mapInArrow(run, "key bigint, part int, class bigint")
 
 
-def _texts(docs: DataFrame, rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """One text of each class in `wanted`. Their ids are broadcast while they are few; else the
-    texts are shuffled."""
+def _texts(docs: DataFrame, rows: DataFrame, wanted: DataFrame, most: int) -> DataFrame:
+    """One text of each class in `wanted`, which are at most so many. Their ids are broadcast while
+    they are few; else the texts are shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,8 +202,8 @@ def _texts(docs: DataFrame, rows: DataFrame, wanted: DataFrame) -> DataFrame:
                 [pa.array(names, pa.int64()), batch.column(1)], ["class", "text"]
             )
 
-    ids = settled(rows.join(wanted, "class", "left_semi").groupBy("class").agg(F.min("id").alias("head")))
-    if ids.count() <= MAX_BROADCAST:
+    ids = rows.join(wanted, "class", "left_semi").groupBy("class").agg(F.min("id").alias("head"))
+    if most <= MAX_BROADCAST:
         ids = F.broadcast(ids)
     picked = docs.join(ids, docs["id"].eqNullSafe(ids["head"]), "left_semi").select("id", "text")
     # An id may stand at several texts, so classes are taken from the texts themselves.
@@ -277,7 +277,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, rows: DataFrame) -> DataFrame:
 
     pairs = settled(pairs)
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    texts = settled(_texts(docs, rows, wanted))
+    texts = settled(_texts(docs, rows, wanted, 2 * pairs.count()))
     met = pairs.join(texts.select(F.col("class").alias("a"), F.col("text").alias("left")), "a")
     met = met.join(texts.select(F.col("class").alias("b"), F.col("text").alias("right")), "b")
     return met.select("a", "b", "left", "right").mapInArrow(run, "a bigint, b bigint, shared bigint")
@@ -510,7 +510,9 @@ def _shared_shingles(docs: DataFrame, shared) -> DataFrame:
     key. Shingles of one passage lead to the same classes again and again; one of them is kept, as
     told by number, sum and exclusive or of the classes' hashes besides the smallest and largest.
     """
-    postings = _postings(docs, shared).repartition("key", "part").distinct()
+    # None is null, but where only one use of the shuffle said so, there would be two shuffles.
+    postings = _postings(docs, shared).where("key is not null and part is not null")
+    postings = postings.repartition("key", "part").distinct()
     name = F.xxhash64("class")
     groups = (
         postings.groupBy("key", "part")

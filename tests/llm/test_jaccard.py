@@ -97,12 +97,14 @@ def test_hashes_agree_across_batches():
     assert [len(x) for x in among] == [1, 0, 0, 3, 1]
 
 
-def test_components_of_long_paths_and_hubs(spark):
+@pytest.mark.parametrize("in_one_task", [0, 1000])
+def test_components_of_long_paths_and_hubs(spark, in_one_task):
     rnd = random.Random(8)
     path = list(range(100, 200))
     rnd.shuffle(path)
     links = list(zip(path, path[1:])) + [(500, 500 + i) for i in range(1, 60)] + [(7, 7), (8, None), (9, 8)]
-    found = connected(spark.createDataFrame(links, "a bigint, b bigint"), "a", "b").collect()
+    df = spark.createDataFrame(links, "a bigint, b bigint")
+    found = connected(df, "a", "b", in_one_task).collect()
     want = {x: 100 for x in path} | {500 + i: 500 for i in range(60)} | {8: 8, 9: 8}
     assert {r.node: r.component for r in found} == want and len(found) == len(want)
 
