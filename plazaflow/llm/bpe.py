@@ -33,7 +33,8 @@ import pyarrow as pa
 import regex
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+from plazaflow.llm.tables import with_text
 
 # Most transitions, stretches and pairs kept by one task.
 MAX_TRANSITIONS = 500_000
@@ -309,13 +310,14 @@ def encode(
     replaced. The rank file is read by the driver and broadcast; a vocabulary does not grow with
     the data."""
     docs = docs.drop(ids_col, *([decoded_col] if decoded_col else []))
+    kept, (given, text) = docs.columns, with_text(docs, text_col)
     shared, name = share_ranks(docs.sparkSession, ranks_path, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(shared, pattern, name)
         tokens = encoder.transducer.bytes_of
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("_text"))
+            texts = batch.column(batch.schema.get_field_index(text))
             found = [encoder.encode(x.as_py()) for x in texts]
             ends = np.cumsum([0, *(len(x) // 4 for x in found)])
             if ends[-1] > np.iinfo(np.int32).max:
@@ -325,7 +327,7 @@ def encode(
             ids = pa.ListArray.from_arrays(
                 pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), np.int32))
             )
-            out = batch.drop_columns(["_text"]).append_column(ids_col, ids)
+            out = batch.select(kept).append_column(ids_col, ids)
             if decoded_col:
                 texts = [_text_of(np.frombuffer(x, np.int32).tolist(), tokens) for x in found]
                 out = out.append_column(decoded_col, pa.array(texts, pa.string()))
@@ -333,7 +335,7 @@ def encode(
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     schema += f", `{ids_col}` array<int>" + (f", `{decoded_col}` string" if decoded_col else "")
-    return docs.withColumn("_text", F.col(text_col).cast("string")).mapInArrow(run, schema)
+    return given.mapInArrow(run, schema)
 
 
 def decode(

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plazaflow.llm.spans import ALNUM, Run, runs, signed
+from plazaflow.llm.tables import with_text
 
 WINDOW = 10
 MAX_BROADCAST = 1_000_000
@@ -167,17 +168,17 @@ def marked(
     rows = windows.limit(max_broadcast + 1).collect()
     if len(rows) > max_broadcast:
         return _marked_by_join(docs, windows, column, text_col, size)
+    kept, (given, text) = docs.columns, with_text(docs, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(_Index(rows))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("_text"))
-            kept = batch.drop_columns(["_text"])
-            yield kept.append_column(column, pa.array(_scan(index, texts), _HIT_ARROW))
+            texts = batch.column(batch.schema.get_field_index(text))
+            found = pa.array(_scan(index, texts), _HIT_ARROW)
+            yield batch.select(kept).append_column(column, found)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    given = docs.withColumn("_text", F.col(text_col).cast("string"))
     return given.mapInArrow(scan, f"{schema}, `{column}` struct<{HIT}>")
 
 

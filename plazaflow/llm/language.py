@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plazaflow.llm.spans import LOWER, Run, byte_table, runs
+from plazaflow.llm.tables import with_text
 
 UNKNOWN = "und"
 BIN_BITS = 17
@@ -185,6 +186,7 @@ def identified(docs: DataFrame, model: Model, column: str = "language", text_col
     """All columns of `docs` and a struct `column`: lang, score, and the proportions of the
     languages in the chosen set."""
     docs = docs.drop(column)
+    kept, (given, text) = docs.columns, with_text(docs, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = pa.struct(
         [
@@ -197,7 +199,7 @@ def identified(docs: DataFrame, model: Model, column: str = "language", text_col
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("_text"))
+            texts = batch.column(batch.schema.get_field_index(text))
             rows = []
             for part in runs(texts, LETTERS):
                 for i, (share, score) in enumerate(zip(*proportions(part, own))):
@@ -211,9 +213,8 @@ def identified(docs: DataFrame, model: Model, column: str = "language", text_col
                             "proportions": [(own.languages[j], float(share[j])) for j in some],
                         }
                     )
-            yield batch.drop_columns(["_text"]).append_column(column, pa.array(rows, kind))
+            yield batch.select(kept).append_column(column, pa.array(rows, kind))
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     struct = "struct<lang:string,score:double,proportions:map<string,double>>"
-    given = docs.withColumn("_text", F.col(text_col).cast("string"))
     return given.mapInArrow(run, f"{schema}, `{column}` {struct}")

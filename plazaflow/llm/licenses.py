@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plazaflow.llm.spans import ALNUM, Run, runs
+from plazaflow.llm.tables import with_text
 
 MIN_COVERAGE = 0.8
 # Words of a text that a window holds for each word of the template, on either side.
@@ -163,6 +164,7 @@ def scanned(
     """All columns of `docs` and an array `column` of the licenses found: name, coverage, and the
     places of their first and last aligned word; largest coverage first."""
     docs = docs.drop(column)
+    kept, (given, text) = docs.columns, with_text(docs, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(_index(templates or TEMPLATES))
     kind = pa.list_(
         pa.struct(
@@ -172,11 +174,10 @@ def scanned(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("_text"))
+            texts = batch.column(batch.schema.get_field_index(text))
             rows = [x for part in runs(texts, ALNUM) for x in _found(part, shared.value, min_coverage)]
-            yield batch.drop_columns(["_text"]).append_column(column, pa.array(rows, kind))
+            yield batch.select(kept).append_column(column, pa.array(rows, kind))
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     struct = "array<struct<license:string,coverage:double,first:bigint,last:bigint>>"
-    given = docs.withColumn("_text", F.col(text_col).cast("string"))
     return given.mapInArrow(run, f"{schema}, `{column}` {struct}")

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plazaflow.llm.spans import ALNUM, Run, runs, signed
+from plazaflow.llm.tables import with_text
 
 CLASSES = 32
 PER_CLASS = 32
@@ -41,6 +42,7 @@ FIRST = 1e-6  # squared gradients that Adagrad starts from
 ROUNDS = 3
 SEED = 41
 BLOCK = 4096
+COUNTED_AT_ONCE = 2_000_000  # words of a task
 
 SHAPES = {
     "embed": (len(PLACES), TOKENS + 1, WIDTH),
@@ -70,12 +72,21 @@ def word_counts(docs: DataFrame) -> DataFrame:
     """How often each word hash occurs in all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def counted() -> pa.RecordBatch:
+            words, counts = np.unique(np.concatenate(hashes), return_counts=True)
+            columns = [pa.array(signed(words)), pa.array(counts)]
+            return pa.RecordBatch.from_arrays(columns, ["word", "count"])
+
+        hashes, size = [], 0
         for batch in batches:
-            hashes = [part.hash for part in runs(batch.column(0), ALNUM)]
-            if hashes:
-                words, counts = np.unique(np.concatenate(hashes), return_counts=True)
-                columns = [pa.array(signed(words)), pa.array(counts)]
-                yield pa.RecordBatch.from_arrays(columns, ["word", "count"])
+            for part in runs(batch.column(0), ALNUM):
+                hashes.append(part.hash)
+                size += len(part.hash)
+                if size >= COUNTED_AT_ONCE:
+                    yield counted()
+                    hashes, size = [], 0
+        if size:
+            yield counted()
 
     found = docs.mapInArrow(run, "word bigint, count bigint")
     return found.groupBy("word").agg(F.sum("count").alias("count"))
@@ -222,6 +233,7 @@ def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS):
 def scored(docs: DataFrame, model, column: str = "lm", text_col: str = "text") -> DataFrame:
     """All columns of `docs` and a struct `column`: n_tokens, log_likelihood and its mean."""
     docs = docs.drop(column)
+    kept, (given, text) = docs.columns, with_text(docs, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = pa.struct([("n_tokens", pa.int64()), ("log_likelihood", pa.float64()), ("mean", pa.float64())])
 
@@ -230,7 +242,7 @@ def scored(docs: DataFrame, model, column: str = "lm", text_col: str = "text") -
         w = views(flat)
         for batch in batches:
             sizes, sums = [], []
-            for part in runs(batch.column(batch.schema.get_field_index("_text")), ALNUM):
+            for part in runs(batch.column(batch.schema.get_field_index(text)), ALNUM):
                 tokens = tokens_of(part, words)
                 around = contexts(tokens, part.bounds)
                 logs = [
@@ -244,9 +256,8 @@ def scored(docs: DataFrame, model, column: str = "lm", text_col: str = "text") -
             value = np.concatenate(sums) if sums else np.zeros(0)
             mean = pa.array(value / np.maximum(n, 1), mask=n == 0)
             rows = pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(value), mean], fields=list(kind))
-            yield batch.drop_columns(["_text"]).append_column(column, rows)
+            yield batch.select(kept).append_column(column, rows)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     struct = "struct<n_tokens:bigint,log_likelihood:double,mean:double>"
-    given = docs.withColumn("_text", F.col(text_col).cast("string"))
     return given.mapInArrow(run, f"{schema}, `{column}` {struct}")

@@ -33,12 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plazaflow.llm.spans import ALNUM, Run, mix, runs, signed
+from plazaflow.llm.tables import with_text
 
 MAX_LABELLED = 32_768
 MAX_LEXICON = 100_000
 PREFIXES = (5,)  # bytes at the start of a word that count as tokens of their own
 PARTS = 4  # the law and the curve are fitted to texts of one part, scored by the other parts
 COUNTS = tuple(f"{x}{i}" for i in range(PARTS) for x in "ct")
+COUNTED_AT_ONCE = 1_000_000  # words of a batch
 PRIOR = 0.1  # weight of the prior against the texts counted
 MIN_Z = 2.5
 DRIFT = 0.5
@@ -138,25 +140,29 @@ def _sampled(labels: DataFrame, id_col: str, label_col: str, max_labelled: int)
 def _counts(labelled: DataFrame) -> DataFrame:
     """How often each word and first bytes stand in the clean (c) and toxic (t) texts of each part."""
 
+    def counted(hashes: list[np.ndarray], groups: list[np.ndarray]) -> pa.RecordBatch:
+        values, place = np.unique(np.concatenate(hashes), return_inverse=True)
+        width = 2 * PARTS
+        counts = np.bincount(place * width + np.concatenate(groups), minlength=width * len(values))
+        counts = counts.reshape(-1, width).T
+        columns = [pa.array(signed(values)), *(pa.array(np.ascontiguousarray(x)) for x in counts)]
+        return pa.RecordBatch.from_arrays(columns, ["token", *COUNTS])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             label = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64) != 0
             group = 2 * batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64) + label
-            hashes, groups = [], []
+            hashes, groups, size = [], [], 0
             for part in runs(batch.column(0), ALNUM):
                 doc = part.first + np.repeat(np.arange(part.n), np.diff(part.bounds))
                 hashes += _token_hashes(part)
                 groups += [group[doc]] * (len(PREFIXES) + 1)
-            if not hashes:
-                continue
-            values, place = np.unique(np.concatenate(hashes), return_inverse=True)
-            width = 2 * PARTS
-            counts = np.bincount(place * width + np.concatenate(groups), minlength=width * len(values))
-            counts = counts.reshape(-1, width).T
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(values)), *(pa.array(np.ascontiguousarray(x)) for x in counts)],
-                ["token", *COUNTS],
-            )
+                size += len(doc)
+                if size >= COUNTED_AT_ONCE:
+                    yield counted(hashes, groups)
+                    hashes, groups, size = [], [], 0
+            if size:
+                yield counted(hashes, groups)
 
     schema = "token bigint, " + ", ".join(f"{c} bigint" for c in COUNTS)
     found = labelled.select("_text", "_label", "_part").mapInArrow(run, schema)
@@ -276,6 +282,7 @@ def scored(docs: DataFrame, model: Model, column: str = "toxicity", text_col: st
     """All columns of `docs` and a struct `column`: score, and the significant passages as word
     places (first, last) with their score and the chance that a clean text of this length has one."""
     docs = docs.drop(column)
+    kept, (given, text) = docs.columns, with_text(docs, text_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     passage = pa.struct(
         [("first", pa.int64()), ("last", pa.int64()), ("score", pa.float64()), ("chance", pa.float64())]
@@ -286,7 +293,7 @@ def scored(docs: DataFrame, model: Model, column: str = "toxicity", text_col: st
         own = shared.value
         for batch in batches:
             rows = []
-            for words, found in _per_text(batch.column(batch.schema.get_field_index("_text")), own):
+            for words, found in _per_text(batch.column(batch.schema.get_field_index(text)), own):
                 passages = []
                 for first, last, score in found:
                     expected = own.k * max(words, 1) * math.exp(-own.scale * score)
@@ -295,9 +302,8 @@ def scored(docs: DataFrame, model: Model, column: str = "toxicity", text_col: st
                 value = own.probability(_statistic(words, found, own))
                 names = ("first", "last", "score", "chance")
                 rows.append({"score": value, "passages": [dict(zip(names, p)) for p in passages]})
-            yield batch.drop_columns(["_text"]).append_column(column, pa.array(rows, kind))
+            yield batch.select(kept).append_column(column, pa.array(rows, kind))
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     struct = "score double, passages array<struct<first:bigint,last:bigint,score:double,chance:double>>"
-    given = docs.withColumn("_text", F.col(text_col).cast("string"))
     return given.mapInArrow(run, f"{schema}, `{column}` struct<{struct}>")
