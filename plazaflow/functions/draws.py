@@ -36,7 +36,13 @@ def pick(u: Column, values: Sequence) -> Column:
 
 def pick_weighted(u: Column, weights: Sequence[int]) -> Column:
     """Index drawn in proportion to its whole-number weight; a zero weight is never drawn."""
-    return pick(u, [index for index, weight in enumerate(weights) for _ in range(weight)])
+    x, reached, chosen = below(u, sum(weights)), 0, None
+    for index, weight in enumerate(weights):
+        if weight:
+            reached += weight
+            within = x < reached
+            chosen = F.when(within, index) if chosen is None else chosen.when(within, index)
+    return chosen
 
 
 def gauss_pair(u1: Column, u2: Column) -> tuple[Column, Column]:

@@ -25,10 +25,8 @@ def blank_to_null(c: Column) -> Column:
 
 def transport_mode(route_type: Column) -> Column:
     """Mode of a route type; unknown and missing types are the catch-all mode."""
-    mode = F.lit(None).cast("string")
-    for code, name in MODE_BY_ROUTE_TYPE.items():
-        mode = F.coalesce(mode, F.when(route_type == code, F.lit(name)))
-    return F.coalesce(mode, F.lit(OTHER_MODE))
+    modes = F.create_map(*[F.lit(x) for pair in MODE_BY_ROUTE_TYPE.items() for x in pair])
+    return F.coalesce(F.try_element_at(modes, route_type), F.lit(OTHER_MODE))
 
 
 def scheduled_time(arrival: Column, departure: Column) -> Column:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Names of the target and the features.
 TARGET = "avg_delay_seconds"
 CATEGORY = "route_id"
 NUMERIC = [
@@ -84,14 +85,18 @@ class TimeSplit:
     validation: DataFrame
 
 
+def _hour(slot: str) -> Column:
+    return F.date_trunc("HOUR", slot)
+
+
 def split_point(features: DataFrame, train_share: float = 0.8) -> DataFrame:
     """One row, `num_slots` and `cut`: the last slot of the training part.
 
-    At least one slot stays on each side. Slots are whole hours, so their distinct values number
-    at most 8,784 per year of history: the one array they are gathered in stays small at any
+    At least one slot stays on each side. Slots are cut to whole hours, so their distinct values
+    number at most 8,784 per year of history: the one array they are gathered in stays small at any
     feed volume, and duplicates are removed in every task before.
     """
-    slots = features.agg(F.array_sort(F.collect_set("slot_ts")).alias("slots"))
+    slots = features.agg(F.array_sort(F.collect_set(_hour("slot_ts"))).alias("slots"))
     n = F.size("slots")
     position = F.greatest(F.lit(1), F.least(F.floor(n * F.lit(train_share)).cast("int"), n - 1))
     return slots.select(
@@ -108,8 +113,8 @@ def temporal_split(features: DataFrame, train_share: float = 0.8) -> TimeSplit:
         )
     cut = F.lit(found["cut"])
     return TimeSplit(
-        train=features.where(F.col("slot_ts") <= cut),
-        validation=features.where(F.col("slot_ts") > cut),
+        train=features.where(_hour("slot_ts") <= cut),
+        validation=features.where(_hour("slot_ts") > cut),
     )
 
 

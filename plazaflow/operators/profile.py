@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HOUR_COLUMNS = ("hour_of_day", "scheduled_hour")
-SERVING_ROWS = 20_000
 
 
 def volume(df: DataFrame, axis: Column | str) -> DataFrame:
@@ -115,6 +114,16 @@ def top_rows(df: DataFrame, metric: str, n: int, ties: Sequence[str] = ()) -> Da
     return df.orderBy(F.desc_nulls_last(metric), *ties).limit(n)
 
 
-def serving_rows(df: DataFrame, order: Sequence[str], n: int = SERVING_ROWS) -> DataFrame:
-    """The first n rows in a stated order, for a table viewer."""
-    return df.orderBy(*order).limit(n)
+def serving_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
+    """The first n rows in a stated order, for a table viewer, and whether there are more.
+
+    One row more than wanted is taken; the window below sees at most these n + 1 rows.
+    """
+    some = df.orderBy(*order).limit(n + 1)
+    everything = Window.partitionBy(F.lit(0))
+    return (
+        some.withColumn("truncated", F.count("*").over(everything) > n)
+        .withColumn("_rank", F.row_number().over(everything.orderBy(*order)))
+        .where(F.col("_rank") <= n)
+        .drop("_rank")
+    )

@@ -13,6 +13,7 @@ from plazaflow.config import EventConfig
 from plazaflow.functions.geo import representative_point, with_cell
 from plazaflow.functions.transit import (
     OTHER_MODE,
+    blank_to_null,
     scheduled_hour,
     scheduled_time,
     station_of,
@@ -30,8 +31,12 @@ from plazaflow.sources.contracts import (
 
 def bike_readings(status: DataFrame) -> DataFrame:
     """station x reading_ts from station status payloads."""
-    typed = status.select(F.from_json("payload_json", STATION_STATUS_JSON).alias("p")).select(
-        "p.station_id",
+    # The id is bronze's own column: what the join below asks of it must not parse payloads again.
+    typed = status.select(
+        blank_to_null(F.col("station_id")).alias("station_id"),
+        F.from_json("payload_json", STATION_STATUS_JSON).alias("p"),
+    ).select(
+        "station_id",
         "p.num_bikes_available",
         "p.num_docks_available",
         "p.is_renting",
@@ -44,17 +49,20 @@ def bike_readings(status: DataFrame) -> DataFrame:
 def bike_stations(info: DataFrame, event: EventConfig) -> DataFrame:
     """One row per station, from its latest information payload."""
     version = ["ingest_ts"] if "ingest_ts" in info.columns else []
-    typed = info.select(
-        F.from_json("payload_json", STATION_INFO_JSON).alias("p"), *version
+    known = info.select(
+        blank_to_null(F.col("station_id")).alias("station_id"), "payload_json", *version
+    )
+    # Ranked as text; only the payload that is kept is parsed.
+    latest = keep_first(known, ["station_id"], largest=version, join_side=True)
+    typed = latest.select(
+        "station_id", F.from_json("payload_json", STATION_INFO_JSON).alias("p")
     ).select(
-        "p.station_id",
+        "station_id",
         F.col("p.lat").try_cast("double").alias("lat"),
         F.col("p.lon").try_cast("double").alias("lon"),
         "p.capacity",
-        *version,
     )
-    latest = keep_first(typed, ["station_id"], largest=version, join_side=True)
-    return with_cell(latest.drop(*version), event)
+    return with_cell(typed, event)
 
 
 def bike_availability(status: DataFrame, info: DataFrame, event: EventConfig) -> DataFrame:
@@ -106,8 +114,15 @@ def transit_delays(updates: DataFrame, stops: DataFrame, event: EventConfig) ->
 
 
 def disruptions(features: DataFrame, event: EventConfig) -> DataFrame:
-    """One row per disruption, its latest published version, with a representative point."""
-    parsed = features.select(
+    """One row per disruption, its latest published version, with a representative point.
+
+    A feed hands most disruptions over again and again: versions are ranked by their publication
+    time and text, and only the one that is kept is parsed and placed.
+    """
+    published = F.get_json_object("payload_json", "$.properties.tstore").try_cast("timestamp")
+    versions = features.select("disruption_id", "payload_json", published.alias("_published"))
+    latest = keep_first(versions, ["disruption_id"], largest=["_published"])
+    parsed = latest.select(
         "disruption_id", F.from_json("payload_json", DISRUPTION_JSON).alias("f")
     ).select("disruption_id", "f.properties", representative_point(F.col("f.geometry")).alias("at"))
     typed = parsed.select(
@@ -128,7 +143,7 @@ def disruptions(features: DataFrame, event: EventConfig) -> DataFrame:
         "at.lon",
         "at.lat",
     )
-    return with_cell(keep_first(typed, ["disruption_id"], largest=["published_ts"]), event)
+    return with_cell(typed, event)
 
 
 def scheduled_passes(stop_times: DataFrame) -> DataFrame:
@@ -172,12 +187,14 @@ def transit_supply(
 ) -> DataFrame:
     """Scheduled passes of the event day: one row per trip, stop and position on the trip.
 
-    Trips are cut to the active services first, so the one join of two large tables, passes with
-    trips, gets its right side as small as it can be.
+    Passes are cut to the running trips before they are ranked. Beyond the broadcast size both
+    meet by a shuffle on the trip, which the rank within a trip and the join after it use again.
     """
+    running = running_trips(trips, routes, active)
+    passes = stop_times.join(running.select("trip_id"), "trip_id", "left_semi")
     return (
-        scheduled_passes(stop_times)
-        .join(running_trips(trips, routes, active), "trip_id")
+        scheduled_passes(passes)
+        .join(running, "trip_id")
         .join(stop_places(stops, event), "stop_id")
         .withColumn("source", F.lit("real"))
     )

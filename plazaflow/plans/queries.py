@@ -9,7 +9,6 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -220,11 +219,13 @@ def generated_mentions(spark, folder):
 
 @query
 def stream_ingest(spark, folder):
-    """Landed mentions drained twice: the second run finds nothing new."""
+    """Mentions landed and drained in two halves; a third run finds nothing new."""
     lake = scratch_lake(spark, "stream")
-    landed = data.mentions(spark, folder).select(*MENTIONS.fieldNames())
-    landed.write.json(lake.landing("mentions"))
-    ingest_mentions(lake)
+    mentions = data.mentions(spark, folder).select(*MENTIONS.fieldNames())
+    half = F.crc32("mention_id") % 2
+    for i in (0, 1):
+        mentions.where(half == i).write.mode("append").json(lake.landing("mentions"))
+        ingest_mentions(lake)
     ingest_mentions(lake)
     return lake.read("bronze", "bronze_csd_mentions").select(*MENTIONS.fieldNames(), "source")
 
@@ -242,19 +243,20 @@ def sql_distinct_services(spark, folder):
 # -- timetable cascade -----------------------------------------------------------------------------
 
 
-def _cascade(spark, folder):
+def _timetable(spark, folder):
     event = event_of(spark)
-    return timetable.cut_to_area(
-        {
-            "stops": data.wide_stops(spark, folder),
-            "stop_times": data.stop_times(spark, folder),
-            "trips": data.trips(spark, folder),
-            "routes": data.routes(spark, folder),
-            "calendar": data.calendar(spark, folder, event),
-            "calendar_dates": data.calendar_dates(spark, folder, event),
-        },
-        event,
-    )
+    return {
+        "stops": data.wide_stops(spark, folder),
+        "stop_times": data.stop_times(spark, folder),
+        "trips": data.trips(spark, folder),
+        "routes": data.routes(spark, folder),
+        "calendar": data.calendar(spark, folder, event),
+        "calendar_dates": data.calendar_dates(spark, folder, event),
+    }
+
+
+def _cascade(spark, folder):
+    return timetable.cut_to_area(_timetable(spark, folder), event_of(spark))
 
 
 @query
@@ -268,10 +270,15 @@ def bbox_stops(spark, folder):
 
 @query
 def timetable_semijoin_cascade(spark, folder):
-    """Rows each of the six tables keeps."""
+    """Rows each of the six tables keeps: written as timetable files and ingested step by step."""
+    lake, files = scratch_lake(spark, "cascade"), scratch_dir(spark, "timetable")
+    for name, df in _timetable(spark, folder).items():
+        df.write.option("header", True).csv(f"{files}/{name}.txt")
+    rows = timetable.ingest_timetable(lake, files, event_of(spark))
     kept = None
-    for name, df in _cascade(spark, folder).items():
-        counted = df.agg(F.lit(name).alias("table_name"), F.count("*").alias("num_rows"))
+    for name in rows:
+        written = lake.read("bronze", f"bronze_gtfs_static_{name}")
+        counted = written.agg(F.lit(name).alias("table_name"), F.count("*").alias("num_rows"))
         kept = counted if kept is None else kept.union(counted)
     return kept
 
@@ -443,9 +450,10 @@ def scoring_features(spark, folder):
 
 
 def _features(spark, folder):
-    """Training features, kept because finding the cut and using it are two passes."""
-    features = feat.training_features(_reliability(spark, folder))
-    return features.persist(StorageLevel.MEMORY_AND_DISK)
+    """Training features, written because finding the cut and using it are two passes."""
+    lake = scratch_lake(spark, "features")
+    lake.replace(feat.training_features(_reliability(spark, folder)), "gold", "features")
+    return lake.read("gold", "features")
 
 
 @query
@@ -476,17 +484,38 @@ def _trained(spark, folder):
 
 @query
 def model_metrics(spark, folder):
-    return _trained(spark, folder)[1]
+    """Extent of each part, errors of the baseline, and whether the forest is better than that."""
+    report = _trained(spark, folder)[1]
+    baseline = report.where("part = 'baseline'").select(F.col("mae_seconds").alias("_baseline"))
+    of_baseline = F.col("part") == "baseline"
+    return report.join(F.broadcast(baseline)).select(
+        "part",
+        "num_rows",
+        "num_lines",
+        "first_slot",
+        "last_slot",
+        F.when(of_baseline, F.col("mae_seconds")).alias("mae_seconds"),
+        F.when(of_baseline, F.col("rmse_seconds")).alias("rmse_seconds"),
+        F.when(F.col("part") == "validation", F.col("mae_seconds") < F.col("_baseline")).alias(
+            "better_than_baseline"
+        ),
+    )
 
 
 @query
 def delay_predictions(spark, folder):
     """The model goes through the lake: saved with its report, loaded, applied."""
     lake = scratch_lake(spark, "model")
-    model, report = _trained(spark, folder)
+    features = _features(spark, folder)
+    model, report = forecast.train(features)
     forecast.save_model(lake, model, report)
-    return forecast.predictions(forecast.load_model(lake), _reliability(spark, folder)).drop(
-        "predicted_at"
+    trained = feat.temporal_split(features).train
+    seen = trained.agg(F.min(feat.TARGET).alias("low"), F.max(feat.TARGET).alias("high")).first()
+    forecasts = forecast.predictions(forecast.load_model(lake), _reliability(spark, folder))
+    # Leaves are means of targets, so no forecast lies beyond them.
+    within = F.col("predicted_delay_seconds").between(seen.low - 1e-6, seen.high + 1e-6)
+    return forecasts.withColumn("within_targets", within).drop(
+        "predicted_at", "predicted_delay_seconds"
     )
 
 
@@ -513,15 +542,44 @@ def lake_volume_report(spark, folder):
     return inventory.volume_report(lake, [BY_NAME[n] for n in wanted])
 
 
+@query
+def lake_breakdowns(spark, folder):
+    """The volume breakdowns that the catalogue lists for the mentions."""
+    lake = scratch_lake(spark, "breakdowns")
+    lake.replace(_mentions(spark, folder), "silver", "silver_csd_mentions")
+    made = None
+    for kind, df in inventory.breakdowns(lake, "silver_csd_mentions").items():
+        axis = F.col("axis").cast("string").alias("axis")
+        part = df.select(F.lit(kind).alias("kind"), axis, "num_rows")
+        made = part if made is None else made.union(part)
+    return made
+
+
+@query
+def lake_station_versions(spark, folder):
+    """Stations whose newer version, committed later, has to win; their capacity tells."""
+    lake = scratch_lake(spark, "versions")
+    versions = data.station_information(spark, folder)
+    for version in ("ingest_ts <= timestamp_seconds(0)", "ingest_ts > timestamp_seconds(0)"):
+        rows = versions.where(version).drop("ingest_ts")
+        lake.append_bronze(rows, "bronze_nextbike_station_information", "real")
+    info = lake.read("bronze", "bronze_nextbike_station_information")
+    return silver.bike_stations(info, event_of(spark)).select("station_id", "capacity")
+
+
 @query
 def lake_jobs(spark, folder):
     """Bronze tables written, then the silver and gold jobs, then the last table they build."""
     lake, event = scratch_lake(spark, "jobs"), event_of(spark)
     lake.append_bronze(data.station_status(spark, folder), "bronze_nextbike_status", "real")
-    latest = data.station_information(spark, folder).where("ingest_ts > timestamp_seconds(0)")
-    lake.append_bronze(
-        latest.drop("ingest_ts"), "bronze_nextbike_station_information", "real"
-    )
+    # The older version of every station first, so that the later commit must win.
+    versions = data.station_information(spark, folder)
+    for version in ("ingest_ts <= timestamp_seconds(0)", "ingest_ts > timestamp_seconds(0)"):
+        lake.append_bronze(
+            versions.where(version).drop("ingest_ts"),
+            "bronze_nextbike_station_information",
+            "real",
+        )
     lake.append_bronze(data.trip_updates(spark, folder), "bronze_gtfs_tripupdates", "real")
     lake.append_bronze(data.features(spark, folder), "bronze_viz_disruptions", "real")
     lake.append_bronze(
@@ -613,8 +671,8 @@ def top_delays(spark, folder):
 def serving_rows(spark, folder):
     """The viewer's first 20,000 scheduled passes."""
     return profile.serving_rows(
-        _supply(spark, folder), ["trip_id", "stop_sequence", "stop_id"]
-    ).select("trip_id", "stop_sequence", "stop_id", "h3_index")
+        _supply(spark, folder), ["trip_id", "stop_sequence", "stop_id"], 20_000
+    ).select("trip_id", "stop_sequence", "stop_id", "h3_index", "truncated")
 
 
 @query

@@ -1,14 +1,18 @@
 """The lake: every table read and write of the library goes through here.
 
 Tables are folders `root/layer/table`. Parquet is the default; pass ``fmt="delta"`` where Delta is
-on the classpath to get atomic overwrites and a commit history.
+on the classpath to get its transactions and history.
+
+A Parquet table that is rebuilt is written to a version folder of its own. A version counts once
+Spark has marked it as complete, so readers see the old table until the new one is whole, and a
+rebuild that fails leaves the old one as it was. Appended Parquet tables hold a folder per commit.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +33,11 @@ def with_provenance(df: DataFrame, source: str) -> DataFrame:
     )
 
 
+# Folders of appended commits and of rebuilt versions.
+COMMIT = "_commit_id"
+VERSION = "version-"
+
+
 class Lake:
     """Addressing, reading and writing of layered tables below one root folder."""
 
@@ -62,45 +71,47 @@ class Lake:
 
     def read(self, layer: str, table: str, since: dt.date | None = None) -> DataFrame:
         """Scans a table; `since` keeps the bronze partitions ingested from that day on."""
-        df = self.spark.read.format(self.fmt).load(self.path(layer, table))
+        path = self.path(layer, table)
+        if self.fmt != "delta":
+            versions = self._versions(path)
+            path = versions[-1] if versions else path
+        df = self.spark.read.format(self.fmt).load(path).drop(COMMIT)
         if since is not None:
             df = df.where(F.col("ingest_date") >= F.lit(since))
         return df
 
     def find(self, layer: str, table: str) -> DataFrame | None:
-        """The table, or None where it was never written."""
-        if not self._folder_exists(self.path(layer, table)):
-            return None
-        try:
-            return self.read(layer, table)
-        except AnalysisException:  # a folder without data files
+        """The table, or None where it was never written. One that cannot be read is an error."""
+        path = self.path(layer, table)
+        if not self.has_folder(path):
             return None
+        if self.fmt != "delta" and not self._versions(path) and not self._names(path, f"{COMMIT}="):
+            return None  # its first rebuild did not come to an end
+        return self.read(layer, table)
 
     def exists(self, layer: str, table: str) -> bool:
         return self.find(layer, table) is not None
 
     def _folder(self, path: str):
-        """A path and its file system, local or shared."""
+        """A path and its file system, local or shared; all use of Hadoop's files is by this."""
         folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return folder, folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def _folder_exists(self, path: str) -> bool:
+    def has_folder(self, path: str) -> bool:
         folder, files = self._folder(path)
         return files.exists(folder)
 
-    def _reads(self, df: DataFrame, path: str) -> bool:
-        """Whether a plan scans a folder; looks at the scans' roots, not at their many files."""
+    def _names(self, path: str, prefix: str) -> list[str]:
         folder, files = self._folder(path)
-        target = files.makeQualified(folder).toString()
-        leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-        for leaf in (leaves.apply(i) for i in range(leaves.size())):
-            if leaf.getClass().getSimpleName() != "LogicalRelation":
-                continue
-            relation = leaf.relation()
-            if relation.getClass().getSimpleName() == "HadoopFsRelation":
-                if target in relation.location().rootPaths().mkString("\n").split("\n"):
-                    return True
-        return False
+        if not files.exists(folder):
+            return []
+        names = [x.getPath().getName() for x in files.listStatus(folder)]
+        return sorted(x for x in names if x.startswith(prefix))
+
+    def _versions(self, path: str) -> list[str]:
+        """Folders of the complete versions of a rebuilt table, oldest first."""
+        folders = [f"{path}/{name}" for name in self._names(path, VERSION)]
+        return [x for x in folders if self.has_folder(f"{x}/_SUCCESS")]
 
     def register_views(self, layer: str, *tables: str) -> None:
         """Makes tables available to `spark.sql` under their own names."""
@@ -111,41 +122,59 @@ class Lake:
 
     def append_bronze(self, df: DataFrame, table: str, source: str) -> int:
         """Appends events below a partition of their ingest date."""
-        return self._save(with_provenance(df, source), "bronze", table, "append", ["ingest_date"])
+        return self._append(with_provenance(df, source), table, uuid.uuid4().hex)
 
     def replace_bronze(self, df: DataFrame, table: str, source: str) -> int:
         """Replaces a snapshot source (a timetable, say) together with its schema."""
-        return self._save(with_provenance(df, source), "bronze", table, "overwrite")
+        return self._replace(with_provenance(df, source), "bronze", table)
 
     def replace(self, df: DataFrame, layer: str, table: str) -> int:
-        """Rebuilds a silver or gold table. The plan must not read the table it replaces."""
-        if self.fmt != "delta" and self._reads(df, self.path(layer, table)):
-            # Spark would delete the files first and find them missing afterwards.
-            raise ValueError(f"{table} cannot be rebuilt from itself")
-        return self._save(df, layer, table, "overwrite")
-
-    def _save(
-        self,
-        df: DataFrame,
-        layer: str,
-        table: str,
-        mode: str,
-        partition_by: list[str] | None = None,
-    ) -> int:
-        # The row count rides along with the write instead of running the plan again.
+        """Rebuilds a silver or gold table, from other tables or from itself."""
+        return self._replace(df, layer, table)
+
+    def _replace(self, df: DataFrame, layer: str, table: str) -> int:
+        path = self.path(layer, table)
+        if self.fmt == "delta":
+            rows, writer = self._counted(df)
+            writer.mode("overwrite").option("overwriteSchema", "true").save(path)
+        else:
+            names = self._names(path, VERSION)
+            number = 1 + max((int(x.removeprefix(VERSION)) for x in names), default=0)
+            rows, writer = self._counted(df)
+            writer.mode("error").save(f"{path}/{VERSION}{number:010d}")
+            # The version before stays for readers that have begun with it.
+            self._drop_versions(path, keep=2)
+        return self.record(layer, table, "overwrite", rows.get["rows"])
+
+    def _drop_versions(self, path: str, keep: int) -> None:
+        kept = set(self._versions(path)[-keep:])
+        for name in self._names(path, VERSION):
+            if f"{path}/{name}" not in kept:
+                folder, files = self._folder(f"{path}/{name}")
+                files.delete(folder, True)
+
+    def _append(self, df: DataFrame, table: str, commit: str, version: int | None = None) -> int:
+        """Adds the rows of one commit; the same commit again takes the place of the first."""
+        path = self.path("bronze", table)
+        rows, writer = self._counted(df)
+        writer = writer.partitionBy("ingest_date")
+        if self.fmt == "delta":
+            if version is not None:  # Delta skips a version that an application has written
+                writer = writer.option("txnAppId", commit).option("txnVersion", str(version))
+            writer.mode("append").save(path)
+        else:
+            folder = commit if version is None else f"{commit}-{version:010d}"
+            writer.mode("overwrite").save(f"{path}/{COMMIT}={folder}")
+            if not rows.get["rows"]:  # nothing but an empty folder was written
+                location, files = self._folder(f"{path}/{COMMIT}={folder}")
+                files.delete(location, True)
+        found = rows.get["rows"]
+        return self.record("bronze", table, "append", found) if found else 0
+
+    def _counted(self, df: DataFrame):
+        """A writer that counts: the row count rides along instead of running the plan again."""
         seen = Observation()
-        writer = (
-            df.observe(seen, F.count("*").alias("rows")).write.format(self.fmt).mode(mode)
-        )
-        if self.fmt == "delta" and mode == "overwrite":
-            writer = writer.option("overwriteSchema", "true")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.save(self.path(layer, table))
-        rows = seen.get["rows"]
-        if rows or mode == "overwrite":
-            self.record(layer, table, mode, rows)
-        return rows
+        return seen, df.observe(seen, F.count("*").alias("rows")).write.format(self.fmt)
 
     def append_stream(
         self,
@@ -156,15 +185,19 @@ class Lake:
     ) -> int:
         """Drains what is pending in a stream into bronze and stops; returns the rows added.
 
-        The checkpoint remembers the files already read, so each run appends only new ones. A
-        batch that was cut off is written again by the next run, and a lost checkpoint means all
-        files are read again; silver keeps one row per key, so neither shows up beyond bronze.
+        The checkpoint remembers the files already read, so each run appends only new ones. A batch
+        is a commit named by the stream and its number: one that was cut off takes its own place when
+        it is repeated. After a lost checkpoint all files are read again as another stream; nothing is
+        lost, and silver keeps one row per key.
         """
         rows = 0
 
         def append(batch: DataFrame, number: int) -> None:
             nonlocal rows
-            rows += self._save(batch, "bronze", table, "append", ["ingest_date"])
+            context = batch.sparkSession.sparkContext
+            rows += self._append(
+                batch, table, context.getLocalProperty("sql.streaming.queryId"), number
+            )
 
         query = (
             with_provenance(stream, source)
@@ -178,18 +211,19 @@ class Lake:
 
     # -- audit ---------------------------------------------------------------------------
 
-    def record(self, layer: str, table: str, mode: str, rows: int) -> None:
-        """Notes one committed write; the commit count of tables that keep no history."""
+    def record(self, layer: str, table: str, mode: str, rows: int) -> int:
+        """Notes one committed write, for the commit count of tables that keep no history."""
         self.spark.createDataFrame(
             [(layer, table, mode, rows)],
             "layer string, table_name string, mode string, num_rows bigint",
         ).coalesce(1).withColumn("written_at", F.current_timestamp()).write.mode("append").parquet(
             self.audit_path
         )
+        return rows
 
     def commits(self) -> DataFrame:
         """layer, table_name, num_versions of every table ever written."""
-        if not self._folder_exists(self.audit_path):
+        if not self.has_folder(self.audit_path):
             return self.spark.createDataFrame(
                 [], "layer string, table_name string, num_versions bigint"
             )

@@ -24,6 +24,7 @@ PLATFORMS = ("mastodon", "bluesky", "x")
 LANGUAGES = ("de", "en", "pl")
 SENTIMENT_MEAN, SENTIMENT_SPREAD = 0.35, 0.4
 MEDIA_SHARE = 0.4
+MENTIONS_PER_TASK = 100_000
 
 
 def mentions_for(ids: DataFrame, event: EventConfig, number: str = "number") -> DataFrame:
@@ -76,17 +77,30 @@ def mentions_for(ids: DataFrame, event: EventConfig, number: str = "number") ->
 
 
 def generate_mentions(
-    spark: SparkSession, count: int, event: EventConfig, first: int = 1, partitions: int = 1
+    spark: SparkSession,
+    count: int,
+    event: EventConfig,
+    first: int = 1,
+    partitions: int | None = None,
 ) -> DataFrame:
     """`count` mentions numbered from `first`; batches with disjoint numbers share no id."""
-    ids = spark.range(first, first + count, 1, partitions).toDF("number")
+    tasks = partitions or -(-count // MENTIONS_PER_TASK) or 1
+    ids = spark.range(first, first + count, 1, tasks).toDF("number")
     return mentions_for(ids, event).select(*MENTIONS.fieldNames())
 
 
 def land_mentions(lake: Lake, event: EventConfig, batches: int = 5, per_batch: int = 400) -> int:
-    """Appends `batches` batches of mentions, as JSON lines files, to the landing folder."""
-    total = batches * per_batch
-    generate_mentions(lake.spark, total, event, partitions=batches).write.mode("append").json(
-        lake.landing("mentions")
-    )
-    return total
+    """Lands `batches` batches of mentions as JSON lines files; returns the mentions landed.
+
+    A batch has a folder named by the event day and its numbers. One that is there and complete is
+    left alone, so a rerun lands nothing twice; one that was cut off is written again.
+    """
+    landed = 0
+    for first in range(1, batches * per_batch + 1, per_batch):
+        name = f"{event.compact_day}-{first:012d}-{per_batch}"
+        folder = f"{lake.landing('mentions')}/{name}"
+        if not lake.has_folder(f"{folder}/_SUCCESS"):
+            batch = generate_mentions(lake.spark, per_batch, event, first)
+            batch.write.mode("overwrite").json(folder)
+            landed += per_batch
+    return landed

@@ -29,8 +29,9 @@ def read_timetable_file(spark: SparkSession, folder: str, name: str) -> DataFram
     wanted = TIMETABLE[name]
     try:
         raw = spark.read.csv(f"{folder}/{name}.txt", header=True, enforceSchema=False)
-    except AnalysisException:
-        if name not in OPTIONAL_TIMETABLE_FILES:
+    except AnalysisException as e:
+        # Only a file that is not there is optional; one that cannot be read is an error.
+        if name not in OPTIONAL_TIMETABLE_FILES or e.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], wanted)
     present = set(raw.columns)

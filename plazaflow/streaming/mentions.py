@@ -14,8 +14,9 @@ FILES_PER_BATCH = 10_000
 def read_mentions_stream(
     spark: SparkSession, folder: str, files_per_batch: int = FILES_PER_BATCH
 ) -> DataFrame:
-    """Stream of JSON lines files; a field that does not parse is null, its row is kept."""
-    reader = spark.readStream.schema(MENTIONS)
+    """Stream of JSON lines files, batch folders and all; a field that does not parse is null, its
+    row is kept."""
+    reader = spark.readStream.schema(MENTIONS).option("recursiveFileLookup", "true")
     return reader.option("maxFilesPerTrigger", str(files_per_batch)).json(folder)
 
 

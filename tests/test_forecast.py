@@ -102,6 +102,23 @@ def test_training_judging_and_publishing(spark, lake, history):
     assert found["never seen"].last_observed_delay_seconds == 60
 
 
+def test_the_forest_does_not_depend_on_the_partitions_it_gets(spark, history):
+    features = feat.training_features(history)
+    found = []
+    for partitions in (1, 7):
+        model, _ = forecast.train(features.repartition(partitions), FAST)
+        rows_ = model.transform(features).select("route_id", "slot_ts", "prediction").collect()
+        found.append({(r[0], r[1]): r[2] for r in rows_})
+    assert found[0] == pytest.approx(found[1])
+
+
+def test_a_damaged_model_is_not_a_missing_one(spark, lake):
+    spark.range(1).write.json(f"{lake.models}/{forecast.MODEL_NAME}")
+    with pytest.raises(Exception) as e:
+        forecast.load_model(lake)
+    assert "no trained model" not in str(e.value)
+
+
 def test_too_little_history_is_refused(spark, history):
     few = feat.training_features(history.where(F.col("service_date") == DAY))
     with pytest.raises(RuntimeError, match="training rows"):

@@ -53,14 +53,56 @@ def test_silver_and_gold_are_rebuilt(spark, lake):
     assert rows(lake.read("gold", "t")) == [(0,), (1,)]
 
 
-def test_a_table_is_not_rebuilt_from_itself(spark, lake):
+def test_a_table_can_be_rebuilt_from_itself(spark, lake):
     lake.replace(numbers(spark, 3), "gold", "t")
-    lake.replace(numbers(spark, 3), "gold", "t2")
-    same = lake.read("gold", "t2").union(lake.read("gold", "t").where("n > 1"))
-    with pytest.raises(ValueError, match="itself"):
-        lake.replace(same, "gold", "t")
-    assert lake.read("gold", "t").count() == 3
-    assert lake.replace(lake.read("gold", "t"), "gold", "t2") == 3
+    assert lake.replace(lake.read("gold", "t").where("n > 0"), "gold", "t") == 2
+    assert rows(lake.read("gold", "t")) == [(1,), (2,)]
+
+
+@pytest.mark.parametrize("write", ["replace", "replace_bronze"])
+def test_a_rebuild_that_fails_leaves_the_old_table(spark, lake, write):
+    def rebuild(df):
+        if write == "replace":
+            return lake.replace(df, "bronze", "t")
+        return lake.replace_bronze(df, "t", "real")
+
+    rebuild(numbers(spark, 3))
+    broken = numbers(spark, 100).select(
+        F.when(F.col("n") < 99, F.col("n")).otherwise(F.raise_error(F.lit("no"))).alias("n")
+    )
+    with pytest.raises(Exception, match="no"):
+        rebuild(broken)
+    assert rows(lake.read("bronze", "t"), "n") == [(0,), (1,), (2,)]
+    assert rebuild(numbers(spark, 1)) == 1
+    assert rows(lake.read("bronze", "t"), "n") == [(0,)]
+
+
+def test_a_first_rebuild_that_fails_is_no_table(spark, lake):
+    with pytest.raises(Exception, match="no"):
+        lake.replace(spark.range(3).select(F.raise_error(F.lit("no"))), "gold", "t")
+    assert lake.find("gold", "t") is None
+
+
+def test_readers_of_the_last_version_can_finish(spark, lake):
+    lake.replace(numbers(spark, 3), "gold", "t")
+    reader = lake.read("gold", "t")
+    lake.replace(numbers(spark, 1), "gold", "t")
+    assert reader.count() == 3
+
+
+def test_a_broken_table_is_an_error(spark, lake, tmp_path):
+    lake.replace(numbers(spark, 3), "gold", "t")
+    for part in (tmp_path / "lake/gold/t").rglob("*.parquet"):
+        part.write_bytes(b"no parquet")
+    with pytest.raises(Exception):
+        lake.find("gold", "t").count()
+
+
+def test_a_repeated_commit_takes_its_own_place(spark, lake):
+    lake._append(with_provenance(numbers(spark, 5), "real"), "t", "stream", 3)
+    lake._append(with_provenance(numbers(spark, 5), "real"), "t", "stream", 3)
+    lake._append(with_provenance(numbers(spark, 2), "real"), "t", "stream", 4)
+    assert lake.read("bronze", "t").count() == 7
 
 
 def test_an_empty_table_can_be_written_and_read(spark, lake):

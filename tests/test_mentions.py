@@ -107,7 +107,23 @@ def test_a_lost_checkpoint_is_repaired_by_silver(spark, lake, event):
     assert mentions(bronze, event).count() == 10
 
 
-def test_landing_adds_files(spark, lake, event):
+def test_landing_twice_adds_nothing(spark, lake, event):
     assert land_mentions(lake, event, batches=3, per_batch=20) == 60
-    assert spark.read.schema(MENTIONS).json(lake.landing("mentions")).count() == 60
-    assert len(list(pathlib.Path(lake.landing("mentions")).glob("*.json"))) == 3
+    assert ingest_mentions(lake) == 60
+    assert land_mentions(lake, event, batches=4, per_batch=20) == 20
+    assert ingest_mentions(lake) == 20
+    assert ingest_mentions(lake) == 0
+    table = lake.read("bronze", "bronze_csd_mentions")
+    assert (table.count(), table.select("mention_id").distinct().count()) == (80, 80)
+
+
+def test_a_batch_that_was_cut_off_is_landed_again(spark, lake, event):
+    land_mentions(lake, event, batches=1, per_batch=20)
+    for mark in pathlib.Path(lake.landing("mentions")).rglob("*_SUCCESS*"):
+        mark.unlink()
+    assert land_mentions(lake, event, batches=1, per_batch=20) == 20
+
+
+def test_tasks_follow_the_number_of_mentions(spark, event):
+    assert generate_mentions(spark, 100, event).rdd.getNumPartitions() == 1
+    assert generate_mentions(spark, 250_000, event).rdd.getNumPartitions() == 3

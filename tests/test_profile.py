@@ -63,7 +63,9 @@ def test_date_range_drops_rows_without_cell(table):
 
 def test_top_and_first_rows(table):
     assert [r.v for r in profile.top_rows(table, "v", 2).collect()] == [7.0, 5.0]
-    assert [r.v for r in profile.serving_rows(table, ["v"], 3).collect()] == [1.0, 3.0, 5.0]
+    some = profile.serving_rows(table, ["v"], 3).collect()
+    assert [(r.v, r.truncated) for r in some] == [(1.0, True), (3.0, True), (5.0, True)]
+    assert {r.truncated for r in profile.serving_rows(table, ["v"], 100).collect()} == {False}
 
 
 def test_inventory(spark, lake):

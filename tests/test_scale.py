@@ -1,5 +1,6 @@
 """Plans that must hold for large and unequal data."""
 
+import re
 from contextlib import contextmanager
 
 import pytest
@@ -88,6 +89,49 @@ def test_a_stop_with_a_third_of_all_passes_is_split(spark, event):
     assert len(result) == 40_000
 
 
+@pytest.mark.parametrize("hot", ["trip_id", "route_id", "service_id"])
+def test_supply_is_whole_under_a_hot_trip_route_or_service(spark, event, hot):
+    """A third of all passes on one trip, of all trips on one route, or in one service."""
+    n = 12_000
+    third = F.when(F.col("id") % 3 == 0, "hot")
+    trip = third.otherwise(F.col("id").cast("string")) if hot == "trip_id" else F.col("id").cast("string")
+    rows_ = spark.range(0, n, 1, 8)
+    stop_times = rows_.select(
+        trip.alias("trip_id"),
+        (F.col("id") % 200).cast("string").alias("stop_id"),
+        F.col("id").cast("string").alias("stop_sequence"),
+        F.lit("08:00:00").alias("arrival_time"),
+        F.lit("").alias("departure_time"),
+    )
+    names = {
+        key: third.otherwise((F.col("id") % 500).cast("string")) if hot == key else F.lit("x")
+        for key in ("route_id", "service_id")
+    }
+    trips = rows_.select(trip.alias("trip_id"), *(c.alias(k) for k, c in names.items())).distinct()
+    routes = trips.select(
+        "route_id", F.lit("U2").alias("route_short_name"), F.lit("400").alias("route_type")
+    ).distinct()
+    active = trips.select("service_id").distinct()
+    with large_joins(spark):
+        df = silver.transit_supply(stop_times, trips, routes, stops(spark), active, event)
+        plan, result = ran(df)
+    assert "BroadcastHashJoin" not in plan
+    assert len(result) == n
+
+
+def test_passes_are_cut_before_they_are_ranked_and_shuffled_once(spark, event):
+    trips = spark.createDataFrame([("t", "r", "c")], "trip_id string, route_id string, service_id string")
+    routes = spark.createDataFrame([("r", "U2", "400")], "route_id string, route_short_name string, route_type string")
+    active = spark.createDataFrame([("c",)], "service_id string")
+    with large_joins(spark):
+        df = silver.transit_supply(passes(spark), trips, routes, stops(spark), active, event)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    # The rank within trip, stop and place uses the shuffle on the trip.
+    assert "stop_sequence" in plan and not re.search(r"hashpartitioning\(trip_id#\d+, stop_id", plan)
+    below_rank = plan.split("Window [row_number", 1)[1]
+    assert "LeftSemi" in below_rank
+
+
 def test_a_stop_with_a_third_of_all_delays_is_split(spark, event):
     updates = spark.range(0, 40_000, 1, 8).select(
         F.format_string(

@@ -14,7 +14,9 @@ STOPS = "stop_id string, stop_name string, parent_station string, stop_lat strin
 
 
 def status(spark, *stations):
-    return spark.createDataFrame([(json.dumps(s),) for s in stations], "payload_json string")
+    return spark.createDataFrame(
+        [(s["station_id"], json.dumps(s)) for s in stations], "station_id string, payload_json string"
+    )
 
 
 def reading(station="A", bikes=3, ts=1000, **more):
@@ -42,10 +44,10 @@ def test_unknown_stations_are_dropped_and_repeated_readings_collapse(spark, even
 def test_the_latest_station_information_wins(spark, event):
     info = spark.createDataFrame(
         [
-            (json.dumps({**INFO, "capacity": 99}), dt.datetime(2026, 1, 1)),
-            (json.dumps({**INFO, "capacity": 12}), dt.datetime(2026, 1, 2)),
+            ("A", json.dumps({**INFO, "capacity": 99}), dt.datetime(2026, 1, 1)),
+            ("A", json.dumps({**INFO, "capacity": 12}), dt.datetime(2026, 1, 2)),
         ],
-        "payload_json string, ingest_ts timestamp",
+        "station_id string, payload_json string, ingest_ts timestamp",
     )
     out = silver.bike_availability(status(spark, reading()), info, event).collect()
     assert [r.capacity for r in out] == [12]
@@ -250,3 +252,11 @@ def test_keep_first_against_brute_force(spark):
     for join_side in (False, True):
         out = keep_first(df, ["k"], largest=["a"], smallest=["b"], join_side=join_side)
         assert rows(out) == wanted
+
+
+def test_each_payload_is_parsed_once(spark, event):
+    from plazaflow.plans.queries import QUERIES
+
+    plan = QUERIES["silver_bikes"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan()
+    initial = plan.toString().split("== Initial Plan ==")[-1]
+    assert initial.count("from_json") == 2

@@ -97,3 +97,10 @@ def test_a_timetable_without_calendar(spark, lake, tmp_path, event):
     make_timetable(folder, with_calendar=False)
     assert timetable.ingest_timetable(lake, str(folder), event)["calendar"] == 0
     assert lake.read("bronze", "bronze_gtfs_static_calendar").count() == 0
+
+
+def test_an_optional_file_that_cannot_be_read_is_an_error(spark, tmp_path):
+    (tmp_path / "calendar.txt").mkdir()  # unpacking was interrupted
+    with pytest.raises(Exception):
+        timetable.read_timetable_file(spark, str(tmp_path), "calendar").collect()
+    assert timetable.read_timetable_file(spark, str(tmp_path), "calendar_dates").count() == 0
