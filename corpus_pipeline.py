@@ -6,6 +6,8 @@ documents, so their decisions are rows left out; the last returns the token ids.
 
 from __future__ import annotations
 
+import functools
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,19 @@ from plazaflow.llm.tables import load, settled
 MIN_TOXIC = 0.5
 # A text whose likeliest language has a smaller score is a mixture that no language stands out of.
 MIN_LANGUAGE = 0.3
+# Rows of whole documents that Spark hands to Python at once: a few megabytes of text.
+ROWS_AT_ONCE = "1000"
+
+
+def in_small_batches(stage):
+    """The stage, with batches small enough that their copies on both sides stay small too."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_AT_ONCE)
+        return stage(spark, docs, sf_dir)
+
+    return run
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,11 +67,11 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
-    ("toxicity", drop_toxic),
-    ("language ID", drop_unknown_language),
-    ("n-gram Jaccard join", drop_near_copies),
-    ("benchmark decontamination", drop_contaminated),
-    ("byte-level BPE", encode),
+    ("toxicity", in_small_batches(drop_toxic)),
+    ("language ID", in_small_batches(drop_unknown_language)),
+    ("n-gram Jaccard join", in_small_batches(drop_near_copies)),
+    ("benchmark decontamination", in_small_batches(drop_contaminated)),
+    ("byte-level BPE", in_small_batches(encode)),
 ]
 
 # Scores of trained models and the merges of a tokenizer are not expressible in SQL.
