@@ -1,12 +1,13 @@
-"""Every registered query against its SQL on the smallest tables."""
+"""Every query of the library against its SQL on the smallest tables."""
 
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from compare import connect, difference
+from plazaflow.plans.oracles import ORACLES
+from plazaflow.plans.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-WITHOUT_SQL = {"model_metrics", "delay_predictions"}
 
 
 @pytest.fixture(scope="module")
@@ -14,22 +15,17 @@ def con():
     return connect(FOLDER)
 
 
-def test_only_fitted_models_have_no_sql():
-    assert set(queries()) - set(oracle_sql()) == WITHOUT_SQL
-    assert set(oracle_sql()) <= set(queries())
+def test_every_query_has_its_sql():
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries())
+    assert set(ORACLES) <= set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query(spark, con, name):
     assert difference(spark, con, name, FOLDER) is None
-
-
-def test_model_queries(spark):
-    parts = {r.part: r for r in queries()["model_metrics"](spark, FOLDER).collect()}
-    assert parts["validation"].mae_seconds < parts["baseline"].mae_seconds
-    predicted = queries()["delay_predictions"](spark, FOLDER).collect()
-    assert predicted and all(r.predicted_delay_seconds is not None for r in predicted)
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
