@@ -52,8 +52,6 @@ FREQUENT = 4
 MAX_ORDERED = 1 << 18
 # Classes of a shingle from which on its group is dealt out in parts.
 HOT = 50_000
-# Pairs that a task of the search remembers.
-RECENT = 200_000
 # Ids that a semi-join may broadcast.
 MAX_BROADCAST = 1_000_000
 
@@ -370,12 +368,13 @@ def bitmap(shingles: np.ndarray) -> np.ndarray:
 class _Rows:
     """Classes of several groups in order: whatever of a batch belongs to whole groups."""
 
-    columns = ("key", "left", "right", "block", "class", "component", "n", "bits")
+    columns = ("key", "left", "right", "block", "class", "component", "n", "bits", "keys")
 
     def __init__(self, batch: pa.RecordBatch):
-        for i, name in enumerate(self.columns[:-1]):
+        for i, name in enumerate(self.columns[:-2]):
             setattr(self, name, batch.column(i).to_numpy(zero_copy_only=False))
-        self.whole = batch.column(len(self.columns) - 1).to_pylist()
+        self.whole = batch.column(len(self.columns) - 2).to_pylist()
+        self.keys = batch.column(len(self.columns) - 1)
         self.bits = _folded(self.whole, BITS // 8)
         same = np.ones(len(self.key), dtype=bool)
         for x in (self.key, self.left, self.right):
@@ -391,13 +390,22 @@ class _Rows:
         return Tree(rows, self.component[rows], self.n[rows], self.bits[rows])
 
     def found(self) -> set[tuple[int, int]]:
-        """Candidates of all groups, by class, once bitmaps in full size have been compared."""
-        names, out = getattr(self, "class"), set()
+        """Candidates of all groups, by class, once bitmaps in full size have been compared. Of the
+        groups that hold both classes of a pair, only that with the smallest key gives it."""
+        names, keys, out = getattr(self, "class").tolist(), self.key.tolist(), set()
+        sets: dict[int, frozenset[int]] = {}
+
+        def held(x: int) -> frozenset[int]:
+            if x not in sets:
+                sets[x] = frozenset(self.keys[x].as_py())
+            return sets[x]
+
         for i, j in (self.small(), *self.large()):
             left, right = ([self.whole[x] for x in side] for side in (i, j))
             fit = overlap_possible(self.n[i], left, self.n[j], right)
-            a, b = names[i[fit]], names[j[fit]]
-            out.update(zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist()))
+            for x, y in zip(i[fit].tolist(), j[fit].tolist()):
+                if min(held(x) & held(y)) == keys[x]:
+                    out.add((min(names[x], names[y]), max(names[x], names[y])))
         return out
 
     def small(self) -> tuple[np.ndarray, np.ndarray]:
@@ -434,15 +442,10 @@ class _Rows:
 
 def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Candidates of all groups in a partition that is sorted by group. A group has at most two
-    blocks of classes; only the last, perhaps unfinished group of a batch waits for the next. Pairs
-    that were found shortly before are not repeated."""
-    recent: set[tuple[int, int]] = set()
-
-    def fresh(batch: pa.RecordBatch) -> pa.RecordBatch:
-        nonlocal recent
-        pairs = _Rows(batch).found() - recent
-        recent = pairs if len(recent) > RECENT else recent | pairs
-        columns = list(zip(*pairs)) or [(), ()]
+    blocks of classes; only the last, perhaps unfinished group of a batch waits for the next."""
+
+    def found(batch: pa.RecordBatch) -> pa.RecordBatch:
+        columns = list(zip(*_Rows(batch).found())) or [(), ()]
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
 
     waiting = None
@@ -454,9 +457,9 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = int(_Rows(batch).starts[-1])
         waiting = batch.slice(last)
         if last:
-            yield fresh(batch.slice(0, last))
+            yield found(batch.slice(0, last))
     if waiting is not None:
-        yield fresh(waiting)
+        yield found(waiting)
 
 
 def _with_components(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -488,6 +491,8 @@ def _across(known: DataFrame, signatures: DataFrame) -> DataFrame:
     )
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     group = ("key", "left", "right")
+    # As many keys as a class has first shingles at most.
+    keys = known.groupBy("class").agg(F.collect_list("key").alias("keys"))
     dealt = (
         known.join(groups.select("key", "size"), "key")
         .withColumn("blocks", blocks)
@@ -495,7 +500,7 @@ def _across(known: DataFrame, signatures: DataFrame) -> DataFrame:
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("left", F.least("block", "other"))
         .withColumn("right", F.greatest("block", "other"))
-        .join(signatures, "class")
+        .join(signatures.join(keys, "class"), "class")
         .select(*_Rows.columns)
         .repartition(*group)
         .sortWithinPartitions(*group)
