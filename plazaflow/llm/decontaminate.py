@@ -26,7 +26,7 @@ from plazaflow.llm.spans import ALNUM, Run, runs, signed
 from plazaflow.llm.tables import with_text
 
 WINDOW = 10
-MAX_BROADCAST = 1_000_000
+MAX_BROADCAST = 250_000
 FILTER_BITS = 20
 
 HIT = (

@@ -582,21 +582,25 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
+# Name of ids beside documents, which may have columns of any other name.
+NAMED = "_id_of_component"
+
+
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of each component, the one with the smallest id, with its own columns.
 
     Of rows with the same id and text one stays. Rows without id cannot be named and stay. Ids to be
     dropped are broadcast while they are few; else documents and ids are shuffled.
     """
-    found = settled(components(docs, id_col, text_col).select(F.col(id_col).alias("_id"), "component_id"))
-    dropped = found.where("_id <> component_id").select("_id").distinct()
-    repeated = found.where("_id is not null").groupBy("_id").count().where("count > 1").select("_id")
+    found = settled(components(docs, id_col, text_col).select(F.col(id_col).alias(NAMED), "component_id"))
+    dropped = found.where(f"{NAMED} <> component_id").select(NAMED).distinct()
+    repeated = found.where(f"{NAMED} is not null").groupBy(NAMED).count().where("count > 1").select(NAMED)
 
     def few(ids: DataFrame) -> DataFrame:
         ids = settled(ids)
         return F.broadcast(ids) if ids.count() <= MAX_BROADCAST else ids
 
-    repeated, same = few(repeated), F.col(id_col) == F.col("_id")
+    repeated, same = few(repeated), F.col(id_col) == F.col(NAMED)
     kept = docs.join(few(dropped), same, "left_anti")
     once = kept.join(repeated, same, "left_semi").dropDuplicates([id_col, text_col])
     return kept.join(repeated, same, "left_anti").unionByName(once)

@@ -118,6 +118,15 @@ def test_one_document_of_each_group_stays(spark, small):
     assert ids == sorted({k for k, n, c in want if not n or c == k})
 
 
+def test_other_columns_may_have_any_name(spark):
+    docs = spark.createDataFrame(
+        [(1, "a b c", "x", 5, 1), (2, "A b c", "y", 6, 2), (3, "d", "z", 7, 3)],
+        "doc_id bigint, text string, _id string, component_id int, class int",
+    )
+    kept = jaccard.deduplicated(docs).orderBy("doc_id").collect()
+    assert [tuple(r) for r in kept] == [(1, "a b c", "x", 5, 1), (3, "d", "z", 7, 3)]
+
+
 def test_empty_table(spark, nothing):
     assert QUERIES["op8_ngram_jaccard"](spark, nothing).count() == 0
     assert jaccard.deduplicated(load(spark, nothing, "documents")).count() == 0
