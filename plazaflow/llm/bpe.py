@@ -34,12 +34,14 @@ import regex
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 
+from plazaflow.llm.spans import left_over
 from plazaflow.llm.tables import with_text
 
 # Most transitions, stretches and pairs kept by one task.
 MAX_TRANSITIONS = 500_000
 MAX_STRETCHES = 250_000
-MAX_PAIRS = 400_000
+MAX_PIECES = 120_000
+MAX_PAIRS = 200_000
 LONGEST_STRETCH = 64
 
 BETWEEN_WORDS = re.compile(r"(?<=\S) (?=\S)")
@@ -216,7 +218,7 @@ class Encoder:
         if found is None:
             found = self.transducer(piece.encode())
             if len(piece) <= LONGEST_STRETCH:
-                if len(self.known) >= MAX_STRETCHES:
+                if len(self.known) >= MAX_PIECES:
                     self.known.clear()
                 self.known[piece] = found
         return found
@@ -270,15 +272,9 @@ class Utf8Stream:
         return rest
 
 
-_kept: dict[str, Encoder] = {}
-
-
 def encoder_of(shared, pattern: str, name: str) -> Encoder:
     """The task's encoder for broadcast ranks; later tasks of a worker find it filled."""
-    if name not in _kept:
-        _kept.clear()
-        _kept[name] = Encoder(shared.value, pattern)
-    return _kept[name]
+    return left_over(name, lambda: Encoder(shared.value, pattern))
 
 
 def share_ranks(spark: SparkSession, path: str, pattern: str = "") -> tuple[Broadcast, str]:

@@ -6,7 +6,7 @@ over, so that the memory used does not grow with it; one longer text makes one l
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +33,19 @@ ALNUM = byte_table(bytes(b for b in range(128) if not chr(b).isalnum()))
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
+# What the operator that a Python worker ran last has left for its next task there.
+_left: dict[str, object] = {}
+
+
+def left_over(name: str, make: Callable[[], object]) -> object:
+    """What an earlier task of this worker made under this name, or else a new one. Only one thing
+    is kept; another operator's first task drops it."""
+    if name not in _left:
+        _left.clear()
+        _left[name] = make()
+    return _left[name]
+
+
 _powers = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
 
 
@@ -106,6 +119,7 @@ class Run:
 
 def runs(texts: pa.Array | pa.ChunkedArray, table: np.ndarray, lower: bool = True) -> Iterator[Run]:
     """The texts of one Arrow column, in order; a null text has no words."""
+    _left.clear()
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     if not len(texts):
