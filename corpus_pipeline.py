@@ -57,7 +57,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    ids = bpe.encode(texts, RANKS, public_tokenizers.PATTERN, decoded_col="decoded")
+    pattern = public_tokenizers.PATTERN
+    ids = bpe.encode(texts, RANKS, pattern, decoded_col="decoded", keep_tables=False)
     return ids.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),

@@ -23,6 +23,7 @@ need no care. A text of any length is held in one task, with its ids.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 import re
 from array import array
@@ -300,17 +301,22 @@ def encode(
     text_col: str = "text",
     ids_col: str = "ids",
     decoded_col: str | None = None,
+    keep_tables: bool = True,
 ) -> DataFrame:
     """All columns of `docs` and the token ids of the whole text, without special tokens. With
     `decoded_col`, also what the ids decode to, in the same task. Columns of these names are
     replaced. The rank file is read by the driver and broadcast; a vocabulary does not grow with
-    the data."""
+    the data.
+
+    A worker keeps its tables for its next task, which saves a third of the time. Where other
+    operators ran before, more workers than run at once may come to hold tables in turn; without
+    `keep_tables` each task begins with empty ones and drops them at its end."""
     docs = docs.drop(ids_col, *([decoded_col] if decoded_col else []))
     kept, (given, text) = docs.columns, with_text(docs, text_col)
     shared, name = share_ranks(docs.sparkSession, ranks_path, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(shared, pattern, name)
+        encoder = encoder_of(shared, pattern, name) if keep_tables else Encoder(shared.value, pattern)
         tokens = encoder.transducer.bytes_of
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text))
@@ -328,6 +334,9 @@ def encode(
                 texts = [_text_of(np.frombuffer(x, np.int32).tolist(), tokens) for x in found]
                 out = out.append_column(decoded_col, pa.array(texts, pa.string()))
             yield out
+        if not keep_tables:
+            del encoder, tokens
+            gc.collect()
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     schema += f", `{ids_col}` array<int>" + (f", `{decoded_col}` string" if decoded_col else "")
