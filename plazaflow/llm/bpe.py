@@ -41,8 +41,8 @@ from plazaflow.llm.tables import with_text
 # Most transitions, stretches and pairs kept by one task.
 MAX_TRANSITIONS = 500_000
 MAX_STRETCHES = 250_000
-MAX_PIECES = 120_000
-MAX_PAIRS = 200_000
+MAX_PIECES = 250_000
+MAX_PAIRS = 400_000
 LONGEST_STRETCH = 64
 
 BETWEEN_WORDS = re.compile(r"(?<=\S) (?=\S)")
