@@ -4,8 +4,11 @@ Every token is predicted from the two tokens before and the two after it: their
 each place, are summed, bent by tanh, and predict first the class of the token, then the token within the
 class. The score of a text is the sum of the log-probabilities of its tokens, each given both sides.
 
-Tokens are the most frequent words, counted over all texts, and `BUCKETS` hash buckets for all others; words
-are runs of ASCII letters, digits and bytes beyond ASCII, in lower case.
+Tokens of the network are the most frequent words, counted over all texts, and `BUCKETS` hash buckets for all
+others; words are runs of ASCII letters, digits and bytes beyond ASCII, in lower case. A word of a bucket has the
+bucket's probability times its own share of the words counted there, so the probabilities of all counted words,
+and of the words never counted, add up to 1. Counts of up to `max_broadcast` of the more frequent words are
+broadcast; the others stay a table, which the words of the texts are joined with.
 
 Training goes over every text once, in `rounds` parts by a hash of the text. In each round every task
 starts from the same broadcast weights and runs Adagrad over its texts of that part; the weights are
@@ -20,6 +23,7 @@ token the weights stay as they were drawn. Every input row gives one row.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plazaflow.llm.spans import ALNUM, Run, runs, signed
-from plazaflow.llm.tables import with_text
+from plazaflow.llm.tables import settled, with_text
 
 CLASSES = 32
 PER_CLASS = 32
@@ -43,6 +47,10 @@ ROUNDS = 3
 SEED = 41
 BLOCK = 4096
 COUNTED_AT_ONCE = 2_000_000  # words of a task
+MAX_BROADCAST = 1 << 18
+UNSEEN = 0.5  # what all words of a bucket that were never counted count together
+# Names beside documents, which may have columns of any other name.
+KEY, FAR = "_key_of_lm", "_far_of_lm"
 
 SHAPES = {
     "embed": (len(PLACES), TOKENS + 1, WIDTH),
@@ -92,16 +100,46 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return found.groupBy("word").agg(F.sum("count").alias("count"))
 
 
-def vocabulary(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the most frequent words, sorted, and the token of each: its rank."""
-    top = counts.orderBy(F.desc("count"), "word").limit(TOKENS - BUCKETS).collect()
-    hashes = np.array([r.word for r in top], dtype=np.int64).view(np.uint64)
+@dataclass(frozen=True)
+class Words:
+    hashes: np.ndarray  # of the most frequent words, sorted
+    ranks: np.ndarray  # the token of each
+    near: np.ndarray  # hashes of words whose counts are broadcast, sorted
+    near_logs: np.ndarray  # the logarithms of their counts
+    totals: np.ndarray  # by bucket, what all its words count
+    counts: DataFrame | None  # of all words; None where `near` has them all
+
+
+def vocabulary(counts: DataFrame, max_broadcast: int = MAX_BROADCAST) -> Words:
+    """The most frequent words by rank, and the counts that the shares of all others come from."""
+    counts = settled(counts)
+    top = counts.orderBy(F.desc("count"), "word").limit(TOKENS - BUCKETS).toPandas()
+    hashes = top["word"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(hashes)
-    return hashes[order], order
+    bucket = F.col("word").bitwiseAND(F.lit(BUCKETS - 1).cast("bigint"))
+    sums = counts.groupBy(bucket.alias("bucket")).agg(F.sum("count").alias("n")).toPandas()
+    totals = np.zeros(BUCKETS, dtype=np.int64)
+    totals[sums["bucket"].to_numpy(np.int64)] = sums["n"].to_numpy(np.int64)
+    np.subtract.at(totals, (hashes % np.uint64(BUCKETS)).astype(np.int64), top["count"].to_numpy(np.int64))
+    # Of words that are counted equally often all are broadcast or none.
+    often = counts.groupBy("count").agg(F.count("*").alias("n")).toPandas().sort_values("count", ascending=False)
+    fit = often[often["n"].cumsum() <= max_broadcast]
+    least = int(fit["count"].min()) if len(fit) else None
+    near = (counts.where(F.col("count") >= least) if len(fit) else counts.limit(0)).toPandas().sort_values("word")
+    near_hashes = near["word"].to_numpy(np.int64).view(np.uint64)
+    by_hash = np.argsort(near_hashes)
+    return Words(
+        hashes[order],
+        order,
+        near_hashes[by_hash],
+        np.log(near["count"].to_numpy(np.float64)[by_hash]),
+        totals,
+        None if len(fit) == len(often) else counts,
+    )
 
 
-def tokens_of(run: Run, words: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    hashes, ranks = words
+def tokens_of(run: Run, words: Words) -> np.ndarray:
+    hashes, ranks = words.hashes, words.ranks
     out = (TOKENS - BUCKETS + run.hash % np.uint64(BUCKETS)).astype(np.int64)
     if len(hashes):
         at = np.minimum(np.searchsorted(hashes, run.hash), len(hashes) - 1)
@@ -110,6 +148,22 @@ def tokens_of(run: Run, words: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     return out
 
 
+def shares(run: Run, tokens: np.ndarray, words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """The logarithm of each word's share of its token, and which words are not in the broadcast
+    counts; of theirs, the logarithm of the word's own count is left out."""
+    out, far = np.zeros(len(tokens)), np.zeros(len(tokens), dtype=bool)
+    rare = np.flatnonzero(tokens >= TOKENS - BUCKETS)
+    out[rare] = -np.log(words.totals + UNSEEN)[tokens[rare] - (TOKENS - BUCKETS)]
+    unknown = rare
+    if len(words.near):
+        at = np.minimum(np.searchsorted(words.near, run.hash[rare]), len(words.near) - 1)
+        known = words.near[at] == run.hash[rare]
+        out[rare[known]] += words.near_logs[at[known]]
+        unknown = rare[~known]
+    far[unknown] = True
+    return out, far
+
+
 def contexts(tokens: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """The tokens around each token, by place; PAD beyond the ends of its text."""
     text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
@@ -186,7 +240,7 @@ class Trainer:
 
 
 def _round(docs: DataFrame, words, weights: np.ndarray) -> np.ndarray:
-    shared = docs.sparkSession.sparkContext.broadcast((words, weights))
+    shared = docs.sparkSession.sparkContext.broadcast((replace(words, counts=None), weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, start = shared.value
@@ -220,44 +274,80 @@ def _round(docs: DataFrame, words, weights: np.ndarray) -> np.ndarray:
     return out
 
 
-def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS):
+def train(docs: DataFrame, text_col: str = "text", rounds: int = ROUNDS, max_broadcast: int = MAX_BROADCAST):
     """The vocabulary and the weights, from all texts."""
     texts = docs.select(F.col(text_col).cast("string").alias("_text")).where("_text is not null")
-    words, weights = vocabulary(word_counts(texts)), drawn()
+    words, weights = vocabulary(word_counts(texts), max_broadcast), drawn()
     for i in range(rounds):
         part = texts.where(F.pmod(F.xxhash64("_text"), F.lit(rounds)) == i)
         weights = _round(part, words, weights)
     return words, weights
 
 
+def _far_means(texts: DataFrame, shared, counts: DataFrame) -> DataFrame:
+    """By text key, the mean logarithm of the counts of a text's words that were not broadcast. Copies
+    of a text do not change its mean."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, _ = shared.value
+        for batch in batches:
+            keys = batch.column(0).to_numpy()
+            for part in runs(batch.column(1), ALNUM):
+                _, far = shares(part, tokens_of(part, words), words)
+                doc = np.repeat(np.arange(part.n), np.diff(part.bounds))[far]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys[part.first + doc]), pa.array(signed(part.hash[far]))], ["text_key", "word"]
+                )
+
+    found = texts.mapInArrow(run, "text_key bigint, word bigint").join(counts, "word", "left")
+    own = F.log(F.coalesce(F.col("count").cast("double"), F.lit(UNSEEN)))
+    # Another key than the one grouped by, so that the join with the texts can be split where it is skewed.
+    return found.groupBy("text_key").agg(F.avg(own).alias(FAR)).select(F.xxhash64("text_key").alias(KEY), FAR)
+
+
 def scored(docs: DataFrame, model, column: str = "lm", text_col: str = "text") -> DataFrame:
     """All columns of `docs` and a struct `column`: n_tokens, log_likelihood and its mean."""
     docs = docs.drop(column)
     kept, (given, text) = docs.columns, with_text(docs, text_col)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    kind = pa.struct([("n_tokens", pa.int64()), ("log_likelihood", pa.float64()), ("mean", pa.float64())])
+    vocabulary, weights = model
+    shared = docs.sparkSession.sparkContext.broadcast((replace(vocabulary, counts=None), weights))
+    counts, by_join = vocabulary.counts, vocabulary.counts is not None
+    kind = pa.struct([("n_tokens", pa.int64()), ("log_likelihood", pa.float64()), ("n_far", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, flat = shared.value
         w = views(flat)
         for batch in batches:
-            sizes, sums = [], []
+            sizes, sums, left = [], [], []
             for part in runs(batch.column(batch.schema.get_field_index(text)), ALNUM):
                 tokens = tokens_of(part, words)
                 around = contexts(tokens, part.bounds)
-                logs = [
-                    log_probabilities(w, around[:, a : a + STEP], tokens[a : a + STEP])
-                    for a in range(0, len(tokens), STEP)
-                ]
-                total = np.concatenate(([0.0], np.cumsum(np.concatenate(logs)))) if logs else np.zeros(1)
-                sums.append(np.diff(total[part.bounds]))
+                logs, far = shares(part, tokens, words)
+                if not by_join:
+                    logs[far] += np.log(UNSEEN)
+                for a in range(0, len(tokens), STEP):
+                    logs[a : a + STEP] += log_probabilities(w, around[:, a : a + STEP], tokens[a : a + STEP])
+                sums.append(np.diff(np.concatenate(([0.0], np.cumsum(logs)))[part.bounds]))
+                left.append(np.diff(np.concatenate(([0], np.cumsum(far)))[part.bounds]))
                 sizes.append(np.diff(part.bounds))
             n = np.concatenate(sizes) if sizes else np.zeros(0, np.int64)
             value = np.concatenate(sums) if sums else np.zeros(0)
-            mean = pa.array(value / np.maximum(n, 1), mask=n == 0)
-            rows = pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(value), mean], fields=list(kind))
-            yield batch.select(kept).append_column(column, rows)
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    struct = "struct<n_tokens:bigint,log_likelihood:double,mean:double>"
-    return given.mapInArrow(run, f"{schema}, `{column}` {struct}")
+            n_far = np.concatenate(left) if left else np.zeros(0, np.int64)
+            columns = [pa.array(n, pa.int64()), pa.array(value), pa.array(n_far, pa.int64())]
+            rows = pa.StructArray.from_arrays(columns, fields=list(kind))
+            yield batch.select(names).append_column(column, rows)
+
+    key = F.xxhash64(F.xxhash64(F.col(text)))
+    names = [*kept, KEY] if by_join else kept
+    keyed = given.withColumn(KEY, key) if by_join else given
+    fields = [f for f in keyed.schema if f.name in names]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    found = keyed.mapInArrow(run, f"{schema}, `{column}` struct<n_tokens:bigint,log_likelihood:double,n_far:bigint>")
+    value = F.col(column)["log_likelihood"]
+    if by_join:
+        texts = given.select(F.xxhash64(F.col(text)).alias("text_key"), F.col(text)).where(F.col(text).isNotNull())
+        found = found.join(_far_means(texts, shared, counts), KEY, "left")
+        value += F.when(F.col(column)["n_far"] > 0, F.col(column)["n_far"] * F.col(FAR)).otherwise(F.lit(0.0))
+    n = F.col(column)["n_tokens"]
+    out = F.struct(n.alias("n_tokens"), value.alias("log_likelihood"), F.when(n > 0, value / n).alias("mean"))
+    return found.select(*(f"`{x}`" for x in kept), out.alias(column))

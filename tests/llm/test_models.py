@@ -187,6 +187,41 @@ def test_gradients_against_differences():
     assert pseudo.log_probabilities(trainer.w, around, tokens).mean() > before + 1
 
 
+def test_every_word_has_a_probability_of_its_own(spark):
+    common = [f"w{i}" for i in range(pseudo.TOKENS - pseudo.BUCKETS)]
+    rare = [f"r{i}" for i in range(300)]
+    rows = [" ".join(common)] * 9 + [" ".join(rare[i:]) for i in (0, 100, 200, 200)]
+    docs = spark.createDataFrame([(t,) for t in rows], "text string")
+    single = spark.createDataFrame([(w,) for w in [*common, *rare, *rare[:5], "never", "seen"]], "text string")
+    found = []
+    for most in (10**6, 1000, 0):
+        model = pseudo.train(docs, max_broadcast=most)
+        assert (model[0].counts is None) == (most == 10**6)
+        found.append({r.text: r.lm for r in pseudo.scored(single, model).collect()})
+        assert pseudo.scored(single, model).count() == len(common) + len(rare) + 7
+        # Words alone in a text stand between the same neighbours, so they and the unseen ones add up to 1.
+        p = {t: math.exp(x.log_likelihood) for t, x in found[-1].items()}
+        part = next(runs(pa.array(rare), ALNUM))
+        buckets = {int(h): t for h, t in zip(part.hash % np.uint64(pseudo.BUCKETS), rare)}
+        count = {t: 1 + (int(t[1:]) >= 100) + 2 * (int(t[1:]) >= 200) for t in rare}
+        unseen = sum(p[t] * pseudo.UNSEEN / count[t] for t in buckets.values())
+        empty = [b for b in range(pseudo.BUCKETS) if b not in buckets]
+        w = pseudo.views(model[1])
+        around = np.full((len(pseudo.PLACES), len(empty)), pseudo.PAD)
+        tokens = np.array(empty, dtype=np.int64) + pseudo.TOKENS - pseudo.BUCKETS
+        unseen += np.exp(pseudo.log_probabilities(w, around, tokens)).sum() if empty else 0
+        assert sum(p[t] for t in common + rare) + unseen == pytest.approx(1, abs=1e-4)
+        own = {int(h): [] for h in part.hash % np.uint64(pseudo.BUCKETS)}
+        for h, t in zip(part.hash % np.uint64(pseudo.BUCKETS), rare):
+            own[int(h)].append(t)
+        for same in own.values():
+            for t in same:
+                assert p[t] / p[same[0]] == pytest.approx(count[t] / count[same[0]], rel=1e-4)
+    for other in found[1:]:
+        for t, x in other.items():
+            assert x.log_likelihood == pytest.approx(found[0][t].log_likelihood, abs=0.05)
+
+
 # -- licenses ------------------------------------------------------------------------------------
 
 
