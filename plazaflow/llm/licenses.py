@@ -17,6 +17,8 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from fractions import Fraction
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -98,8 +100,7 @@ class _Index:
     names: list[str]
     templates: list[list[int]]  # as places in the vocabulary
     vocabulary: np.ndarray  # sorted word hashes
-    member: np.ndarray  # by word and template
-    distinct: np.ndarray  # words of each template
+    member: np.ndarray  # by word and template, how often it holds the word
 
 
 def _index(templates: dict[str, str]) -> _Index:
@@ -110,8 +111,13 @@ def _index(templates: dict[str, str]) -> _Index:
     places = [np.searchsorted(vocabulary, x) for x in hashes]
     member = np.zeros((len(vocabulary), len(names)), dtype=np.float32)
     for i, x in enumerate(places):
-        member[x, i] = 1
-    return _Index(names, [x.tolist() for x in places], vocabulary, member, member.sum(axis=0))
+        np.add.at(member[:, i], x, 1)
+    return _Index(names, [x.tolist() for x in places], vocabulary, member)
+
+
+def needed(length: int, min_coverage: float) -> int:
+    """So many of a template's words must be aligned; the share is read as the decimal it is written as."""
+    return ceil(Fraction(str(min_coverage)) * length)
 
 
 def _found(run: Run, index: _Index, min_coverage: float) -> list[list[dict]]:
@@ -121,7 +127,7 @@ def _found(run: Run, index: _Index, min_coverage: float) -> list[list[dict]]:
     doc = np.repeat(np.arange(run.n), np.diff(run.bounds))
     present = np.zeros((run.n, len(index.vocabulary)), dtype=np.float32)
     present[doc[known], at[known]] = 1
-    enough = present @ index.member >= min_coverage * index.distinct
+    enough = present @ index.member >= np.array([needed(len(x), min_coverage) for x in index.templates])
     out: list[list[dict]] = [[] for _ in range(run.n)]
     for i, t in zip(*np.nonzero(enough)):
         own = words[run.bounds[i] : run.bounds[i + 1]]
@@ -135,8 +141,8 @@ def _occurrences(words: np.ndarray, name: str, template: list[int], min_coverage
     counts = {w: int((words == w).sum()) for w in dict.fromkeys(template)}
     rarest = sorted((w for w in counts if counts[w]), key=lambda w: (counts[w], template.index(w)))
     # So many words may be missing; one of the rarest others is in every occurrence.
-    missing = int(len(template) * (1 - min_coverage))
-    seeds, reach, found, done = rarest[: missing + 1], REACH * len(template), [], -1
+    need = needed(len(template), min_coverage)
+    seeds, reach, found, done = rarest[: len(template) - need + 1], REACH * len(template), [], -1
     for place in np.flatnonzero(np.isin(words, seeds)).tolist():
         if place <= done:
             continue
@@ -147,7 +153,7 @@ def _occurrences(words: np.ndarray, name: str, template: list[int], min_coverage
             high = place + 1 + int(again[0])
         pairs = aligned(words[low:high].tolist(), template)
         coverage = len(pairs) / len(template)
-        if coverage >= min_coverage:
+        if len(pairs) >= need:
             first, last = low + pairs[0][0], low + pairs[-1][0]
             found.append({"license": name, "coverage": coverage, "first": first, "last": last})
             done = last

@@ -271,6 +271,25 @@ def test_license_scan_finds_repeated_and_edited_notices(spark):
     assert (found[6][0].license, found[6][0].first) == ("GPL-3.0", 3000)
 
 
+def test_license_with_its_missing_word_elsewhere(spark):
+    for length in range(1, 200):
+        for percent in range(1, 101):
+            assert licenses.needed(length, percent / 100) == -(-length * percent // 100)
+    gap, ten = " filler" * 40, "one two three four five six seven eight nine ten"
+    rows = [
+        (1, f"It was released in May.{gap} Distributed under the MIT License."),
+        (2, f"Distributed under the MIT License.{gap} It was released in May."),
+        (3, f"One and two:{gap} x x three four five six seven eight nine ten"),
+        (4, f"One, two and three:{gap} x x x four five six seven eight nine ten"),
+        (5, "so so so so so so so so"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    templates = {"MIT": licenses.TEMPLATES["MIT"], "ten": ten, "so": "so so so so so so so so what now"}
+    found = {r.doc_id: [(x.license, x.coverage) for x in r.licenses] for r in licenses.scanned(docs, templates).collect()}
+    assert found[1] == found[2] == [("MIT", 0.8)]
+    assert found[3] == [("ten", 0.8)] and found[4] == [] and found[5] == [("so", 0.8)]
+
+
 def test_license_query_against_search(spark):
     docs = {r.doc_id: r.text or "" for r in load(spark, SF, "documents").collect()}
     names = ("Apache-2.0", "CC-BY-NC-4.0", "GPL-3.0", "MIT")
