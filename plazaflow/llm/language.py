@@ -2,7 +2,8 @@
 
 Training counts hashed byte 4-grams of words (ASCII lower case, anything but letters as a blank) for
 each language over all labelled texts. A model is `BINS` smoothed log-probabilities for each
-language, so its size is bounded by the number of languages kept, `max_languages`.
+language. All languages are kept; beyond `MAX_LANGUAGES` each has fewer bins, so that the model stays
+as large until bins are down to 2^LEAST_BITS.
 
 A text is cut in stretches of `WORDS` words. Each stretch is taken to be in one language, and the text
 to be a mixture of languages in unknown proportions, which expectation-maximisation estimates. The
@@ -36,7 +37,8 @@ WORDS = 4
 ROUNDS = 12
 SMOOTHING = 0.5
 MINOR = 0.02  # a text whose further languages have smaller proportions is not tried with more than one
-MAX_LANGUAGES = 64
+MAX_LANGUAGES = 64  # with all bins
+LEAST_BITS = 10
 
 LETTERS = byte_table(bytes(b for b in range(128) if not chr(b).isalpha()))
 FOLDED = np.where(LETTERS, LOWER, 32).astype(np.uint8)
@@ -48,7 +50,15 @@ class Model:
     log_p: np.ndarray  # by language and bin
 
 
-def _bins(run: Run) -> np.ndarray:
+def bin_bits(languages: int) -> int:
+    """So many bits number the bins of each of so many languages."""
+    bits = BIN_BITS
+    while bits > LEAST_BITS and languages << bits > MAX_LANGUAGES << BIN_BITS:
+        bits -= 1
+    return bits
+
+
+def _bins(run: Run, bits: int = BIN_BITS) -> np.ndarray:
     """The bin of the 4-gram that starts at each byte, with blanks beyond the end of a text; only
     grams that start in words are used."""
     data = FOLDED[run.data].astype(np.uint32)
@@ -59,12 +69,22 @@ def _bins(run: Run) -> np.ndarray:
         for back in range(1, j + 1):
             later[ends[ends >= back] - back] = 32
         grams |= later << np.uint32(8 * j)
-    return (grams * np.uint32(2654435761)) >> np.uint32(32 - BIN_BITS)
+    return (grams * np.uint32(2654435761)) >> np.uint32(32 - bits)
 
 
 def _counts(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            for name, total in totals.items():
+                some = np.flatnonzero(total)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([name] * len(some)), pa.array(some), pa.array(total[some])],
+                    ["lang", "bin", "count"],
+                )
+            totals.clear()
+
         for batch in batches:
             names = batch.column(1).to_pylist()
             for part in runs(batch.column(0), LETTERS):
@@ -72,44 +92,38 @@ def _counts(docs: DataFrame) -> DataFrame:
                 for i in range(part.n):
                     a, b = part.cuts[i], part.cuts[i + 1]
                     own = bins[a:b][inside[a:b]]
-                    total = totals.setdefault(names[part.first + i], np.zeros(BINS, np.int64))
+                    name = names[part.first + i]
+                    if name not in totals:
+                        if len(totals) == MAX_LANGUAGES:
+                            yield from counted()
+                        totals[name] = np.zeros(BINS, np.int64)
+                    total = totals[name]
                     if len(own) < BINS // 8:
                         np.add.at(total, own, 1)
                     else:
                         total += np.bincount(own, minlength=BINS)
-        for name, total in totals.items():
-            some = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([name] * len(some)), pa.array(some), pa.array(total[some])],
-                ["lang", "bin", "count"],
-            )
+        yield from counted()
 
     found = docs.mapInArrow(run, "lang string, bin bigint, count bigint")
     return found.groupBy("lang", "bin").agg(F.sum("count").alias("count"))
 
 
-def train(
-    docs: DataFrame,
-    text_col: str = "text",
-    lang_col: str = "lang",
-    max_languages: int = MAX_LANGUAGES,
-) -> Model:
-    """A model of the texts whose language is not null; the `max_languages` most counted stay."""
+def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
+    """A model of the texts whose language is not null."""
     labelled = docs.select(F.col(text_col).cast("string"), F.col(lang_col).cast("string"))
     counts = _counts(labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())).persist()
     try:
-        kept = (
-            counts.groupBy("lang")
-            .agg(F.sum("count").alias("n"))
-            .orderBy(F.desc("n"), "lang")
-            .limit(max_languages)
-        )
-        languages = sorted(r.lang for r in kept.collect())
-        # At most max_languages * BINS rows.
-        rows = counts.where(F.col("lang").isin(languages)).toPandas()
+        languages = sorted(r.lang for r in counts.select("lang").distinct().collect())
+        bits = bin_bits(len(languages))
+        if bits < BIN_BITS:
+            # A bin of fewer bits is the first bits of the others.
+            folded = F.shiftright("bin", BIN_BITS - bits).alias("bin")
+            rows = counts.groupBy("lang", folded).agg(F.sum("count").alias("count")).toPandas()
+        else:
+            rows = counts.toPandas()
     finally:
         counts.unpersist()
-    table = np.full((len(languages), BINS), SMOOTHING)
+    table = np.full((len(languages), 1 << bits), SMOOTHING)
     place = {x: i for i, x in enumerate(languages)}
     table[rows["lang"].map(place).to_numpy(np.int64), rows["bin"].to_numpy(np.int64)] += rows["count"]
     return Model(languages, np.log(table / table.sum(axis=1, keepdims=True)).astype(np.float32))
@@ -140,7 +154,7 @@ def proportions(run: Run, model: Model) -> tuple[np.ndarray, np.ndarray]:
     text_of_word = np.repeat(np.arange(run.n), words)
     first_word = (np.arange(len(run.start)) - run.bounds[text_of_word]) % WORDS == 0
     begins = run.start[first_word]
-    bins, inside = _bins(run), LETTERS[run.data]
+    bins, inside = _bins(run, bin_bits(k)), LETTERS[run.data]
     logs = np.empty((len(begins), k))
     for i in range(k):
         logs[:, i] = np.add.reduceat(np.where(inside, model.log_p[i][bins], 0), begins)

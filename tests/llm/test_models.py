@@ -66,6 +66,18 @@ def test_a_text_scores_the_same_among_others(spark, small):
         assert language.proportions(part, model)[1][0] == pytest.approx(among[i], abs=1e-6)
 
 
+def test_no_language_is_left_out(spark):
+    rnd = random.Random(9)
+    own = [["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(12)] for _ in range(70)]
+    rows = [(i, " ".join(rnd.choices(own[i], k=40 if i else 12)), f"l{i:02}") for i in range(70)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, lang string").repartition(1)
+    model = language.train(docs)
+    assert len(model.languages) == 70 and model.log_p.shape == (70, language.BINS // 2)
+    np.testing.assert_allclose(np.exp(model.log_p.astype(float)).sum(axis=1), 1, atol=1e-3)
+    found = language.identified(docs, model).collect()
+    assert [r.doc_id for r in found if r.language.lang != r.lang] == []
+
+
 # -- toxicity ------------------------------------------------------------------------------------
 
 
