@@ -36,9 +36,3 @@ def event():
 @pytest.fixture
 def lake(spark, tmp_path):
     return Lake(spark, str(tmp_path / "lake"))
-
-
-def rows(df, *columns):
-    """Rows as sorted tuples, for comparison."""
-    picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=repr)

@@ -3,7 +3,7 @@ import pathlib
 
 import pytest
 
-from conftest import rows
+from frames import rows
 from plazaflow.sources import feeds
 
 

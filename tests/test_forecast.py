@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from plazaflow.operators import features as feat
 from plazaflow.operators import forecast
 

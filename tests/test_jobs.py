@@ -4,7 +4,7 @@ import datetime as dt
 import json
 import pathlib
 
-from conftest import rows
+from frames import rows
 from plazaflow.config import EventConfig
 from plazaflow.operators.forecast import ForestSettings
 from plazaflow.plans import jobs

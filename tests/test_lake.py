@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from plazaflow.sources.lake import with_provenance
 
 

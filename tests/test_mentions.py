@@ -6,7 +6,7 @@ import pathlib
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from plazaflow.functions.draws import pick_weighted, pseudonym
 from plazaflow.operators.silver import mentions
 from plazaflow.sources.contracts import MENTIONS

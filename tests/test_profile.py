@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 
-from conftest import rows
+from frames import rows
 from plazaflow.operators import inventory, profile
 from plazaflow.sources.contracts import BY_NAME, CATALOGUE
 

@@ -6,7 +6,7 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from frames import rows
 from plazaflow.operators import gold, profile, silver
 from plazaflow.plans.queries import QUERIES
 from plazaflow.sources import timetable

@@ -5,7 +5,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from conftest import rows
+from frames import rows
 from plazaflow.operators import silver
 from plazaflow.operators.calendar import active_services
 from plazaflow.operators.dedup import keep_first

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.errors import AnalysisException
 
-from conftest import rows
+from frames import rows
 from plazaflow.sources import timetable
 from plazaflow.sources.contracts import TIMETABLE
 
