@@ -1,11 +1,7 @@
 import os
-import sys
 
 import pytest
-
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-
-from tables_llm import TABLES  # noqa: E402
+from tables_llm import TABLES
 
 
 @pytest.fixture(scope="session")
