@@ -6,7 +6,19 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plazaflow.llm import bpe, chat, decontaminate, jaccard, language, licenses, pseudo, quality, recount, toxicity
+from plazaflow.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    jaccard,
+    language,
+    licenses,
+    packing,
+    pseudo,
+    quality,
+    recount,
+    toxicity,
+)
 from plazaflow.llm.tables import load
 
 
@@ -164,6 +176,25 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+END_OF_DOCUMENT = 1
+
+
+def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = load(spark, folder, "documents").select("doc_id", "text")
+    return packing.packed(docs, WORD_TOKENIZER, END_OF_DOCUMENT).select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+        "context",
+        "step_id",
+    )
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_language_mixture": op2_language_mixture,
@@ -175,4 +206,5 @@ QUERIES = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_license_scan": op9_license_scan,
     "op10_decontaminate": op10_decontaminate,
+    "op12_packing": op12_packing,
 }
