@@ -140,9 +140,70 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM doc LEFT JOIN cover USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
+_LEAF = """sha256(concat(
+    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+    coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(({n})::VARCHAR) || ':' || ({n}), '-'),
+    coalesce(strlen(text) || ':' || text, '-')))"""
+# DuckDB has no crc32: its table of bytes is made first (3988292384 is the reversed polynomial).
+OP13 = f"""
+WITH RECURSIVE bits AS (
+    SELECT b, 0 AS k, b::UBIGINT AS c FROM range(256) AS t(b)
+    UNION ALL
+    SELECT b, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM bits WHERE k < 8
+), crc_table AS (
+    SELECT list(c ORDER BY b) AS t FROM bits WHERE k = 8
+), doc AS (
+    SELECT doc_id, lang, n_chars, {_LEAF.format(n='n_chars')} AS leaf, {_LEAF.format(n='n_chars + 1')} AS changed,
+           xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(doc_id::VARCHAR, ''),
+               lambda x: ascii(x)::UBIGINT)), lambda c, x: xor(c >> 8, t[((xor(c, x) & 255) + 1)::BIGINT])), 4294967295) % 7 AS r
+    FROM documents, crc_table
+), leaf AS (
+    SELECT doc_id, lang, leaf, CASE WHEN r = 0 AND n_chars IS NOT NULL THEN changed ELSE leaf END AS shown,
+           row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank,
+           count(*) OVER (PARTITION BY lang) AS n
+    FROM doc
+), node AS (
+    SELECT lang, 0 AS level, rank, leaf AS digest, n FROM leaf
+    UNION ALL
+    SELECT lang, level + 1, rank // 2, sha256(string_agg(digest, '' ORDER BY rank)), (any_value(n) + 1) // 2
+    FROM node WHERE n > 1 GROUP BY lang, level, rank // 2
+), subroot AS (
+    SELECT lang, digest, level AS height, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS rank,
+           count(*) OVER () AS n
+    FROM node WHERE n = 1
+), above AS (
+    SELECT 0 AS level, rank, digest, n FROM subroot
+    UNION ALL
+    SELECT level + 1, rank // 2, sha256(string_agg(digest, '' ORDER BY rank)), (any_value(n) + 1) // 2
+    FROM above WHERE n > 1 GROUP BY level, rank // 2
+), root AS (
+    SELECT digest, level AS height FROM above WHERE n = 1
+), request AS (
+    SELECT l.*, row_number() OVER () AS id, s.digest AS subroot, s.height, s.rank AS place, root.digest AS root,
+           root.height AS more
+    FROM leaf l JOIN subroot s ON l.lang IS NOT DISTINCT FROM s.lang, root
+), walk AS (
+    SELECT id, 0 AS level, shown AS node, '' AS proof FROM request
+    UNION ALL
+    SELECT w.id, w.level + 1,
+           sha256(CASE WHEN o.digest IS NULL THEN w.node WHEN o.rank % 2 = 0 THEN o.digest || w.node
+                  ELSE w.node || o.digest END), w.proof || coalesce(o.digest, '')
+    FROM walk w JOIN request q USING (id)
+    LEFT JOIN (SELECT lang, level, rank, digest, FALSE AS top FROM node
+               UNION ALL SELECT NULL, level, rank, digest, TRUE FROM above) o
+        ON o.top = (w.level >= q.height) AND (o.top OR o.lang IS NOT DISTINCT FROM q.lang)
+        AND o.level = w.level - CASE WHEN o.top THEN q.height ELSE 0 END
+        AND o.rank = xor((CASE WHEN o.top THEN q.place ELSE q.rank END) >> o.level, 1)
+    WHERE w.level < q.height + q.more
+)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, node AS folded_root, node = root AS verified
+FROM request JOIN walk USING (id) WHERE level = height + more
+"""
+
 ORACLES = {
     "op4_quality_rules": OP4,
     "op5_chat_formatting": OP5,
     "op8_ngram_jaccard": OP8,
     "op10_decontaminate": OP10,
+    "op13_merkle_manifest": OP13,
 }

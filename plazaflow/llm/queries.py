@@ -13,6 +13,7 @@ from plazaflow.llm import (
     jaccard,
     language,
     licenses,
+    merkle,
     packing,
     pseudo,
     quality,
@@ -195,6 +196,28 @@ def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+LEAF_VALUES = ("doc_id", "source", "lang", "n_chars", "text")
+
+
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = load(spark, folder, "documents")
+    changed = [F.col(c) + 1 if c == "n_chars" else F.col(c) for c in LEAF_VALUES]
+    tampered = F.when((fold(F.col("doc_id"), 7) == 0) & F.col("n_chars").isNotNull(), merkle.leaf_of(*changed))
+    docs = docs.withColumn("tampered", tampered)
+    rows = merkle.proofs(merkle.manifest(docs, LEAF_VALUES, carried=("tampered",)))
+    path, shown = F.col("path"), F.coalesce("carried.tampered", "leaf")
+    rows = rows.withColumn("folded_root", merkle.folded(shown, path))
+    return rows.select(
+        F.col("id").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        merkle.digest(F.array_join(merkle.siblings(path), "")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_language_mixture": op2_language_mixture,
@@ -207,4 +230,5 @@ QUERIES = {
     "op9_license_scan": op9_license_scan,
     "op10_decontaminate": op10_decontaminate,
     "op12_packing": op12_packing,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
