@@ -140,6 +140,39 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM doc LEFT JOIN cover USING (doc_id) LEFT JOIN named USING (doc_id)
 """
 
+OP11 = rf"""
+WITH piece AS (
+    SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({LOWERED}, '[.,;:!?\x0A-\x0D]')) AS p
+        FROM documents)
+), gram AS (
+    SELECT lang, w[i:i + k - 1] AS g, count(*) AS f
+    FROM piece, (SELECT unnest([1, 2, 3]) AS k), unnest(range(1, len(w) - k + 2)) AS t(i)
+    GROUP BY lang, w[i:i + k - 1]
+), total AS (
+    SELECT lang, sum(f) AS n FROM gram WHERE len(g) = 1 GROUP BY lang
+), often AS (
+    SELECT * FROM gram WHERE len(g) > 1 AND f >= 10
+), cut AS (
+    SELECT o.lang, o.g, o.f AS a, o.k, x.f AS l, y.f AS r,
+           (1000000::HUGEINT * o.f * o.f) // (x.f::HUGEINT * y.f) AS score
+    FROM (SELECT *, g[1:k] AS g1, g[k + 1:] AS g2
+          FROM (SELECT *, unnest(range(1, len(g))) AS k FROM often)) o
+    JOIN gram x ON x.lang = o.lang AND x.g = o.g1 JOIN gram y ON y.lang = o.lang AND y.g = o.g2
+), lowest AS (
+    SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1
+), wider AS (
+    SELECT lang, part, max(f) AS f FROM (
+        SELECT lang, unnest([g[1:2], g[2:3]]) AS part, f FROM often WHERE len(g) = 3) GROUP BY lang, part
+), kept AS (
+    SELECT c.*, array_to_string(c.g, ' ') AS phrase FROM lowest c LEFT JOIN wider v ON v.lang = c.lang AND v.part = c.g
+    WHERE NOT coalesce(100 * v.f >= 50 * c.a, FALSE)
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r,
+       CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM kept JOIN total USING (lang) QUALIFY rank <= 2000
+"""
+
 _LEAF = """sha256(concat(
     coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
     coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(({n})::VARCHAR) || ':' || ({n}), '-'),
@@ -205,5 +238,6 @@ ORACLES = {
     "op5_chat_formatting": OP5,
     "op8_ngram_jaccard": OP8,
     "op10_decontaminate": OP10,
+    "op11_phrase_collocations": OP11,
     "op13_merkle_manifest": OP13,
 }

@@ -15,6 +15,7 @@ from plazaflow.llm import (
     licenses,
     merkle,
     packing,
+    phrases,
     pseudo,
     quality,
     recount,
@@ -177,6 +178,10 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(load(spark, folder, "documents"))
+
+
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_OF_DOCUMENT = 1
 
@@ -229,6 +234,7 @@ QUERIES = {
     "op8_ngram_jaccard": op8_ngram_jaccard,
     "op9_license_scan": op9_license_scan,
     "op10_decontaminate": op10_decontaminate,
+    "op11_phrase_collocations": op11_phrase_collocations,
     "op12_packing": op12_packing,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
