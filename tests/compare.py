@@ -17,6 +17,7 @@ from __spark_entry__ import oracle_sql, queries  # noqa: E402
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     con.execute("SET TimeZone = 'UTC'")
+    con.execute("SET max_temp_directory_size = '4GB'")
     for path in glob.glob(f"{folder}/*.parquet"):
         name = os.path.basename(path)[: -len(".parquet")]
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{path}')")
