@@ -10,7 +10,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 
 def test_one_query_for_each_operator():
-    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 11))
+    assert [int(name[2:].split("_")[0]) for name in QUERIES] == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
