@@ -16,8 +16,8 @@ document that exceeds it). A window that a pool cannot fill waits for the next p
 the task the rest, less than one window of each pool's last, is cut into windows of falling powers of
 two. Sequence and step numbers are unique by the number of the task's partition.
 
-The encoder keeps the ids of words between blanks, which no token crosses, in a table of at most
-`MAX_WORDS` entries, the older half of which is dropped when it is full.
+The encoder keeps the ids of words between blanks, which no token crosses, in a table of about
+`MAX_WORDS` entries for each Python worker, the older half of which is dropped when it is full.
 
 Defined cases: a null or empty text is its end token alone. Null ids stay null; repeated rows are
 packed each; an empty table gives an empty one. Other columns are left out.
@@ -25,6 +25,7 @@ packed each; an empty table gives an empty one. Other columns are left out.
 
 from __future__ import annotations
 
+import array
 import bisect
 import heapq
 import os
@@ -41,28 +42,57 @@ TIERS = (2048, 1024, 512, 256)
 POOL_TOKENS = 1 << 20
 STEP_TOKENS = 16 * SIZE
 # Words whose ids a task keeps, and characters of texts encoded at once.
-MAX_WORDS = 300_000
+MAX_WORDS = 800_000
 CHARS_AT_ONCE = 1 << 20
 
+# A byte as the letter that stands for it in a vocabulary of bytes: printable ones stand for themselves.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_LETTERS = dict(zip(sorted(set(range(256)) - set(_PRINTABLE)), range(256, 512)))
+
 COLUMNS = (
     "start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint, "
     "context int, step_id bigint"
 )
 
 
+_ENCODERS: dict[str, WordEncoder] = {}
+
+
+def encoder_of(path: str) -> WordEncoder:
+    """The encoder of this Python worker, which serves one task after the other."""
+    if path not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[path] = WordEncoder(path)
+    return _ENCODERS[path]
+
+
 class WordEncoder:
-    """Ids of texts as bytes (little-endian, 32 bits each), by a tokenizer whose tokens end at blanks."""
+    """Ids of texts as bytes (little-endian, 32 bits each).
+
+    For tokenizers of bytes that take text in NFC and lower case and whose tokens end at blanks and
+    between letters and marks.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a task for each core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {}
 
     def _of(self, words: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        """Words of Latin small letters go to the merges at once: nothing is normalised or split in them."""
+        model, found, others = self.model, {}, []
+        for word in words:
+            if word.isalpha() and word.islower() and max(word) < "\u0180":
+                plain = word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_LETTERS)
+                found[word] = array.array("I", [t.id for t in model.tokenize(plain)]).tobytes()
+            else:
+                others.append(word)
+        encoded = self.tokenizer.encode_batch_fast(others, add_special_tokens=False)
+        found.update((w, array.array("I", e.ids).tobytes()) for w, e in zip(others, encoded))
+        return [found[w] for w in words]
 
     def _learn(self, words: set[str]) -> None:
         """Adds words; a single mark after a letter is a token of its own, ASCII capitals do not count."""
@@ -199,7 +229,7 @@ def packed(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << 33
-        encoder, packer = WordEncoder(tokenizer), Packer(tiers)
+        encoder, packer = encoder_of(tokenizer), Packer(tiers)
         open_docs: dict[int, tuple] = {}  # number -> id, ids; those with pieces not yet given out
         number = sequences = steps = held = 0
         full: list[tuple[int, list]] = []
