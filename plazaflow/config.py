@@ -47,7 +47,7 @@ class EventConfig:
     time_zone: str | None = "Europe/Berlin"
 
     cell_edge_m: float = 174.0
-    # "grid" is the built-in planar hexagon grid; "h3" needs the h3 package on the executors.
+    # "grid" is a planar hexagon grid around the event; "h3" has the ids of the worldwide H3 grid.
     cell_backend: str = "grid"
     h3_resolution: int = 9
 

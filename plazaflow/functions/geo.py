@@ -6,9 +6,9 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from plazaflow.config import METRES_PER_DEGREE, EventConfig
+from plazaflow.functions import icosahedron
 
 SQRT3 = math.sqrt(3.0)
 
@@ -18,10 +18,11 @@ def hex_cell(lat: Column, lon: Column, event: EventConfig) -> Column:
 
     The point is projected to metres around the reference latitude and rounded to the nearest
     pointy-top hexagon in axial coordinates; the id is ``q_r``. The plane is faithful near the
-    reference latitude, which is all a city event needs.
+    reference latitude, which is all a city event needs. The backend "h3" gives ids of the worldwide grid.
     """
+    valid = lat.between(-90.0, 90.0) & lon.between(-180.0, 180.0)
     if event.cell_backend == "h3":
-        return _h3_cell(lat, lon, event.h3_resolution)
+        return F.when(valid, icosahedron.cell(lat, lon, event.h3_resolution))
 
     x = lon * F.lit(event.metres_per_degree_lon)
     y = lat * F.lit(METRES_PER_DEGREE)
@@ -39,12 +40,13 @@ def hex_cell(lat: Column, lon: Column, event: EventConfig) -> Column:
     r_off = ~q_off & (dr > ds)
     q_id = F.when(q_off, -r - s).otherwise(q).cast("bigint")
     r_id = F.when(r_off, -q - s).otherwise(r).cast("bigint")
-    valid = lat.between(-90.0, 90.0) & lon.between(-180.0, 180.0)
     return F.when(valid, F.concat_ws("_", q_id, r_id))
 
 
 def cell_center(cell: Column, event: EventConfig) -> Column:
-    """Centre of a grid cell as struct(lat, lon); null for a null or malformed id."""
+    """Centre of a cell as struct(lat, lon); null for a null or malformed id."""
+    if event.cell_backend == "h3":
+        return icosahedron.center(icosahedron.number_of(cell))
     parts = F.split(cell, "_")
     q = parts.getItem(0).try_cast("double")
     r = F.try_element_at(parts, F.lit(2)).try_cast("double")
@@ -97,28 +99,3 @@ def representative_point(geometry: Column) -> Column:
         F.try_element_at(pair, F.lit(1)).try_cast("double").alias("lon"),
         F.try_element_at(pair, F.lit(2)).try_cast("double").alias("lat"),
     )
-
-
-def _h3_cell(lat: Column, lon: Column, resolution: int) -> Column:
-    """Arrow-batched cell id of the optional h3 package, for exchange with other H3 users."""
-    try:
-        import h3  # noqa: F401
-    except ImportError as e:
-        raise RuntimeError("cell_backend='h3' needs the h3 package; use 'grid'") from e
-
-    import pandas as pd
-
-    @F.pandas_udf(T.StringType())
-    def cells(lats: pd.Series, lons: pd.Series) -> pd.Series:
-        import h3
-
-        known = lats.between(-90.0, 90.0) & lons.between(-180.0, 180.0)
-        return pd.Series(
-            [
-                h3.latlng_to_cell(a, o, resolution) if ok else None
-                for a, o, ok in zip(lats, lons, known)
-            ],
-            dtype=object,
-        )
-
-    return cells(lat, lon)

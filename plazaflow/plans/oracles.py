@@ -11,6 +11,7 @@ import re
 
 from plazaflow.config import DEFAULT_HOUR_WEIGHTS, DEFAULT_ROUTE, METRES_PER_DEGREE, EventConfig
 from plazaflow.functions.geo import area_of_interest
+from plazaflow.plans.oracle_cells import h3_cells
 from plazaflow.plans.queries import DAY
 from plazaflow.plans.testdata import PER_DOCUMENT, SALT
 
@@ -76,6 +77,17 @@ BLOCKS = {
     "mentions_s": "SELECT *, CAST(hour(event_ts) AS INT) AS hour_of_day FROM ("
     + _celled("mention_rows")
     + ")",
+    "far_mentions": """
+    SELECT mention_id, lat, lon, (n * 7919 % 179999) / 1000e0 - 90e0 AS far_lat,
+      (n * 104729 % 359999) / 1000e0 - 180e0 AS far_lon
+    FROM (SELECT *, CAST(substr(mention_id, 5) AS BIGINT) AS n FROM mention_rows)""",
+    "mentions_h3": "SELECT *, CAST(hour(event_ts) AS INT) AS hour_of_day FROM "
+    + h3_cells("mention_rows", 8),
+    "activity_h3": """
+    SELECT h3_index, hour_of_day, count(*) AS num_mentions,
+      count(DISTINCT user_hash) AS num_users, avg(sentiment) AS avg_sentiment,
+      avg(CASE WHEN has_media THEN 1e0 ELSE 0e0 END) AS pct_with_media
+    FROM mentions_h3 GROUP BY ALL""",
     "updates": f"""
     SELECT {_text('event_id % 97')} AS trip_id, {_text('user_id % 25')} AS route_id,
       {_text('user_id')} AS stop_id, {DELAY} AS delay_seconds, date_trunc('hour', ts) AS feed_ts
@@ -390,6 +402,9 @@ SELECTS = {
     "active_service_ids": "SELECT service_id FROM active",
     "running_trip_modes": "SELECT * FROM running",
     "hex_cells": "SELECT mention_id, h3_index FROM mentions_s",
+    "h3_cells": "SELECT mention_id, h3_index, far_wide, far, TRUE AS center_is_inside FROM "
+    + h3_cells(h3_cells(h3_cells("far_mentions", 9), 3, "far_lat", "far_lon", "far_wide"), 6, "far_lat", "far_lon", "far"),
+    "mentions_by_h3_cell": f"SELECT {ACTIVITY} FROM activity_h3",
     "cell_centers": f"""SELECT h3_index,
         round({_num(EDGE * 1.5)} * r / {_num(MY)}, 6) AS lat,
         round({_num(EDGE * SQRT3)} * (q + r / 2e0) / {_num(MX)}, 6) AS lon

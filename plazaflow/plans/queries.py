@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from plazaflow.config import EventConfig, scratch_dir
+from plazaflow.functions import icosahedron
 from plazaflow.functions.draws import pseudonym
 from plazaflow.functions.geo import hex_cell, representative_point, with_cell_center
 from plazaflow.operators import features as feat
@@ -330,6 +331,41 @@ def hex_cells(spark, folder):
     )
 
 
+@query
+def h3_cells(spark, folder):
+    """Worldwide cells of the mentions: at their places, and at places spread over the globe."""
+    rows = data.mentions(spark, folder).select("mention_id", "lat", "lon")
+    number = F.substring("mention_id", 5, 12).cast("bigint")
+    rows = rows.select(
+        "*",
+        (number * 7919 % 179_999 / 1000 - 90).alias("far_lat"),
+        (number * 104_729 % 359_999 / 1000 - 180).alias("far_lon"),
+    )
+    far = icosahedron.cell_number(F.col("far_lat"), F.col("far_lon"), 6)
+    rows = rows.select(
+        "mention_id",
+        hex_cell(F.col("lat"), F.col("lon"), event_of(spark, cell_backend="h3")).alias("h3_index"),
+        icosahedron.cell(F.col("far_lat"), F.col("far_lon"), 3).alias("far_wide"),
+        far.alias("far"),
+    )
+    at = icosahedron.center(F.col("far"))
+    return rows.select(
+        "mention_id",
+        "h3_index",
+        "far_wide",
+        F.lower(F.hex("far")).alias("far"),
+        (icosahedron.cell_number(at["lat"], at["lon"], 6) == F.col("far")).alias("center_is_inside"),
+    )
+
+
+@query
+def mentions_by_h3_cell(spark, folder):
+    """Silver and gold built on worldwide cells."""
+    event = event_of(spark, cell_backend="h3", h3_resolution=8)
+    placed = silver.mentions(data.replayed(data.mentions(spark, folder)), event)
+    return gold.mentions_by_cell_hour(placed)
+
+
 @query
 def cell_centers(spark, folder):
     cells = _mentions(spark, folder).select("h3_index").distinct()

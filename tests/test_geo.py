@@ -106,16 +106,3 @@ def test_representative_point(spark, geometry, expected):
     parsed = df.select(F.from_json("j", DISRUPTION_JSON)["geometry"].alias("g"))
     point = parsed.select(representative_point(F.col("g")).alias("p")).head()["p"]
     assert (point["lon"], point["lat"]) == expected
-
-
-def test_the_h3_backend_asks_for_its_package(spark):
-    try:
-        import h3  # noqa: F401
-    except ImportError:
-        with pytest.raises(RuntimeError):
-            hex_cell(F.lit(52.5), F.lit(13.4), EventConfig(cell_backend="h3"))
-    else:
-        cell = spark.range(1).select(
-            hex_cell(F.lit(52.5), F.lit(13.4), EventConfig(cell_backend="h3")).alias("c")
-        )
-        assert len(cell.head()["c"]) == 15
