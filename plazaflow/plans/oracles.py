@@ -381,6 +381,12 @@ SELECTS = {
     "generated_mentions": _mentions_sql(),
     "stream_ingest": f"""SELECT * REPLACE (strftime(event_ts, '%Y-%m-%dT%H:%M:%S') AS event_ts,
         {_r('lat')}, {_r('lon')}, {_r('sentiment')}) FROM mention_rows""",
+    "stream_replays_and_rejects": """
+    SELECT 'kept' AS kind, count(*) AS num_rows, count(*) AS num_ids, count(*) FILTER (p <> 4) AS num_lat
+      FROM (SELECT CAST(substr(mention_id, 5) AS BIGINT) % 5 AS p FROM mention_rows)
+    UNION ALL SELECT CASE p WHEN 2 THEN 'no id' WHEN 4 THEN 'field' ELSE 'broken' END,
+      CAST(sum(CASE WHEN p IN (1, 2) THEN 2 ELSE 1 END) AS BIGINT), 0, 0
+      FROM (SELECT CAST(substr(mention_id, 5) AS BIGINT) % 5 AS p FROM mention_rows) WHERE p > 0 GROUP BY 1""",
     "sql_distinct_services": f"""SELECT count(*) AS num_services, '{DAY.year}0101' AS first_day,
         max(CASE WHEN n % 5 = 0 THEN '{DAY.year}0102' ELSE '{DAY.year}1231' END) AS last_day
         FROM services""",

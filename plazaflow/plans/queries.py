@@ -26,7 +26,13 @@ from plazaflow.sources import feeds, timetable
 from plazaflow.sources.contracts import BY_NAME, DISRUPTION_JSON, MENTIONS
 from plazaflow.sources.lake import Lake, with_provenance
 from plazaflow.sources.mentions import mentions_for
-from plazaflow.streaming.mentions import ingest_mentions
+from plazaflow.streaming.mentions import (
+    REASON,
+    REJECTED,
+    TABLE,
+    ingest_checked_mentions,
+    ingest_mentions,
+)
 
 # A day the order dates cover.
 DAY = dt.date(1998, 6, 15)
@@ -231,6 +237,34 @@ def stream_ingest(spark, folder):
     return lake.read("bronze", "bronze_csd_mentions").select(*MENTIONS.fieldNames(), "source")
 
 
+@query
+def stream_replays_and_rejects(spark, folder):
+    """Mentions landed twice, with broken, truncated and id-less lines among them; rows of both tables."""
+    lake = scratch_lake(spark, "checked")
+    mentions = data.mentions(spark, folder).select(*MENTIONS.fieldNames())
+    line = F.to_json(F.struct(*MENTIONS.fieldNames()))
+    part = F.substring("mention_id", 5, 12).cast("bigint") % 5
+    lines = mentions.select(
+        F.when(part == 1, F.substring(line, 1, 30))  # truncated
+        .when(part == 2, F.regexp_replace(line, '"mention_id":"[^"]*",', ""))
+        .when(part == 3, F.regexp_replace(line, '"lat":', '"lat":"far ') )  # broken from here on
+        .when(part == 4, F.regexp_replace(line, '"lat":[^,]*', '"lat":"far"'))
+        .otherwise(line)
+        .alias("value")
+    )
+    whole = mentions.select(line.alias("value"))
+    # Then most of it again, as another producer's files, and last all lines as they should be.
+    for name, rows in (("first", lines), ("again", lines.where("value not like '%far%'")), ("whole", whole)):
+        rows.write.text(f"{lake.landing('mentions')}/{name}")
+        ingest_checked_mentions(lake)
+    back = lake.read("bronze", TABLE).groupBy(F.lit("kept").alias("kind")).agg(
+        F.count("*").alias("num_rows"), F.count_distinct("mention_id").alias("num_ids"), F.count("lat").alias("num_lat")
+    )
+    none = F.lit(0).cast("bigint")
+    aside = lake.read("bronze", REJECTED).groupBy(F.col(REASON).alias("kind")).agg(F.count("*").alias("num_rows"))
+    return back.unionByName(aside.select("kind", "num_rows", none.alias("num_ids"), none.alias("num_lat")))
+
+
 @query
 def sql_distinct_services(spark, folder):
     """SQL over a registered view: an aggregate over a DISTINCT sub-query."""

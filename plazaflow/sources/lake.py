@@ -10,9 +10,12 @@ rebuild that fails leaves the old one as it was. Appended Parquet tables hold a
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 import uuid
+from collections.abc import Callable, Iterator, Mapping
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +36,22 @@ def with_provenance(df: DataFrame, source: str) -> DataFrame:
     )
 
 
+@contextlib.contextmanager
+def configured(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
+    """Session settings for a while; those before come back."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 # Folders of appended commits and of rebuilt versions.
 COMMIT = "_commit_id"
 VERSION = "version-"
@@ -190,22 +209,44 @@ class Lake:
         it is repeated. After a lost checkpoint all files are read again as another stream; nothing is
         lost, and silver keeps one row per key.
         """
-        rows = 0
+        routes = {table: lambda batch: batch}
+        return self.append_routes(stream, routes, source, checkpoint or table)[table]
 
-        def append(batch: DataFrame, number: int) -> None:
-            nonlocal rows
-            context = batch.sparkSession.sparkContext
-            rows += self._append(
-                batch, table, context.getLocalProperty("sql.streaming.queryId"), number
-            )
+    def append_routes(
+        self,
+        stream: DataFrame,
+        routes: Mapping[str, Callable[[DataFrame], DataFrame]],
+        source: str,
+        checkpoint: str,
+        settings: Mapping[str, str] | None = None,
+    ) -> dict[str, int]:
+        """As `append_stream`, for tables that each take their rows from the same micro-batches.
 
-        query = (
+        A batch that goes to several tables is kept until all are written, so it is read once.
+        `settings` hold for this stream alone.
+        """
+        rows = dict.fromkeys(routes, 0)
+
+        def append(batch: DataFrame, number: int) -> None:
+            query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+            several = len(routes) > 1
+            if several:
+                batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                for table, route in routes.items():
+                    rows[table] += self._append(route(batch), table, query_id, number)
+            finally:
+                if several:
+                    batch.unpersist()
+
+        writer = (
             with_provenance(stream, source)
             .writeStream.foreachBatch(append)
-            .option("checkpointLocation", self.checkpoint(checkpoint or table))
+            .option("checkpointLocation", self.checkpoint(checkpoint))
             .trigger(availableNow=True)
-            .start()
         )
+        with configured(self.spark, settings or {}):
+            query = writer.start()  # it keeps a copy of the session's settings
         query.awaitTermination()
         return rows
 
