@@ -67,7 +67,11 @@ def bike_stations(info: DataFrame, event: EventConfig) -> DataFrame:
 
 def bike_availability(status: DataFrame, info: DataFrame, event: EventConfig) -> DataFrame:
     """Readings with their station's place; readings of unknown stations are dropped."""
-    return bike_readings(status).join(bike_stations(info, event), "station_id")
+    return placed_readings(bike_readings(status), info, event)
+
+
+def placed_readings(readings: DataFrame, info: DataFrame, event: EventConfig) -> DataFrame:
+    return readings.join(bike_stations(info, event), "station_id")
 
 
 def stop_delays(updates: DataFrame) -> DataFrame:
@@ -109,8 +113,12 @@ def stop_places(stops: DataFrame, event: EventConfig) -> DataFrame:
 
 def transit_delays(updates: DataFrame, stops: DataFrame, event: EventConfig) -> DataFrame:
     """Delays with their stop's place; delays at unknown stops are kept without a place."""
+    return placed_delays(stop_delays(updates), stops, event)
+
+
+def placed_delays(delays: DataFrame, stops: DataFrame, event: EventConfig) -> DataFrame:
     places = stop_places(stops, event).select("stop_id", "lat", "lon", "h3_index")
-    return stop_delays(updates).join(places, "stop_id", "left")
+    return delays.join(places, "stop_id", "left")
 
 
 def disruptions(features: DataFrame, event: EventConfig) -> DataFrame:
@@ -200,8 +208,8 @@ def transit_supply(
     )
 
 
-def mentions(landed: DataFrame, event: EventConfig) -> DataFrame:
-    """One row per mention with its hour and cell.
+def mention_rows(landed: DataFrame) -> DataFrame:
+    """One row per mention.
 
     `event_ts` is text of the event's own wall clock, parsed and read back in the session zone,
     so the hour is the hour written in the text.
@@ -218,6 +226,13 @@ def mentions(landed: DataFrame, event: EventConfig) -> DataFrame:
         "user_hash",
         "source",
     )
-    return with_cell(
-        keep_first(typed, ["mention_id"]).withColumn("hour_of_day", F.hour("event_ts")), event
-    )
+    return keep_first(typed, ["mention_id"])
+
+
+def placed_mentions(rows: DataFrame, event: EventConfig) -> DataFrame:
+    return with_cell(rows.withColumn("hour_of_day", F.hour("event_ts")), event)
+
+
+def mentions(landed: DataFrame, event: EventConfig) -> DataFrame:
+    """One row per mention with its hour and cell."""
+    return placed_mentions(mention_rows(landed), event)

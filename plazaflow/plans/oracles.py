@@ -390,6 +390,8 @@ SELECTS = {
     "sql_distinct_services": f"""SELECT count(*) AS num_services, '{DAY.year}0101' AS first_day,
         max(CASE WHEN n % 5 = 0 THEN '{DAY.year}0102' ELSE '{DAY.year}1231' END) AS last_day
         FROM services""",
+    "silver_kept_up": """SELECT unnest(['silver_bike_availability', 'silver_transit_delays',
+        'silver_csd_mentions']) AS table_name, 'days' AS mode, 0 AS num_differences, TRUE AS read_less_than_all""",
     "bbox_stops": f"SELECT stop_id, {_r('lat', 'lon')} FROM near_stops",
     "timetable_semijoin_cascade": """
         SELECT 'stops' AS table_name, count(*) AS num_rows FROM near_stops

@@ -20,7 +20,7 @@ from plazaflow.functions.geo import hex_cell, representative_point, with_cell_ce
 from plazaflow.operators import features as feat
 from plazaflow.operators import forecast, gold, inventory, profile, silver
 from plazaflow.operators.calendar import active_services
-from plazaflow.plans import jobs
+from plazaflow.plans import jobs, upkeep
 from plazaflow.plans import testdata as data
 from plazaflow.sources import feeds, timetable
 from plazaflow.sources.contracts import BY_NAME, DISRUPTION_JSON, MENTIONS
@@ -275,6 +275,37 @@ def sql_distinct_services(spark, folder):
     )
 
 
+@query
+def silver_kept_up(spark, folder):
+    """Two ingests, the second with replays and late rows; silver after it against one built from all of bronze."""
+    lake, event = scratch_lake(spark, "upkeep"), event_of(spark)
+    facts = {
+        "silver_bike_availability": ("bronze_nextbike_status", data.station_status(spark, folder), "payload_json"),
+        "silver_transit_delays": ("bronze_gtfs_tripupdates", data.trip_updates(spark, folder), "payload_json"),
+        "silver_csd_mentions": ("bronze_csd_mentions", data.mentions(spark, folder).select(*MENTIONS.fieldNames()), "mention_id"),
+    }
+    info = data.station_information(spark, folder)
+    lake.append_bronze(info.drop("ingest_ts"), "bronze_nextbike_station_information", "real")
+    lake.replace_bronze(data.stops(spark, folder), "bronze_gtfs_static_stops", "real")
+    runs = {}
+    for parts in ((0, 1), (1, 2)):
+        for table, rows, key in facts.values():
+            lake.append_bronze(rows.where((F.crc32(key) % 3).isin(*parts)), table, "real")
+        runs = {table: upkeep.keep_up(lake, table, event) for table in facts}
+    found = None
+    for table, run in runs.items():
+        how = upkeep.KEPT[table]
+        dims = [lake.read("bronze", name) for name in how.dimensions]
+        anew = how.placed(how.rows(lake.read("bronze", how.facts)), dims, event)
+        kept = lake.read("silver", table).select(*anew.columns)
+        odd = kept.exceptAll(anew).unionByName(anew.exceptAll(kept)).agg(F.count("*").alias("num_differences"))
+        new = lake.read_commits(how.facts, lake.parts("bronze", how.facts)).count()
+        row = odd.select(F.lit(table).alias("table_name"), F.lit(run.mode).alias("mode"), "num_differences",
+                         F.lit(run.rows_read < new).alias("read_less_than_all"))
+        found = row if found is None else found.unionByName(row)
+    return found
+
+
 # -- timetable cascade -----------------------------------------------------------------------------
 
 

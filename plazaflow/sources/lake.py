@@ -12,12 +12,14 @@ from __future__ import annotations
 
 import contextlib
 import datetime as dt
+import json
 import uuid
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plazaflow.config import SOURCES
 from plazaflow.sources.contracts import LAYERS
@@ -52,9 +54,10 @@ def configured(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[Non
                 spark.conf.set(key, value)
 
 
-# Folders of appended commits and of rebuilt versions.
+# Folders of appended commits, of rebuilt versions, and of the days of a table that is kept up by day.
 COMMIT = "_commit_id"
 VERSION = "version-"
+DAY = "_day"
 
 
 class Lake:
@@ -94,7 +97,7 @@ class Lake:
         if self.fmt != "delta":
             versions = self._versions(path)
             path = versions[-1] if versions else path
-        df = self.spark.read.format(self.fmt).load(path).drop(COMMIT)
+        df = self.spark.read.format(self.fmt).load(path).drop(COMMIT, DAY)
         if since is not None:
             df = df.where(F.col("ingest_date") >= F.lit(since))
         return df
@@ -132,6 +135,33 @@ class Lake:
         folders = [f"{path}/{name}" for name in self._names(path, VERSION)]
         return [x for x in folders if self.has_folder(f"{x}/_SUCCESS")]
 
+    def parts(self, layer: str, table: str) -> list[str]:
+        """Names of the complete commits of an appended table, or the version of a rebuilt one."""
+        path = self.path(layer, table)
+        versions = self._versions(path)
+        if versions:
+            return [versions[-1].rsplit("/", 1)[1]]
+        names = self._names(path, f"{COMMIT}=")
+        return [x for x in names if self.has_folder(f"{path}/{x}/_SUCCESS")]
+
+    def read_commits(self, table: str, names: Sequence[str]) -> DataFrame:
+        """The rows of some commits of a bronze table; no other file is listed or read."""
+        path = self.path("bronze", table)
+        reader = self.spark.read.format(self.fmt).option("basePath", path)
+        return reader.load([f"{path}/{name}" for name in names]).drop(COMMIT)
+
+    def days(self, layer: str, table: str, schema: T.StructType) -> DataFrame:
+        """A table that is kept up by day, with the day of each row; its columns are given."""
+        fields = T.StructType([*schema.fields, T.StructField(DAY, T.DateType())])
+        return self.spark.read.format(self.fmt).schema(fields).load(self._versions(self.path(layer, table))[-1])
+
+    def drop_days(self, layer: str, table: str, days: Iterable[dt.date]) -> None:
+        """Removes days that have no rows left."""
+        path = self._versions(self.path(layer, table))[-1]
+        for day in days:
+            folder, files = self._folder(f"{path}/{DAY}={day.isoformat()}")
+            files.delete(folder, True)
+
     def register_views(self, layer: str, *tables: str) -> None:
         """Makes tables available to `spark.sql` under their own names."""
         for table in tables:
@@ -151,7 +181,23 @@ class Lake:
         """Rebuilds a silver or gold table, from other tables or from itself."""
         return self._replace(df, layer, table)
 
-    def _replace(self, df: DataFrame, layer: str, table: str) -> int:
+    def replace_days(self, df: DataFrame, layer: str, table: str) -> int:
+        """Writes the days (column `DAY`) that the rows have anew; other days stay as they are.
+
+        Files are staged and put in place when all tasks have ended, so the rows may come from the table
+        itself, and a failed run changes nothing.
+        """
+        path = self._versions(self.path(layer, table))[-1]
+        rows, writer = self._counted(df)
+        writer = writer.option("partitionOverwriteMode", "dynamic").mode("overwrite")
+        writer.partitionBy(DAY).save(path)
+        return self.record(layer, table, "days", rows.get["rows"])
+
+    def replace_by_day(self, df: DataFrame, layer: str, table: str) -> int:
+        """Rebuilds a table with a folder for each day."""
+        return self._replace(df, layer, table, by=[DAY])
+
+    def _replace(self, df: DataFrame, layer: str, table: str, by: Sequence[str] = ()) -> int:
         path = self.path(layer, table)
         if self.fmt == "delta":
             rows, writer = self._counted(df)
@@ -160,6 +206,7 @@ class Lake:
             names = self._names(path, VERSION)
             number = 1 + max((int(x.removeprefix(VERSION)) for x in names), default=0)
             rows, writer = self._counted(df)
+            writer = writer.partitionBy(*by) if by else writer
             writer.mode("error").save(f"{path}/{VERSION}{number:010d}")
             # The version before stays for readers that have begun with it.
             self._drop_versions(path, keep=2)
@@ -254,12 +301,14 @@ class Lake:
 
     def record(self, layer: str, table: str, mode: str, rows: int) -> int:
         """Notes one committed write, for the commit count of tables that keep no history."""
-        self.spark.createDataFrame(
-            [(layer, table, mode, rows)],
-            "layer string, table_name string, mode string, num_rows bigint",
-        ).coalesce(1).withColumn("written_at", F.current_timestamp()).write.mode("append").parquet(
-            self.audit_path
-        )
+        note = {"layer": layer, "table_name": table, "mode": mode, "num_rows": rows}
+        note["written_at"] = dt.datetime.now(dt.timezone.utc).isoformat()
+        target, files = self._folder(f"{self.audit_path}/{uuid.uuid4().hex}.json")
+        out = files.create(target)
+        try:
+            out.write(bytearray(json.dumps(note).encode()))
+        finally:
+            out.close()
         return rows
 
     def commits(self) -> DataFrame:
@@ -268,5 +317,5 @@ class Lake:
             return self.spark.createDataFrame(
                 [], "layer string, table_name string, num_versions bigint"
             )
-        log = self.spark.read.parquet(self.audit_path)
+        log = self.spark.read.schema("layer string, table_name string").json(self.audit_path)
         return log.groupBy("layer", "table_name").agg(F.count("*").alias("num_versions"))
