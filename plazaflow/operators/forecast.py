@@ -29,9 +29,12 @@ class ForestSettings:
     trees: int = 100
     depth: int = 12
     seed: int = 417
-    # Training rows are dealt out in so many parts, in a fixed order, as the draws of the trees
-    # depend on both: the same rows give the same forest on any cluster. Raise it with the data.
-    partitions: int = 32
+    # Training rows are dealt out in parts of about so many, in a fixed order, as the draws of the
+    # trees depend on both: the same rows give the same forest on any cluster.
+    rows_per_part: int = 10_000
+
+    def parts(self, rows: int) -> int:
+        return max(1, -(-rows // self.rows_per_part))
 
 
 def forecaster(settings: ForestSettings = ForestSettings()) -> Pipeline:
@@ -68,13 +71,14 @@ def persistence_errors(validation: DataFrame) -> DataFrame:
     return validation.agg(*errors(TARGET, "delay_lag_seconds"))
 
 
-def check_size(split: TimeSplit) -> None:
-    """Training needs enough rows and validation at least one."""
+def check_size(split: TimeSplit) -> int:
+    """Number of training rows. Training needs enough of them and validation at least one."""
     rows = split.train.count()
     if rows < MIN_TRAINING_ROWS:
         raise RuntimeError(f"{rows} training rows; at least {MIN_TRAINING_ROWS} are needed")
     if split.validation.isEmpty():
         raise RuntimeError("no slot is left for validation")
+    return rows
 
 
 def score_report(model: PipelineModel, split: TimeSplit) -> DataFrame:
@@ -102,8 +106,8 @@ def train(
 ) -> tuple[PipelineModel, DataFrame]:
     """Fits on the older slots; returns the model and its report against the newer ones."""
     split = temporal_split(features, train_share)
-    check_size(split)
-    dealt = split.train.repartition(settings.partitions, CATEGORY, "slot_ts")
+    parts = settings.parts(check_size(split))
+    dealt = split.train.repartition(parts, CATEGORY, "slot_ts")
     model = forecaster(settings).fit(dealt.sortWithinPartitions(CATEGORY, "slot_ts"))
     return model, score_report(model, split)
 

@@ -157,15 +157,19 @@ def inventory_job(lake: Lake) -> dict[str, int]:
 
 
 def run_all(
-    lake: Lake, event: EventConfig, timetable_folder: str | None = None
+    lake: Lake,
+    event: EventConfig,
+    timetable_folder: str | None = None,
+    batches: int = 5,
+    settings: forecast.ForestSettings = forecast.ForestSettings(),
 ) -> dict[str, dict[str, int]]:
-    """All stages in order."""
+    """All stages in order; without `batches` only mentions that have landed are taken in."""
     return {
         "bronze": bronze_job(lake, event, timetable_folder),
-        "stream": stream_job(lake, event),
+        "stream": stream_job(lake, event, batches),
         "silver": silver_job(lake, event),
         "gold": gold_job(lake, event),
-        "forecast": forecast_job(lake),
+        "forecast": forecast_job(lake, settings),
     }
 
 

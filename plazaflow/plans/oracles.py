@@ -408,6 +408,7 @@ SELECTS = {
     "trip_update_flatten": f"SELECT * REPLACE ({_time('feed_ts')} AS feed_ts) FROM stop_delays",
     "scheduled_passes": "SELECT * FROM passes",
     "active_service_ids": "SELECT service_id FROM active",
+    "active_without_exceptions": "SELECT service_id FROM services WHERE n % 4 <> 0 AND n % 5 <> 0",
     "running_trip_modes": "SELECT * FROM running",
     "hex_cells": "SELECT mention_id, h3_index FROM mentions_s",
     "h3_cells": "SELECT mention_id, h3_index, far_wide, far, TRUE AS center_is_inside FROM "
@@ -536,6 +537,38 @@ SELECTS = {
         ORDER BY num_scheduled_stops DESC, station_id, transport_mode, route_name NULLS FIRST
         LIMIT 10""",
 }
+_RUN = {
+    "bronze.bronze_gtfs_tripupdates": "SELECT 1 FROM events",
+    "bronze.bronze_nextbike_status": "SELECT 1 FROM events",
+    "bronze.bronze_nextbike_station_information": "SELECT 1 FROM supplier",
+    "bronze.bronze_viz_disruptions": "SELECT 1 FROM orders",
+    "bronze.bronze_csd_mentions": "SELECT 1 FROM events",
+    "bronze.bronze_gtfs_static_stops": "SELECT 1 FROM supplier",
+    "bronze.bronze_gtfs_static_stop_times": "SELECT 1 FROM lineitem",
+    "bronze.bronze_gtfs_static_trips": "SELECT 1 FROM orders SEMI JOIN lineitem ON l_orderkey = o_orderkey",
+    "bronze.bronze_gtfs_static_routes": """SELECT 1 FROM nation WHERE n_nationkey IN (
+      SELECT o_custkey % 30 FROM orders SEMI JOIN lineitem ON l_orderkey = o_orderkey)""",
+    "bronze.bronze_gtfs_static_calendar": f"SELECT DISTINCT {SERVICE} FROM orders SEMI JOIN lineitem ON l_orderkey = o_orderkey",
+    "bronze.bronze_gtfs_static_calendar_dates": f"""SELECT 1 FROM exceptions WHERE service_id IN (
+      SELECT {SERVICE} FROM orders SEMI JOIN lineitem ON l_orderkey = o_orderkey)""",
+    "silver.silver_bike_availability": SELECTS["silver_bikes"],
+    "silver.silver_transit_delays": SELECTS["silver_delays"],
+    "silver.silver_disruptions": SELECTS["silver_disruptions"],
+    "silver.silver_transit_supply": SELECTS["silver_supply"],
+    "silver.silver_csd_mentions": SELECTS["silver_mentions"],
+    "gold.gold_mobility_pressure": SELECTS["mobility_pressure"],
+    "gold.gold_line_reliability": SELECTS["line_reliability"],
+    "gold.gold_disruptions_by_cell": SELECTS["disruptions_by_cell"],
+    "gold.gold_station_services": SELECTS["station_services"],
+    "gold.gold_transit_capacity": SELECTS["transit_capacity"],
+    "gold.gold_csd_activity": SELECTS["csd_activity"],
+    "gold.gold_mobility_vs_activity": SELECTS["mobility_vs_activity"],
+    "gold.gold_delay_predictions": SELECTS["delay_predictions"],
+}
+SELECTS["landed_to_gold"] = " UNION ALL ".join(
+    f"SELECT '{name.split('.')[0]}' AS layer, '{name.split('.')[1]}' AS table_name, count(*) AS num_rows FROM ({rows}) HAVING count(*) > 0"
+    for name, rows in _RUN.items()
+)
 SELECTS["lake_jobs"] = SELECTS["mobility_vs_activity"]
 
 ORACLES = {name: _with(select) for name, select in SELECTS.items()}

@@ -382,6 +382,15 @@ def active_service_ids(spark, folder):
     return _active(spark, folder)
 
 
+@query
+def active_without_exceptions(spark, folder):
+    """A timetable whose file of exceptions is left out."""
+    files, event = scratch_dir(spark, "timetable"), event_of(spark)
+    data.calendar(spark, folder, event).write.option("header", True).csv(f"{files}/calendar.txt")
+    calendar, exceptions = (timetable.read_timetable_file(spark, files, n) for n in ("calendar", "calendar_dates"))
+    return active_services(calendar, exceptions, event)
+
+
 @query
 def running_trip_modes(spark, folder):
     return silver.running_trips(
@@ -700,6 +709,35 @@ def lake_jobs(spark, folder):
     return lake.read("gold", "gold_mobility_vs_activity")
 
 
+def _landed(documents: DataFrame, path: str) -> None:
+    """One file for each document."""
+    named = documents.select(F.col("document").alias("value"), F.md5("source_url").alias("doc"))
+    named.repartition("doc").write.mode("append").partitionBy("doc").text(path)
+
+
+@query
+def landed_to_gold(spark, folder):
+    """Documents and timetable files landed, all stages run over them; rows by table."""
+    lake, files = scratch_lake(spark, "landed"), scratch_dir(spark, "timetable")
+    event = event_of(spark)
+    _landed(data.update_documents(spark, folder), lake.landing("gtfs_rt"))
+    _landed(data.station_documents(spark, folder), lake.landing("gbfs_status"))
+    _landed(data.information_documents(spark, folder), lake.landing("gbfs_information"))
+    _landed(data.feature_documents(spark, folder), lake.landing("viz"))
+    mentions = data.mentions(spark, folder).select(*MENTIONS.fieldNames())
+    mentions.write.json(lake.landing("mentions"))
+    for name, df in (_timetable(spark, folder) | {"stops": data.stops(spark, folder)}).items():
+        df.write.option("header", True).csv(f"{files}/{name}.txt")
+    few = forecast.ForestSettings(trees=5, depth=4)
+    runs = jobs.run_all(lake, event, files, batches=0, settings=few)
+    failed = [t for stage in runs.values() for t, n in stage.items() if n == jobs.FAILED]
+    if failed:
+        raise RuntimeError(f"failed: {failed}")
+    jobs.inventory_job(lake)
+    found = lake.read("gold", "gold_pipeline_metrics").where("num_rows > 0")
+    return found.select("layer", "table_name", "num_rows")
+
+
 # -- profiling and serving -------------------------------------------------------------------------
 
 

@@ -362,6 +362,20 @@ def station_documents(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def information_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Station information in one document for each nation."""
+    key = F.col("s_suppkey")
+    station = F.struct(
+        _text(key).alias("station_id"),
+        _text(_lat(key)).alias("lat"),
+        _text(_lon(key)).alias("lon"),
+        (21 + F.col("s_nationkey")).alias("capacity"),
+    )
+    return _documents(
+        load(spark, folder, "supplier"), "s_nationkey", F.to_json(station), '{"last_updated":"0","data":{"stations":[', "]}}"
+    )
+
+
 def feature_documents(spark: SparkSession, folder: str) -> DataFrame:
     return _documents(
         load(spark, folder, "orders"),
@@ -394,6 +408,23 @@ def realtime_documents(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def update_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """The trip updates of `trip_updates`, in documents of one feed hour each."""
+    rows = trip_updates(spark, folder)
+    entity = F.concat(
+        F.lit('{"id":"'), "entity_id", F.lit('","trip_update":'), "payload_json", F.lit("}")
+    )
+    chunk = F.floor(F.substring("entity_id", 2, 20).cast("bigint") / (100 * PER_DOCUMENT))
+    grouped = rows.groupBy("feed_timestamp", chunk.alias("chunk")).agg(
+        F.array_join(F.collect_list(entity), ",").alias("elements")
+    )
+    head = F.concat(F.lit('{"header":{"timestamp":"'), "feed_timestamp", F.lit('"},"entity":['))
+    return grouped.select(
+        F.concat(head, "elements", F.lit("]}")).alias("document"),
+        F.concat_ws("-", "feed_timestamp", "chunk").alias("source_url"),
+    )
+
+
 def discovery_documents(spark: SparkSession, folder: str) -> DataFrame:
     """One discovery document per supplier; odd nation keys publish no English feeds."""
     key = _text("s_suppkey")
