@@ -89,22 +89,26 @@ def _word_scores(run: Run, model: Model) -> np.ndarray:
 
 
 def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
-    """All maximal scoring segments as (first, last, score), in order. Only places of positive
-    score are visited, each once, besides steps back that merge segments for good."""
+    """All maximal scoring segments as (first, last, score), in order, in linear time.
+
+    Only places of positive score are visited. Each candidate keeps a link to the nearest one before it
+    with a smaller sum before its start: the search for that of a new candidate follows links, and
+    those that it passes are never looked at again.
+    """
     before = np.concatenate(([0.0], np.cumsum(scores)))
-    found: list[list] = []  # first, last, sum before, sum after
+    found: list[tuple[int, int, float, float, int]] = []  # first, last, sum before, sum after, link
     for i in np.flatnonzero(scores > 0).tolist():
-        new = [i, i, before[i], before[i + 1]]
+        first, low, high = i, before[i], before[i + 1]
         while True:
             j = len(found) - 1
-            while j >= 0 and found[j][2] >= new[2]:
-                j -= 1
-            if j < 0 or found[j][3] >= new[3]:
+            while j >= 0 and found[j][2] >= low:
+                j = found[j][4]
+            if j < 0 or found[j][3] >= high:
                 break
-            new = [found[j][0], i, found[j][2], new[3]]
+            first, low = found[j][0], found[j][2]
             del found[j:]
-        found.append(new)
-    return [(a, b, float(after - left)) for a, b, left, after in found]
+        found.append((first, i, low, high, j))
+    return [(a, b, float(after - left)) for a, b, left, after, _ in found]
 
 
 def _per_text(texts: pa.Array, model: Model) -> Iterator[tuple[int, list[tuple[int, int, float]]]]:
@@ -128,13 +132,20 @@ def _statistic(words: int, found: list[tuple[int, int, float]], model: Model) ->
 
 
 def _sampled(labels: DataFrame, id_col: str, label_col: str, max_labelled: int) -> DataFrame:
-    return (
+    """The labels with the smallest hashes of their ids.
+
+    Where there are many more, those of hashes beyond the share wanted, and a margin, go first: then
+    a task has few left to hand on, however many tasks there are.
+    """
+    known = (
         labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
         .groupBy(F.col(id_col).alias("_id"))
         .agg(F.max(F.col(label_col)).cast("int").alias("_label"))
-        .orderBy(F.xxhash64("_id"), "_id")
-        .limit(max_labelled)
     )
+    share = (max_labelled + 8 * math.sqrt(max_labelled) + 8) / max(known.count(), 1)
+    if share < 1:
+        known = known.where(F.xxhash64("_id") < int(share * 2**64) - 2**63)
+    return known.orderBy(F.xxhash64("_id"), "_id").limit(max_labelled)
 
 
 def _counts(labelled: DataFrame) -> DataFrame:

@@ -2,11 +2,13 @@
 
 import math
 import random
+import time
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from plazaflow.llm import language, licenses, pseudo, toxicity
 from plazaflow.llm.queries import QUERIES
@@ -96,6 +98,25 @@ def brute_segments(scores):
     return brute_segments(scores[:a]) + [(a, b - 1, best)] + right
 
 
+def test_segments_of_long_texts_take_linear_time():
+    """Scattered words of positive score, no two of which belong together."""
+    scores = np.tile([1.0, -0.5, -0.5, -0.5], 100_000)
+    start = time.process_time()
+    found = toxicity.segments(scores)
+    assert time.process_time() - start < 4
+    assert found == [(4 * i, 4 * i, 1.0) for i in range(100_000)]
+    rising = toxicity.segments(np.tile([1.0, -0.5], 100_000))
+    assert rising == [(0, 199_998, 50_000.5)]
+
+
+def test_labels_are_cut_by_their_hashes(spark):
+    labels = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit(1).alias("toxic"))
+    few = [r[0] for r in toxicity._sampled(labels, "doc_id", "toxic", 50).collect()]
+    want = labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(50).collect()
+    assert sorted(few) == sorted(r.doc_id for r in want)
+    assert toxicity._sampled(labels, "doc_id", "toxic", 4000).count() == 3000
+
+
 def test_segments_are_the_maximal_ones():
     rnd = random.Random(2)
     for _ in range(300):
