@@ -12,6 +12,11 @@ from plazaflow.functions import icosahedron
 
 SQRT3 = math.sqrt(3.0)
 
+# How far each half of a number's bits moves so that a gap follows every bit, and the bits kept.
+SPREADS = tuple(
+    (width, sum(((1 << width) - 1) << k for k in range(0, 64, 2 * width))) for width in (16, 8, 4, 2, 1)
+)
+
 
 def hex_cell(lat: Column, lon: Column, event: EventConfig) -> Column:
     """Cell id of a point, null when a coordinate is missing or impossible.
@@ -82,6 +87,32 @@ def in_area(lat: Column, lon: Column, event: EventConfig) -> Column:
     return lat.between(south, north) & lon.between(west, east)
 
 
+def morton(lat: Column, lon: Column) -> Column:
+    """Place on a curve through the globe that keeps near points near: latitude and longitude in 31 bits
+    each, interleaved. Null for a missing or impossible coordinate."""
+
+    def spread(value: Column, low: float, size: float) -> Column:
+        bits = F.floor((value - low) / size * (2**31 - 1)).cast("bigint")
+        for shift, mask in SPREADS:
+            bits = bits.bitwiseOR(F.shiftleft(bits, shift)).bitwiseAND(F.lit(mask))
+        return bits
+
+    valid = lat.between(-90.0, 90.0) & lon.between(-180.0, 180.0)
+    code = F.shiftleft(spread(lat, -90.0, 180.0), 1).bitwiseOR(spread(lon, -180.0, 360.0))
+    return F.when(valid, code)
+
+
+def laid_out_by_place(df: DataFrame, lat: str, lon: str, parts: int) -> DataFrame:
+    """The rows in `parts` ranges of the curve, in its order.
+
+    Written to Parquet with numeric coordinates, each file and row group then covers a small area, and
+    a box on the coordinates is pushed to the scan and skips all others. Rows without a place come first.
+    """
+    at = morton(F.col(lat), F.col(lon))
+    laid = df.withColumn("_at", at).repartitionByRange(parts, F.col("_at").asc_nulls_first())
+    return laid.sortWithinPartitions(F.col("_at").asc_nulls_first()).drop("_at")
+
+
 def representative_point(geometry: Column) -> Column:
     """struct(lon, lat) of a geometry: a Point, or the first Point of a collection.
 

@@ -392,6 +392,11 @@ SELECTS = {
         FROM services""",
     "silver_kept_up": """SELECT unnest(['silver_bike_availability', 'silver_transit_delays',
         'silver_csd_mentions']) AS table_name, 'days' AS mode, 0 AS num_differences, TRUE AS read_less_than_all""",
+    "filtered_passes": "SELECT count(*) AS num_rows, TRUE AS few_too_many FROM near_times",
+    "placed_stops_scan": f"SELECT stop_id, {_r('lat', 'lon')} FROM near_stops",
+    "people_over_cells": """SELECT coalesce(hour_of_day, -1) AS hour_of_day, count(*) AS num_mentions,
+        count(DISTINCT user_hash) AS num_users, TRUE AS estimate_is_near
+        FROM mentions_s WHERE h3_index IS NOT NULL GROUP BY ROLLUP (hour_of_day)""",
     "bbox_stops": f"SELECT stop_id, {_r('lat', 'lon')} FROM near_stops",
     "timetable_semijoin_cascade": """
         SELECT 'stops' AS table_name, count(*) AS num_rows FROM near_stops

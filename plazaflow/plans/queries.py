@@ -334,6 +334,28 @@ def bbox_stops(spark, folder):
     )
 
 
+@query
+def filtered_passes(spark, folder):
+    """Passes at the stops in the area by way of a filter of the stops; rows that pass the filter alone."""
+    stops = timetable.stops_in_area(data.wide_stops(spark, folder), event_of(spark))
+    keys, passes = stops.count(), data.stop_times(spark, folder)
+    near = timetable.perhaps_in(passes, "stop_id", keys, stops)
+    known = stops.select("stop_id", F.lit(1).alias("known")).distinct()
+    counts = near.join(known, "stop_id", "left").agg(
+        F.count("known").alias("num_rows"), F.count("*").alias("through")
+    )
+    return counts.select("num_rows", (F.col("through") <= 1.1 * F.col("num_rows") + 5).alias("few_too_many"))
+
+
+@query
+def placed_stops_scan(spark, folder):
+    """Stops laid out by place, written, and read back by the box of the area."""
+    path = scratch_dir(spark, "placed")
+    timetable.placed_stops(data.wide_stops(spark, folder), 8).write.parquet(path)
+    found = timetable.placed_in_area(spark.read.parquet(path), event_of(spark))
+    return found.select("stop_id", "lat", "lon")
+
+
 @query
 def timetable_semijoin_cascade(spark, folder):
     """Rows each of the six tables keeps: written as timetable files and ingested step by step."""
@@ -515,6 +537,26 @@ def mentions_by_cell_hour(spark, folder):
     return gold.mentions_by_cell_hour(_mentions(spark, folder))
 
 
+@query
+def people_over_cells(spark, folder):
+    """People per hour and in all, from sketches per cell and hour, against exact counts."""
+    placed = _mentions(spark, folder)
+    lake = scratch_lake(spark, "sketches")
+    lake.replace(gold.people_sketches(placed), "gold", "people")
+    sketches = lake.read("gold", "people")
+    by_hour = gold.people_over(sketches, "hour_of_day")
+    whole = gold.people_over(sketches).withColumn("hour_of_day", F.lit(-1))
+    exact = placed.where("h3_index is not null").groupBy(F.col("hour_of_day").alias("h")).agg(
+        F.count_distinct("user_hash").alias("num_users")
+    )
+    all_users = placed.where("h3_index is not null").agg(F.count_distinct("user_hash").alias("num_users"))
+    exact = exact.unionByName(all_users.withColumn("h", F.lit(-1)))
+    found = by_hour.unionByName(whole).join(exact, F.col("hour_of_day") == F.col("h"))
+    off = F.abs(F.col("num_people") - F.col("num_users"))
+    near = off <= 4 * gold.SKETCH_ERROR * F.col("num_users") + 1
+    return found.select("hour_of_day", "num_mentions", "num_users", near.alias("estimate_is_near"))
+
+
 @query
 def csd_activity(spark, folder):
     return gold.event_activity(_mentions(spark, folder), event_of(spark))

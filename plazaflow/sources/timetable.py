@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plazaflow.config import EventConfig
-from plazaflow.functions.geo import in_area
+from plazaflow.functions.geo import in_area, laid_out_by_place
 from plazaflow.operators.dedup import distinct_join_keys
 from plazaflow.sources.contracts import OPTIONAL_TIMETABLE_FILES, TIMETABLE
 from plazaflow.sources.lake import Lake
@@ -54,13 +54,80 @@ def stops_in_area(stops: DataFrame, event: EventConfig) -> DataFrame:
     return stops.where(in_area(lat, lon, event))
 
 
-def referenced(df: DataFrame, by: DataFrame, key: str) -> DataFrame:
+def placed_stops(stops: DataFrame, parts: int) -> DataFrame:
+    """Stops with numeric coordinates (`lat`, `lon`), laid out for scans of an area."""
+    typed = stops.withColumns(
+        {"lat": F.col("stop_lat").try_cast("double"), "lon": F.col("stop_lon").try_cast("double")}
+    )
+    return laid_out_by_place(typed, "lat", "lon", parts)
+
+
+def placed_in_area(placed: DataFrame, event: EventConfig) -> DataFrame:
+    """Of a table of `placed_stops`, those in the area: only row groups that reach into it are read."""
+    return placed.where(in_area(F.col("lat"), F.col("lon"), event))
+
+
+# Keys from which on a filter is made of them (below, Spark broadcasts the keys themselves), and its
+# largest size: 32 MB. More keys than that fits are joined without it.
+FILTERED_FROM = 200_000
+MAX_FILTER_BITS = 1 << 28
+BITS_PER_KEY = 16
+
+
+def filter_bits(keys: int) -> int:
+    return 1 << max(15, (keys * BITS_PER_KEY - 1).bit_length())
+
+
+def key_bitmap(by: DataFrame, key: str, keys: int) -> DataFrame | None:
+    """A Bloom filter of the keys of `by`, in slices: one bit for each hash, `BITS_PER_KEY` for each key.
+
+    Tasks set bits of slices of 4 KB, which are merged. None if there are too many keys.
+    """
+    bits = filter_bits(keys)
+    if bits > MAX_FILTER_BITS:
+        return None
+    place = F.pmod(F.xxhash64(key), F.lit(bits))
+    hashed = by.where(F.col(key).isNotNull()).select(place.alias("place"))
+    return hashed.groupBy(F.bitmap_bucket_number("place").alias("slice")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bitmap")
+    )
+
+
+def unused(name: str, df: DataFrame) -> str:
+    """A name like the given one that no column has."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
+def perhaps_in(df: DataFrame, key: str, keys: int, by: DataFrame) -> DataFrame:
+    """`df` without most of the rows whose key is not in `by`; none whose key is there is left out.
+
+    The filter is broadcast, so rows are left out where they are scanned, before any shuffle.
+    """
+    slices = key_bitmap(by, key, keys)
+    if slices is None:
+        return df
+    number, bitmap = (unused(name, df) for name in ("slice", "bitmap"))
+    slices = slices.select(F.col("slice").alias(number), F.col("bitmap").alias(bitmap))
+    place = F.pmod(F.xxhash64(key), F.lit(filter_bits(keys)))
+    at = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring(bitmap, (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    is_set = F.call_function("getbit", byte, (at % 8).cast("int")) == 1
+    joined = df.join(F.broadcast(slices), F.bitmap_bucket_number(place) == F.col(number))
+    return joined.where(is_set).select(*df.columns)
+
+
+def referenced(df: DataFrame, by: DataFrame, key: str, keys: int = 0) -> DataFrame:
     """Rows of `df` whose key occurs in `by`.
 
     The keys are made distinct first, before the shuffle on every task, so a key holding a large
     share of `by` travels once per task; a key holding a large share of `df` is split by AQE.
+    Where `by` is known to have many `keys`, rows of `df` pass a filter of them before they are shuffled.
     """
-    return df.join(distinct_join_keys(by, key), key, "left_semi").select(*df.columns)
+    near = perhaps_in(df, key, keys, by) if keys >= FILTERED_FROM else df
+    return near.join(distinct_join_keys(by, key), key, "left_semi").select(*df.columns)
 
 
 def cut_to_area(tables: Mapping[str, DataFrame], event: EventConfig) -> dict[str, DataFrame]:
@@ -98,5 +165,5 @@ def ingest_timetable(lake: Lake, folder: str, event: EventConfig) -> dict[str, i
     rows = {"stops": save("stops", stops_in_area(tables["stops"], event))}
     for name, by, key in CASCADE:
         written = lake.read("bronze", f"bronze_gtfs_static_{by}")
-        rows[name] = save(name, referenced(tables[name], written, key))
+        rows[name] = save(name, referenced(tables[name], written, key, rows[by]))
     return rows
