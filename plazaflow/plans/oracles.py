@@ -530,6 +530,8 @@ SELECTS = {
     "hour_range": "SELECT * FROM capacity WHERE scheduled_hour BETWEEN 8 AND 17",
     "date_range": f"""SELECT {DELAYS} FROM delays_s WHERE h3_index IS NOT NULL
         AND CAST(feed_ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'""",
+    "inspected_table": f"""SELECT {DELAYS} FROM delays_s WHERE h3_index IS NOT NULL
+        AND CAST(feed_ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-12'""",
     "table_summary": """SELECT count(*) AS num_rows, count(DISTINCT h3_index) AS num_cells
         FROM mentions_s""",
     "top_delays": f"""SELECT {RELIABILITY} FROM (SELECT * FROM reliability

@@ -833,6 +833,17 @@ def date_range(spark, folder):
     return profile.date_range(_delays(spark, folder), "feed_ts", first, last)
 
 
+@query
+def inspected_table(spark, folder):
+    """A named table of the lake, kept up by day, inspected between two days."""
+    lake, event = scratch_lake(spark, "inspected"), event_of(spark)
+    lake.append_bronze(data.trip_updates(spark, folder), "bronze_gtfs_tripupdates", "real")
+    lake.replace_bronze(data.stops(spark, folder), "bronze_gtfs_static_stops", "real")
+    upkeep.keep_up(lake, "silver_transit_delays", event)
+    first, last = dt.date(2024, 1, 10), dt.date(2024, 1, 12)
+    return inventory.inspect(lake, "silver_transit_delays", first, last)
+
+
 @query
 def table_summary(spark, folder):
     return profile.table_summary(_mentions(spark, folder))
