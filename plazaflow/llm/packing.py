@@ -41,6 +41,7 @@ SIZE = 2048
 TIERS = (2048, 1024, 512, 256)
 POOL_TOKENS = 1 << 20
 STEP_TOKENS = 16 * SIZE
+MARKS = frozenset(".,;:!?")
 # Words whose ids a task keeps, and characters of texts encoded at once.
 MAX_WORDS = 800_000
 CHARS_AT_ONCE = 1 << 20
@@ -81,31 +82,41 @@ class WordEncoder:
         self.model = self.tokenizer.model
         self.known: dict[str, bytes] = {}
 
-    def _of(self, words: list[str]) -> list[bytes]:
+    def _add(self, words: list[str]) -> None:
         """Words of Latin small letters go to the merges at once: nothing is normalised or split in them."""
-        model, found, others = self.model, {}, []
+        tokenize, known, others = self.model.tokenize, self.known, []
         for word in words:
-            if word.isalpha() and word.islower() and max(word) < "\u0180":
-                plain = word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_LETTERS)
-                found[word] = array.array("I", [t.id for t in model.tokenize(plain)]).tobytes()
+            if word.isascii():
+                plain = word
+            elif max(word) < "\u0180":
+                plain = word.encode().decode("latin-1").translate(BYTE_LETTERS)
             else:
                 others.append(word)
-        encoded = self.tokenizer.encode_batch_fast(others, add_special_tokens=False)
-        found.update((w, array.array("I", e.ids).tobytes()) for w, e in zip(others, encoded))
-        return [found[w] for w in words]
+                continue
+            known[word] = array.array("I", [t.id for t in tokenize(plain)]).tobytes()
+        self._add_any(others)
+
+    def _add_any(self, words: list[str]) -> None:
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        self.known.update((w, array.array("I", e.ids).tobytes()) for w, e in zip(words, found))
 
     def _learn(self, words: set[str]) -> None:
         """Adds words; a single mark after a letter is a token of its own, ASCII capitals do not count."""
-        known, cut, stems = self.known, [], set()
-        for word in words:
-            end = word[-1:] if word[-1:] in ".,;:!?" and word[-2:-1].isalpha() else ""
-            stem = word[: len(word) - len(end)]
+        known = self.known
+        small = [w for w in words if w.isalpha() and w.islower()]
+        self._add(small)
+        cut, stems = [], set()
+        for word in words.difference(small):
+            end = word[-1:] if word[-1:] in MARKS and word[-2:-1].isalpha() else ""
+            stem = word[:-1] if end else word
             stem = stem.lower() if stem.isascii() else stem
             cut.append((word, stem, end))
             stems.add(stem)
             stems.add(end)
-        new = [s for s in stems if s not in known]
-        known.update(zip(new, self._of(new)))
+        stems = {s for s in stems if s not in known}
+        small = [w for w in stems if w.isalpha() and w.islower()]
+        self._add(small)
+        self._add_any(list(stems.difference(small)))
         for word, stem, end in cut:
             known[word] = known[stem] + known[end]
 
