@@ -26,7 +26,7 @@ PENTAGONS = (4, 14, 24, 38, 49, 58, 63, 72, 83, 97, 107, 117)
 @pytest.fixture(scope="module")
 def globe(spark, tmp_path_factory):
     """Points spread evenly over the sphere, by golden angles."""
-    n = 60_000
+    n = 24_000
     z = 1 - (2 * F.col("id") + 1) / F.lit(n)
     turn = F.col("id") * (180 * (3 - math.sqrt(5)))
     points = spark.range(n, numPartitions=8).select(
@@ -51,7 +51,7 @@ def test_pentagons_and_home_faces():
     assert sorted(set(tables["base"])) == list(range(-1, 122))
 
 
-@pytest.mark.parametrize("resolution", [0, 1, 2, 5, 9, 15])
+@pytest.mark.parametrize("resolution", [0, 1, 2, 9, 15])
 def test_cells_cover_the_globe_and_hold_their_centres(globe, resolution):
     cells = globe.select("lat", "lon", ico.cell_number(F.col("lat"), F.col("lon"), resolution).alias("c"))
     cells = cells.select("*", ico.center(F.col("c")).alias("m"))
@@ -74,7 +74,7 @@ def test_neighbouring_points_share_cells_across_faces(globe):
     apart = ids.where("lon <> lon2").select(ico.center(F.col("lon")).alias("a"), ico.center(F.col("lon2")).alias("b"))
     gap = F.abs(F.col("a.lat") - F.col("b.lat"))
     assert apart.agg(F.max(gap)).first()[0] < 1.0
-    assert ids.where("lon <> lon2").count() < 60
+    assert ids.where("lon <> lon2").count() < 30
 
 
 def test_missing_and_impossible_values(spark):
