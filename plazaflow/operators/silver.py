@@ -124,13 +124,11 @@ def placed_delays(delays: DataFrame, stops: DataFrame, event: EventConfig) -> Da
 def disruptions(features: DataFrame, event: EventConfig) -> DataFrame:
     """One row per disruption, its latest published version, with a representative point.
 
-    A feed hands most disruptions over again and again: versions are ranked by their publication
-    time and text, and only the one that is kept is parsed and placed.
+    A feed hands most disruptions over again and again. Of versions published at one time the typed
+    values decide, in the order of the columns: text would put 02.07. above 01.08., and a version
+    without a point above one that has it. Each payload is parsed once; only the row kept is placed.
     """
-    published = F.get_json_object("payload_json", "$.properties.tstore").try_cast("timestamp")
-    versions = features.select("disruption_id", "payload_json", published.alias("_published"))
-    latest = keep_first(versions, ["disruption_id"], largest=["_published"])
-    parsed = latest.select(
+    parsed = features.select(
         "disruption_id", F.from_json("payload_json", DISRUPTION_JSON).alias("f")
     ).select("disruption_id", "f.properties", representative_point(F.col("f.geometry")).alias("at"))
     typed = parsed.select(
@@ -151,7 +149,7 @@ def disruptions(features: DataFrame, event: EventConfig) -> DataFrame:
         "at.lon",
         "at.lat",
     )
-    return with_cell(typed, event)
+    return with_cell(keep_first(typed, ["disruption_id"], largest=["published_ts"]), event)
 
 
 def scheduled_passes(stop_times: DataFrame) -> DataFrame:

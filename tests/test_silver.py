@@ -124,6 +124,24 @@ def test_disruption_dates_and_latest_version(spark, event):
     assert out[0].h3_index is not None
 
 
+def test_of_disruptions_published_at_one_time_the_typed_values_decide(spark, event):
+    """A later day outranks an earlier one whose text is larger, and a point a line without one."""
+
+    def of(until, geometry):
+        return feature({"tstore": "2026-08-01T00:00:00Z", "validity": {"from": "", "to": until}}, geometry)
+
+    line = {"type": "LineString", "coordinates": [[13.4, 52.5], [13.5, 52.5]]}
+    point = {"type": "GeometryCollection", "geometries": [{"type": "Point", "coordinates": [13.4, 52.5]}]}
+    df = spark.createDataFrame(
+        [("day", of("30.07.2026 00:00", point)), ("day", of("01.08.2026 00:00", point)),
+         ("place", of("01.08.2026 00:00", line)), ("place", of("01.08.2026 00:00", point))],
+        "disruption_id string, payload_json string",
+    )
+    found = {r.disruption_id: r for r in silver.disruptions(df, event).collect()}
+    assert found["day"].valid_to == dt.datetime(2026, 8, 1)
+    assert found["place"].lat == 52.5 and found["place"].h3_index is not None
+
+
 def test_a_disruption_without_geometry_or_with_broken_json_has_no_cell(spark, event):
     df = spark.createDataFrame(
         [("a", feature({})), ("b", "{broken")], "disruption_id string, payload_json string"
