@@ -8,9 +8,11 @@ the chain stays short, and a lost executor recomputes one step only.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import and_
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plazaflow.config import EventConfig
@@ -72,25 +74,38 @@ def placed_in_area(placed: DataFrame, event: EventConfig) -> DataFrame:
 FILTERED_FROM = 200_000
 MAX_FILTER_BITS = 1 << 28
 BITS_PER_KEY = 16
+SLICE_BITS = 1 << 15
+HASHES = 6  # bits of a key, all in one slice
 
 
 def filter_bits(keys: int) -> int:
     return 1 << max(15, (keys * BITS_PER_KEY - 1).bit_length())
 
 
+def _slice_of(key: str, keys: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(filter_bits(keys) // SLICE_BITS))
+
+
+def _bit_of(key: str, which: Column) -> Column:
+    """A key's bit of number `which` in its slice: steps by one odd hash from another."""
+    hashed = F.xxhash64(key, F.lit(1))
+    first, step = F.pmod(hashed, F.lit(SLICE_BITS)), F.shiftright(hashed, 32).bitwiseOR(F.lit(1))
+    return F.pmod(first + which * F.pmod(step, F.lit(SLICE_BITS)), F.lit(SLICE_BITS)).cast("bigint")
+
+
 def key_bitmap(by: DataFrame, key: str, keys: int) -> DataFrame | None:
-    """A Bloom filter of the keys of `by`, in slices: one bit for each hash, `BITS_PER_KEY` for each key.
+    """A Bloom filter of the keys of `by`, in slices: `HASHES` bits for each key, of `BITS_PER_KEY` or more.
 
-    Tasks set bits of slices of 4 KB, which are merged. None if there are too many keys.
+    Tasks set bits of slices of 4 KB, which are merged; a key's bits lie in one slice, so that one look-up
+    finds them. Of keys that are not there fewer than one in a hundred pass. None if there are too many keys.
     """
-    bits = filter_bits(keys)
-    if bits > MAX_FILTER_BITS:
+    if filter_bits(keys) > MAX_FILTER_BITS:
         return None
-    place = F.pmod(F.xxhash64(key), F.lit(bits))
-    hashed = by.where(F.col(key).isNotNull()).select(place.alias("place"))
-    return hashed.groupBy(F.bitmap_bucket_number("place").alias("slice")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bitmap")
+    hashed = by.where(F.col(key).isNotNull()).select(
+        _slice_of(key, keys).alias("slice"),
+        F.explode(F.array(*[_bit_of(key, F.lit(i)) for i in range(HASHES)])).alias("bit"),
     )
+    return hashed.groupBy("slice").agg(F.bitmap_construct_agg("bit").alias("bitmap"))
 
 
 def unused(name: str, df: DataFrame) -> str:
@@ -111,12 +126,14 @@ def perhaps_in(df: DataFrame, key: str, keys: int, by: DataFrame) -> DataFrame:
         return df
     number, bitmap = (unused(name, df) for name in ("slice", "bitmap"))
     slices = slices.select(F.col("slice").alias(number), F.col("bitmap").alias(bitmap))
-    place = F.pmod(F.xxhash64(key), F.lit(filter_bits(keys)))
-    at = F.bitmap_bit_position(place)
-    byte = F.conv(F.hex(F.substring(bitmap, (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    is_set = F.call_function("getbit", byte, (at % 8).cast("int")) == 1
-    joined = df.join(F.broadcast(slices), F.bitmap_bucket_number(place) == F.col(number))
-    return joined.where(is_set).select(*df.columns)
+    def is_set(i: int) -> Column:
+        at = _bit_of(key, F.lit(i))
+        byte = F.conv(F.hex(F.substring(bitmap, (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        return F.call_function("getbit", byte, (at % 8).cast("int")) == 1
+
+    joined = df.join(F.broadcast(slices), _slice_of(key, keys) == F.col(number))
+    # One after the other: most rows of others end at the first bit.
+    return joined.where(reduce(and_, [is_set(i) for i in range(HASHES)])).select(*df.columns)
 
 
 def referenced(df: DataFrame, by: DataFrame, key: str, keys: int = 0) -> DataFrame:

@@ -67,6 +67,14 @@ def test_a_filter_lets_few_others_through(spark):
     assert timetable.key_bitmap(stops, "k", 1 << 40) is None
 
 
+@pytest.mark.parametrize("keys", [1140, 4000, 300_000])
+def test_a_filter_of_any_load_lets_one_in_a_hundred_through(spark, keys):
+    stops = spark.range(keys).select(F.col("id").cast("string").alias("k"))
+    others = spark.range(10**6, 10**6 + 50_000).select(F.col("id").cast("string").alias("k"))
+    assert timetable.perhaps_in(others, "k", keys, stops).count() < 500
+    assert timetable.perhaps_in(stops, "k", keys, stops).count() == keys
+
+
 def test_sketches_add_up(spark):
     n = 20_000
     mentions = spark.range(n).select(
