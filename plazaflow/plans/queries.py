@@ -752,9 +752,10 @@ def lake_jobs(spark, folder):
 
 
 def _landed(documents: DataFrame, path: str) -> None:
-    """One file for each document."""
-    named = documents.select(F.col("document").alias("value"), F.md5("source_url").alias("doc"))
-    named.repartition("doc").write.mode("append").partitionBy("doc").text(path)
+    """One file for each document, all in one folder, each put in place by the task that wrote it."""
+    writer = documents.select(F.col("document").alias("value")).write.mode("append")
+    writer = writer.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+    writer.option("maxRecordsPerFile", 1).text(path)
 
 
 @query

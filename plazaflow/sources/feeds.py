@@ -26,10 +26,13 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return _named(spark.read.text(path, wholetext=True))
 
 
-def stream_documents(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
-    """The same as a stream, so that each run parses only files that arrived since the last."""
+def stream_documents(spark: SparkSession, path: str, bytes_per_batch: int = 8 << 30) -> DataFrame:
+    """The same as a stream, so that each run parses only files that arrived since the last.
+
+    Batches are bounded by their bytes: documents are small and many, and each batch is a commit.
+    """
     reader = spark.readStream.format("text").schema("value string").option("wholetext", "true")
-    return _named(reader.option("maxFilesPerTrigger", str(files_per_batch)).load(path))
+    return _named(reader.option("maxBytesPerTrigger", str(bytes_per_batch)).load(path))
 
 
 def _named(files: DataFrame) -> DataFrame:

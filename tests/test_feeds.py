@@ -4,6 +4,9 @@ import pathlib
 import pytest
 
 from frames import rows
+from pyspark.sql import functions as F
+
+from plazaflow.plans.queries import _landed
 from plazaflow.sources import feeds
 
 
@@ -73,6 +76,17 @@ def test_feed_url_in_the_wanted_or_first_language(spark):
         feeds.find_feed_url(documents(spark, discovery("de")), "free_bike_status")
 
 
+def test_many_small_documents_are_one_commit(spark, lake):
+    """Batches are bounded by bytes; each document is a file, and all lie in one folder."""
+    n = 1100
+    text = F.concat(F.lit('{"data":{"stations":[{"station_id":"'), "id", F.lit('"}]}}'))
+    documents = spark.range(n, numPartitions=4).select(text.alias("document"), F.col("id").cast("string").alias("source_url"))
+    _landed(documents, lake.landing("gbfs_status"))
+    assert len(list(pathlib.Path(lake.landing("gbfs_status")).glob("*.txt"))) == n
+    assert feeds.ingest_feed(lake, "gbfs_status") == n
+    assert len(lake.parts("bronze", "bronze_nextbike_status")) == 1
+
+
 def test_a_run_ingests_only_documents_landed_since_the_last(spark, lake):
     one = {"last_updated": 1, "data": {"stations": [{"station_id": "1"}, {"station_id": "2"}]}}
     land(lake, "gbfs_status", "a.json", one)
