@@ -752,10 +752,8 @@ def lake_jobs(spark, folder):
 
 
 def _landed(documents: DataFrame, path: str) -> None:
-    """One file for each document, all in one folder, each put in place by the task that wrote it."""
-    writer = documents.select(F.col("document").alias("value")).write.mode("append")
-    writer = writer.option("mapreduce.fileoutputcommitter.algorithm.version", "2")
-    writer.option("maxRecordsPerFile", 1).text(path)
+    """Every document, in files that are sequences of them."""
+    documents.select(F.col("document").alias("value")).write.mode("append").text(path, lineSep=feeds.BETWEEN)
 
 
 @query

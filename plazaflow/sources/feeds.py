@@ -1,6 +1,6 @@
 """Landed feed documents to bronze rows.
 
-A document is one JSON file as the publisher served it. Documents are parsed by Spark: the
+A document is one JSON text as the publisher served it, in a file of its own or in a sequence. Documents are parsed by Spark: the
 envelope with an explicit schema, each element kept as JSON text. A document that is not JSON, or
 lacks the list its feed is about, gives no rows.
 """
@@ -18,12 +18,18 @@ FEATURE_ENVELOPE = "features array<string>"
 REALTIME_ENVELOPE = (
     "header struct<timestamp: string>, entity array<struct<id: string, trip_update: string>>"
 )
+# The record separator of JSON text sequences (RFC 7464).
+BETWEEN = "\x1e"
 DISCOVERY_ENVELOPE = "data map<string, struct<feeds: array<struct<name: string, url: string>>>>"
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """document, source_url: one row per landed file."""
-    return _named(spark.read.text(path, wholetext=True))
+    """document, source_url: one row per landed document.
+
+    A file is one document over any number of lines, or a sequence of them set apart by `BETWEEN`, which no
+    JSON text holds unescaped.
+    """
+    return _named(spark.read.text(path, lineSep=BETWEEN))
 
 
 def stream_documents(spark: SparkSession, path: str, bytes_per_batch: int = 8 << 30) -> DataFrame:
@@ -31,7 +37,7 @@ def stream_documents(spark: SparkSession, path: str, bytes_per_batch: int = 8 <<
 
     Batches are bounded by their bytes: documents are small and many, and each batch is a commit.
     """
-    reader = spark.readStream.format("text").schema("value string").option("wholetext", "true")
+    reader = spark.readStream.format("text").schema("value string").option("lineSep", BETWEEN)
     return _named(reader.option("maxBytesPerTrigger", str(bytes_per_batch)).load(path))
 
 

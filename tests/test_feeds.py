@@ -77,13 +77,16 @@ def test_feed_url_in_the_wanted_or_first_language(spark):
 
 
 def test_many_small_documents_are_one_commit(spark, lake):
-    """Batches are bounded by bytes; each document is a file, and all lie in one folder."""
+    """Batches are bounded by bytes, and files hold sequences of documents, or one over many lines."""
     n = 1100
     text = F.concat(F.lit('{"data":{"stations":[{"station_id":"'), "id", F.lit('"}]}}'))
     documents = spark.range(n, numPartitions=4).select(text.alias("document"), F.col("id").cast("string").alias("source_url"))
     _landed(documents, lake.landing("gbfs_status"))
-    assert len(list(pathlib.Path(lake.landing("gbfs_status")).glob("*.txt"))) == n
-    assert feeds.ingest_feed(lake, "gbfs_status") == n
+    assert len(list(pathlib.Path(lake.landing("gbfs_status")).glob("*.txt"))) == 4
+    land(lake, "gbfs_status", "alone.json", {"data": {"stations": [{"station_id": "alone"}]}})
+    for i in range(1100):
+        land(lake, "gbfs_status", f"{i}.json", {"data": {"stations": []}})
+    assert feeds.ingest_feed(lake, "gbfs_status") == n + 1
     assert len(lake.parts("bronze", "bronze_nextbike_status")) == 1
 
 
