@@ -62,11 +62,23 @@ def cell_center(cell: Column, event: EventConfig) -> Column:
 
 def with_cell(df: DataFrame, event: EventConfig, lat: str = "lat", lon: str = "lon") -> DataFrame:
     """Adds `h3_index`, the cell of the two coordinate columns."""
+    if event.cell_backend == "h3":
+        la, lo = F.col(lat), F.col(lon)
+        valid = la.between(-90.0, 90.0) & lo.between(-180.0, 180.0)
+        places = (F.when(valid, c) for c in (la, lo))
+        numbered = icosahedron.with_cell_number(df, "h3_index", *places, event.h3_resolution)
+        return numbered.withColumn("h3_index", F.lower(F.hex("h3_index")))
     return df.withColumn("h3_index", hex_cell(F.col(lat), F.col(lon), event))
 
 
 def with_cell_center(df: DataFrame, event: EventConfig, cell: str = "h3_index") -> DataFrame:
     """Adds `lat` and `lon` of the cell's centre, for maps."""
+    if event.cell_backend == "h3":
+        name = "center"
+        while name in df.columns:
+            name = f"_{name}"
+        found = icosahedron.with_center(df, name, icosahedron.number_of(F.col(cell)))
+        return found.withColumns({c: F.col(name)[c] for c in ("lat", "lon")}).drop(name)
     center = cell_center(F.col(cell), event)
     return df.withColumns({"lat": center["lat"], "lon": center["lon"]})
 

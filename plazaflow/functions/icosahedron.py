@@ -14,6 +14,10 @@ follow from geometry, once per Python process:
   digits count from the axes of its home face; other faces are turned by multiples of 60 degrees.
 - Twelve base cells are pentagons around a corner of the icosahedron: five faces meet where a plane has
   room for six, and the direction `GAP` of the home face is left out.
+
+`with_cell_number` and `with_center` compute the same for whole tables in named steps, each a projection of the one
+before, so that Spark compiles them. `cell_number` and `center` are one column each; to use a value more than once
+they need lambdas, which Spark interprets at many times the cost: they are for tables of few rows.
 """
 
 from __future__ import annotations
@@ -21,8 +25,9 @@ from __future__ import annotations
 import cmath
 import functools
 import math
+from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Latitude and longitude of each face's centre and the azimuth of its first axis, in radians.
@@ -353,20 +358,22 @@ def _turned(bits: Column, turns: Column) -> Column:
     A digit's bits are steps along three axes: a third of a turn moves each bit to the next axis, and
     half a turn puts the other two in place of each (0 stays). A sixth is a half less a third.
     """
-    low = sum(1 << 3 * k for k in range(FINEST))
+    thirds = F.when(turns % 3 == 1, _third(_third(bits))).when(turns % 3 == 2, _third(bits)).otherwise(bits)
+    return F.when(turns % 2 == 0, thirds).otherwise(_with(thirds, _half))
 
-    def third(x: Column) -> Column:
-        rest = F.shiftright(x.bitwiseAND(F.lit(6 * low)), 1)
-        return rest.bitwiseOR(F.shiftleft(x.bitwiseAND(F.lit(low)), 2))
 
-    def half(x: Column) -> Column:
-        some = x.bitwiseOR(F.shiftright(x, 1)).bitwiseOR(F.shiftright(x, 2)).bitwiseAND(F.lit(low))
-        return x.bitwiseXOR(some * 7)
+# The lowest bit of each digit.
+LOW = sum(1 << 3 * k for k in range(FINEST))
+
+
+def _third(x: Column) -> Column:
+    rest = F.shiftright(x.bitwiseAND(F.lit(6 * LOW)), 1)
+    return rest.bitwiseOR(F.shiftleft(x.bitwiseAND(F.lit(LOW)), 2))
 
-    thirds = F.when(turns % 3 == 1, third(third(bits))).when(turns % 3 == 2, third(bits)).otherwise(bits)
-    return F.when(turns % 2 == 0, F.when(turns == 0, bits).when(turns == 2, third(bits)).otherwise(third(third(bits)))).otherwise(
-        _with(thirds, half)
-    )
+
+def _half(x: Column) -> Column:
+    some = x.bitwiseOR(F.shiftright(x, 1)).bitwiseOR(F.shiftright(x, 2)).bitwiseAND(F.lit(LOW))
+    return x.bitwiseXOR(some * 7)
 
 
 @functools.cache
@@ -501,6 +508,256 @@ def center(number: Column) -> Column:
     return F.when(number.isNotNull(), _with(number, of_number))
 
 
+# -- the same in steps over a table ----------------------------------------------------------------
+
+# Values by name, and what the next values are in terms of those before.
+Scope = dict[str, Column]
+Step = Callable[[Scope], Scope]
+
+# Steps compiled into one method, and more partitions than any table has.
+FUSED = 2
+MANY_PARTITIONS = 1 << 24
+
+
+def _in_steps(df: DataFrame, steps: list[Step], column: str) -> DataFrame:
+    """`df` with the last step's only value as a column. A step's values are columns of a projection of their
+    own, as Spark computes once what a later projection uses more than once.
+
+    Spark compiles neighbouring projections into one method, and Java runs large methods uncompiled. A coalescing to
+    more partitions than there are leaves all rows where they are, but ends the method."""
+    prefix = "_"
+    while any(c.startswith(prefix) for c in df.columns):
+        prefix += "_"
+    scope: Scope = {}
+    for i, step in enumerate(steps[:-1]):
+        new = step(scope)
+        df = df.select("*", *(value.alias(prefix + name) for name, value in new.items()))
+        if i % FUSED == FUSED - 1:
+            df = df.coalesce(MANY_PARTITIONS)
+        scope |= {name: F.col(prefix + name) for name in new}
+    (value,) = steps[-1](scope).values()
+    return df.withColumn(column, value).drop(*(prefix + name for name in scope))
+
+
+def _cell_steps(lat: Column, lon: Column, resolution: int) -> list[Step]:
+    la, lo = lat.cast("double"), lon.cast("double")
+    pairs = _opposites()
+
+    def angles(s: Scope) -> Scope:
+        finite = (F.abs(la) < math.inf) & (F.abs(lo) < math.inf)
+        return {"la": F.when(finite, F.radians(la)), "lo": F.when(finite, F.radians(lo))}
+
+    def point(s: Scope) -> Scope:
+        flat = F.cos(s["la"])
+        return {"x": flat * F.cos(s["lo"]), "y": flat * F.sin(s["lo"]), "z": F.sin(s["la"])}
+
+    def dots(s: Scope) -> Scope:
+        return {f"d{i}": sum(s[c] * v for c, v in zip("xyz", _frame(f)[0])) for i, (f, _) in enumerate(pairs)}
+
+    def largest(s: Scope) -> Scope:
+        return {"best": F.greatest(*(F.abs(s[f"d{i}"]) for i in range(len(pairs))))}
+
+    def face(s: Scope) -> Scope:
+        found = (F.when(s[f"d{i}"] == s["best"], f).when(s[f"d{i}"] == -s["best"], g) for i, (f, g) in enumerate(pairs))
+        return {"f": F.greatest(*found)}
+
+    def frame(s: Scope) -> Scope:
+        return {"frame": F.element_at(F.expr(_faces_sql()), s["f"] + 1)}
+
+    def away(s: Scope) -> Scope:
+        return {"away": _dot(s, s["frame"], "c") * UNIT / SCALE**resolution}
+
+    def plane(s: Scope) -> Scope:
+        return {"u": _dot(s, s["frame"], "u") / s["away"], "v": _dot(s, s["frame"], "v") / s["away"]}
+
+    def cube(s: Scope) -> Scope:
+        x, y = s["u"], s["v"]
+        if resolution % 2:
+            c, t = math.cos(TURN), math.sin(TURN)
+            x, y = x * c + y * t, y * c - x * t
+        b = y / SIN60
+        return {"qa": x + b / 2, "qb": -b, "qc": b / 2 - x}
+
+    def rounded(s: Scope) -> Scope:
+        return {f"r{n}": F.rint(s[f"q{n}"]) for n in "abc"}
+
+    def errors(s: Scope) -> Scope:
+        return {f"e{n}": F.abs(s[f"r{n}"] - s[f"q{n}"]) for n in "abc"}
+
+    def start(s: Scope) -> Scope:
+        off = (s["ea"] > s["eb"]) & (s["ea"] > s["ec"])
+        a = F.when(off, -s["rb"] - s["rc"]).otherwise(s["ra"])
+        b = F.when(off | (s["eb"] <= s["ec"]), s["rb"]).otherwise(-s["ra"] - s["rc"])
+        return {f"a{resolution}": a.cast("bigint"), f"b{resolution}": (-b).cast("bigint")} | {
+            f"{n}{resolution}": F.lit(0).cast("bigint") for n in ("bits", "lead")
+        }
+
+    def climb(level: int) -> list[Step]:
+        """From a level's place to that of the coarser cell, and the digit between them."""
+
+        def up(s: Scope) -> Scope:
+            a, b = s[f"a{level}"], s[f"b{level}"]
+            x, y = (3 * a - b, a + 2 * b) if level % 2 else (2 * a + b, 3 * b - a)
+            return {f"a{level - 1}": F.floor((2 * x + 7) / 14), f"b{level - 1}": F.floor((2 * y + 7) / 14)}
+
+        def digit(s: Scope) -> Scope:
+            p, q = s[f"a{level - 1}"], s[f"b{level - 1}"]
+            i = s[f"a{level}"] - (2 * p + q if level % 2 else 3 * p - q)
+            j = s[f"b{level}"] - (3 * q - p if level % 2 else p + 2 * q)
+            return {f"g{level}": 4 * i + 2 * j - 7 * F.least(i, j, F.lit(0).cast("bigint"))}
+
+        def joined(s: Scope) -> Scope:
+            g = s[f"g{level}"]
+            return {
+                f"bits{level - 1}": s[f"bits{level}"] + g * (1 << 3 * (resolution - level)),
+                f"lead{level - 1}": F.when(g == 0, s[f"lead{level}"]).otherwise(g),
+            }
+
+        return [up, digit, joined]
+
+    def base(s: Scope) -> Scope:
+        index = place_of(s["f"], s["a0"], s["b0"])
+        lead = F.element_at(_list(DIGIT_DIRECTIONS), (s["lead0"] + 1).cast("int"))
+        return {"base": _at("base", index), "turns": _at("turns", index), "lead": lead}
+
+    def turns(s: Scope) -> Scope:
+        gap = (s["lead"] >= 0) & (_at("pentagon", s["base"]) == 1) & ((s["lead"] + s["turns"]) % 6 == GAP)
+        home = _at("home_face", s["base"]) == s["f"]
+        return {"t": (s["turns"] + F.when(gap & home, 1).when(gap, 5).otherwise(0)) % 6, "once": _third(s["bits0"])}
+
+    def thirds(s: Scope) -> Scope:
+        twice = _third(s["once"])
+        return {"thirds": F.when(s["t"] % 3 == 1, twice).when(s["t"] % 3 == 2, s["once"]).otherwise(s["bits0"])}
+
+    def number(s: Scope) -> Scope:
+        unused = 3 * (FINEST - resolution)
+        head = (1 << 59) + (resolution << 52) + (1 << unused) - 1
+        bits = F.when(s["t"] % 2 == 0, s["thirds"]).otherwise(_half(s["thirds"]))
+        return {"number": F.lit(head).cast("bigint") + s["base"].cast("bigint") * (1 << 45) + bits * (1 << unused)}
+
+    place = [angles, point, dots, largest, face, frame, away, plane, cube, rounded, errors, start]
+    levels = [step for level in range(resolution, 0, -1) for step in climb(level)]
+    return [*place, *levels, base, turns, thirds, number]
+
+
+def with_cell_number(df: DataFrame, column: str, lat: Column, lon: Column, resolution: int) -> DataFrame:
+    """`df` with `cell_number` of each row's point as `column`."""
+    if not 0 <= resolution <= FINEST:
+        raise ValueError(f"resolutions go from 0 to {FINEST}, not {resolution}")
+    return _in_steps(df, _cell_steps(lat, lon, resolution), column)
+
+
+def _center_steps(number: Column) -> list[Step]:
+    def field(low: int, mask: int) -> Column:
+        return F.shiftright(number, low).bitwiseAND(F.lit(mask)).cast("int")
+
+    levels = range(1, FINEST + 1)
+
+    def fields(s: Scope) -> Scope:
+        digits = {f"g{r}": field(3 * (FINEST - r), 7) for r in levels}
+        return {"mode": field(59, 31), "known": field(45, 127), "finest": field(52, 15), **digits}
+
+    def directions(s: Scope) -> Scope:
+        return {
+            f"t{r}": F.when(s["finest"] >= r, F.element_at(_list(DIGIT_DIRECTIONS), s[f"g{r}"] + 1)).otherwise(-1)
+            for r in levels
+        }
+
+    def kind(s: Scope) -> Scope:
+        spoilt = functools.reduce(Column.__or__, ((s["finest"] >= r) & (s[f"g{r}"] == 7) for r in levels))
+        return {
+            "possible": (s["mode"] == 1) & (s["known"] < 122) & ~spoilt,
+            "pentagon": _at("pentagon", F.least(s["known"], F.lit(121))) == 1,
+            "lead": F.coalesce(*(F.when(s[f"t{r}"] >= 0, s[f"t{r}"]) for r in levels), F.lit(-1)),
+        }
+
+    def base(s: Scope) -> Scope:
+        lacking = s["pentagon"] & (s["lead"] == GAP)
+        # The last wedge of a pentagon lies where the missing direction would be.
+        turned = s["pentagon"] & (s["lead"] == GAP + 1)
+        return {"base": F.when(s["possible"] & ~lacking, s["known"]), "turned": turned, "turn": F.when(turned, 5).otherwise(0)}
+
+    def moved(s: Scope) -> Scope:
+        out = {}
+        for part in "xy":
+            total = F.lit(0.0)
+            for r in levels:
+                steps = _list(STEP_VECTORS[part][6 * r - 6 : 6 * r])
+                total = total + F.when(s[f"t{r}"] >= 0, F.element_at(steps, (s[f"t{r}"] + s["turn"]) % 6 + 1)).otherwise(0.0)
+            out[f"d{part}"] = total
+        return out
+
+    def home(s: Scope) -> Scope:
+        angle = F.degrees(F.atan2(s["dy"], s["dx"]))
+        return {
+            "home": _at("home_face", s["base"]),
+            "hx": _at("home_x", s["base"]) + s["dx"],
+            "hy": _at("home_y", s["base"]) + s["dy"],
+            "raw": angle,
+        }
+
+    def heights(s: Scope) -> Scope:
+        low = F.when(s["turned"], 0).otherwise(-120)
+        return {f"h{e}": s["hx"] * n.real + s["hy"] * n.imag for e, n in enumerate(DIRECTIONS[1::2])} | {
+            "angle": F.when(s["raw"] < low, s["raw"] + 360).otherwise(s["raw"])
+        }
+
+    def edge(s: Scope) -> Scope:
+        top = F.greatest(*(s[f"h{e}"] for e in range(3)))
+        highest = F.greatest(*(F.when(s[f"h{e}"] == top, e) for e in range(3)))
+        return {"top": top, "edge": s["home"] * 3 + highest, "wedge": F.rint((180 - s["angle"]) / 60).cast("int")}
+
+    def beyond(s: Scope) -> Scope:
+        index = s["base"] * 5 + F.pmod(s["wedge"], F.lit(5))
+        return {"turn_at": _at("edge_turn", s["edge"]) + 1, "around": index, "corner": _at("wedge_corner", index)}
+
+    def vectors(s: Scope) -> Scope:
+        return {
+            "c": F.element_at(_list([d.real for d in DIRECTIONS]), s["turn_at"]),
+            "s": F.element_at(_list([d.imag for d in DIRECTIONS]), s["turn_at"]),
+            # From the wedge's middle in the home face's axes to the middle at this face's corner.
+            "shown": F.radians(s["angle"] - (180 - 60 * s["wedge"]) + 120 * s["corner"] + 180),
+            "at": F.radians(120.0 * s["corner"]),
+            "size": F.hypot(s["dx"], s["dy"]),
+        }
+
+    def plane(s: Scope) -> Scope:
+        over, x, y = s["top"] > 1 + 1e-9, s["hx"], s["hy"]
+
+        def chosen(corner: Column, there: Column, here: Column) -> Column:
+            return F.when(s["pentagon"], corner).when(over, there).otherwise(here)
+
+        return {
+            "f": chosen(_at("wedge_face", s["around"]), _at("edge_face", s["edge"]), s["home"]),
+            "px": chosen(
+                2 * F.cos(s["at"]) + s["size"] * F.cos(s["shown"]), s["c"] * x - s["s"] * y + _at("edge_x", s["edge"]), x
+            ),
+            "py": chosen(
+                2 * F.sin(s["at"]) + s["size"] * F.sin(s["shown"]), s["s"] * x + s["c"] * y + _at("edge_y", s["edge"]), y
+            ),
+        }
+
+    def frame(s: Scope) -> Scope:
+        return {"frame": F.element_at(F.expr(_faces_sql()), s["f"] + 1)}
+
+    def sphere(s: Scope) -> Scope:
+        f = s["frame"]
+        return {c: f[f"c{c}"] + UNIT * (s["px"] * f[f"u{c}"] + s["py"] * f[f"v{c}"]) for c in "xyz"}
+
+    def degrees(s: Scope) -> Scope:
+        at = F.struct(
+            F.degrees(F.atan2(s["z"], F.hypot(s["x"], s["y"]))).alias("lat"), F.degrees(F.atan2(s["y"], s["x"])).alias("lon")
+        )
+        return {"center": F.when(s["base"].isNotNull(), at)}
+
+    return [fields, directions, kind, base, moved, home, heights, edge, beyond, vectors, plane, frame, sphere, degrees]
+
+
+def with_center(df: DataFrame, column: str, number: Column) -> DataFrame:
+    """`df` with `center` of each row's cell as `column`."""
+    return _in_steps(df, _center_steps(number), column)
+
+
 def _step_vectors() -> dict[str, list[float]]:
     """By level from 1 and direction, the step of a digit in the plane at resolution 0."""
     steps = [

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from plazaflow.config import EventConfig, scratch_dir
 from plazaflow.functions import icosahedron
 from plazaflow.functions.draws import pseudonym
-from plazaflow.functions.geo import hex_cell, representative_point, with_cell_center
+from plazaflow.functions.geo import hex_cell, representative_point, with_cell, with_cell_center
 from plazaflow.operators import features as feat
 from plazaflow.operators import forecast, gold, inventory, profile, silver
 from plazaflow.operators.calendar import active_services
@@ -437,20 +437,20 @@ def h3_cells(spark, folder):
         (number * 7919 % 179_999 / 1000 - 90).alias("far_lat"),
         (number * 104_729 % 359_999 / 1000 - 180).alias("far_lon"),
     )
-    far = icosahedron.cell_number(F.col("far_lat"), F.col("far_lon"), 6)
-    rows = rows.select(
-        "mention_id",
-        hex_cell(F.col("lat"), F.col("lon"), event_of(spark, cell_backend="h3")).alias("h3_index"),
-        icosahedron.cell(F.col("far_lat"), F.col("far_lon"), 3).alias("far_wide"),
-        far.alias("far"),
-    )
-    at = icosahedron.center(F.col("far"))
+    # A file may be one split only, and cells cost more than reading does.
+    rows = rows.repartition(4 * spark.sparkContext.defaultParallelism)
+    rows = with_cell(rows, event_of(spark, cell_backend="h3"))
+    far_lat, far_lon = F.col("far_lat"), F.col("far_lon")
+    rows = icosahedron.with_cell_number(rows, "far_wide", far_lat, far_lon, 3)
+    rows = icosahedron.with_cell_number(rows, "far", far_lat, far_lon, 6)
+    rows = icosahedron.with_center(rows, "at", F.col("far"))
+    rows = icosahedron.with_cell_number(rows, "again", F.col("at.lat"), F.col("at.lon"), 6)
     return rows.select(
         "mention_id",
         "h3_index",
-        "far_wide",
+        F.lower(F.hex("far_wide")).alias("far_wide"),
         F.lower(F.hex("far")).alias("far"),
-        (icosahedron.cell_number(at["lat"], at["lon"], 6) == F.col("far")).alias("center_is_inside"),
+        (F.col("again") == F.col("far")).alias("center_is_inside"),
     )
 
 

@@ -77,6 +77,36 @@ def test_neighbouring_points_share_cells_across_faces(globe):
     assert ids.where("lon <> lon2").count() < 30
 
 
+@pytest.mark.parametrize("resolution", [0, 6, 9])
+def test_steps_over_a_table_give_the_same(globe, resolution):
+    """Cells and centres in named steps, which are compiled, without a lambda that Spark interprets."""
+    known = globe.select("lat", "lon", ico.cell_number(F.col("lat"), F.col("lon"), resolution).alias("known"))
+    found = ico.with_cell_number(known, "found", F.col("lat"), F.col("lon"), resolution)
+    found = ico.with_center(found, "at", F.col("known"))
+    far = F.abs(F.col("at.lat") - F.col("own.lat")) + F.abs(F.col("at.lon") - F.col("own.lon"))
+    counts = found.withColumn("own", ico.center(F.col("known"))).agg(
+        F.count_if(F.col("known") == F.col("found")).alias("same"), F.max(far).alias("far")
+    )
+    row = counts.first()
+    assert row.same == globe.count() and row.far == 0
+    plain = ico.with_center(ico.with_cell_number(globe, "n", F.col("lat"), F.col("lon"), resolution), "at", F.col("n"))
+    plan = plain._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan and "Python" not in plan
+
+
+def test_steps_over_missing_and_impossible_values(spark):
+    inf, nan = float("inf"), float("nan")
+    points = [(None, 1.0, 0), (1.0, None, 0), (nan, 1.0, 0), (1.0, inf, 0), (-inf, 1.0, 0), (1.0, 1.0, 1)]
+    df = spark.createDataFrame(points, "lat double, lon double, _lat int")
+    found = ico.with_cell_number(df, "n", F.col("lat"), F.col("lon"), 5)
+    assert found.columns == [*df.columns, "n"]
+    assert [r.n is None for r in found.orderBy("_lat").collect()] == [True] * 5 + [False]
+    celled = with_cell(df.withColumn("lat", F.lit(91.0)), EventConfig(cell_backend="h3"))
+    assert all(r.h3_index is None for r in celled.collect())
+    with pytest.raises(ValueError):
+        ico.with_cell_number(df, "n", F.col("lat"), F.col("lon"), 16)
+
+
 def test_missing_and_impossible_values(spark):
     df = spark.createDataFrame([(None, 1.0), (1.0, None), (float("nan"), 1.0), (91.0, 0.0)], "lat double, lon double")
     event = EventConfig(cell_backend="h3")
