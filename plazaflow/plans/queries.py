@@ -721,9 +721,11 @@ def lake_station_versions(spark, folder):
 
 @query
 def lake_jobs(spark, folder):
-    """Bronze tables written, then the silver and gold jobs, then the last table they build."""
+    """Bronze tables written, then the silver and gold jobs, then the last table they build.
+
+    The large tables are written by all cores: a bronze table of one file would be read again by one task."""
     lake, event = scratch_lake(spark, "jobs"), event_of(spark)
-    lake.append_bronze(data.station_status(spark, folder), "bronze_nextbike_status", "real")
+    lake.append_bronze(data.station_status(spark, folder, spread=True), "bronze_nextbike_status", "real")
     # The older version of every station first, so that the later commit must win.
     versions = data.station_information(spark, folder)
     for version in ("ingest_ts <= timestamp_seconds(0)", "ingest_ts > timestamp_seconds(0)"):
@@ -732,15 +734,15 @@ def lake_jobs(spark, folder):
             "bronze_nextbike_station_information",
             "real",
         )
-    lake.append_bronze(data.trip_updates(spark, folder), "bronze_gtfs_tripupdates", "real")
-    lake.append_bronze(data.features(spark, folder), "bronze_viz_disruptions", "real")
+    lake.append_bronze(data.trip_updates(spark, folder, spread=True), "bronze_gtfs_tripupdates", "real")
+    lake.append_bronze(data.features(spark, folder, spread=True), "bronze_viz_disruptions", "real")
     lake.append_bronze(
-        data.mentions(spark, folder).drop("source"), "bronze_csd_mentions", "synthetic"
+        data.mentions(spark, folder, spread=True).drop("source"), "bronze_csd_mentions", "synthetic"
     )
     for name, df in {
         "stops": data.stops(spark, folder),
-        "stop_times": data.stop_times(spark, folder),
-        "trips": data.trips(spark, folder),
+        "stop_times": data.stop_times(spark, folder, spread=True),
+        "trips": data.trips(spark, folder, spread=True),
         "routes": data.routes(spark, folder),
         "calendar": data.calendar(spark, folder, event),
         "calendar_dates": data.calendar_dates(spark, folder, event),

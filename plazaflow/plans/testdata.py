@@ -40,8 +40,10 @@ SCHEMAS = {
 }
 
 
-def load(spark: SparkSession, folder: str, table: str) -> DataFrame:
-    return spark.read.schema(SCHEMAS[table]).parquet(f"{folder}/{table}.parquet")
+def load(spark: SparkSession, folder: str, table: str, spread: bool = False) -> DataFrame:
+    """A table; `spread` over all cores, for a file that is one split but whose rows cost more than reading."""
+    rows = spark.read.schema(SCHEMAS[table]).parquet(f"{folder}/{table}.parquet")
+    return rows.repartition(4 * spark.sparkContext.defaultParallelism) if spread else rows
 
 
 def replayed(df: DataFrame) -> DataFrame:
@@ -64,10 +66,10 @@ def _text(c: str | Column) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
 
-def mentions(spark: SparkSession, folder: str) -> DataFrame:
+def mentions(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
     """events as landed mentions."""
     key = F.col("event_id")
-    return load(spark, folder, "events").select(
+    return load(spark, folder, "events", spread).select(
         F.concat(F.lit("men_"), padded(key, 6)).alias("mention_id"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("event_ts"),
         _lat(key).alias("lat"),
@@ -117,9 +119,9 @@ def _trip_update() -> Column:
     )
 
 
-def trip_updates(spark: SparkSession, folder: str) -> DataFrame:
+def trip_updates(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
     """events as real-time trip updates: 97 trips, 25 lines, hourly feeds."""
-    return load(spark, folder, "events").select(
+    return load(spark, folder, "events", spread).select(
         F.concat(F.lit("e"), _text("event_id")).alias("entity_id"),
         F.to_json(_trip_update()).alias("payload_json"),
         _text(_feed_seconds()).alias("feed_timestamp"),
@@ -138,9 +140,9 @@ def _station_status() -> Column:
     )
 
 
-def station_status(spark: SparkSession, folder: str) -> DataFrame:
+def station_status(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
     """events as bike-station readings per station and hour."""
-    return load(spark, folder, "events").select(
+    return load(spark, folder, "events", spread).select(
         _text("user_id").alias("station_id"),
         F.to_json(_station_status()).alias("payload_json"),
         F.lit("memory").alias("source_url"),
@@ -197,12 +199,12 @@ def wide_stops(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def stop_times(spark: SparkSession, folder: str) -> DataFrame:
+def stop_times(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
     """lineitem as scheduled passes; hours reach 29, some arrivals and some whole times missing."""
     hour = (F.col("l_partkey") + F.col("l_linenumber")) % 30
     time = F.concat(padded(hour, 2), F.lit(":"), padded(F.col("l_partkey") % 60, 2), F.lit(":00"))
     blank = F.lit("")
-    return load(spark, folder, "lineitem").select(
+    return load(spark, folder, "lineitem", spread).select(
         _text("l_orderkey").alias("trip_id"),
         _text("l_suppkey").alias("stop_id"),
         _text("l_linenumber").alias("stop_sequence"),
@@ -217,9 +219,9 @@ def _service() -> Column:
     )
 
 
-def trips(spark: SparkSession, folder: str) -> DataFrame:
+def trips(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
     """orders as trips on 30 lines, 5 of them unknown."""
-    return load(spark, folder, "orders").select(
+    return load(spark, folder, "orders", spread).select(
         _text("o_orderkey").alias("trip_id"),
         _text(F.col("o_custkey") % 30).alias("route_id"),
         _service().alias("service_id"),
@@ -323,9 +325,9 @@ def _feature_json() -> Column:
     )
 
 
-def features(spark: SparkSession, folder: str) -> DataFrame:
+def features(spark: SparkSession, folder: str, spread: bool = False) -> DataFrame:
     """orders as ingested disruption features."""
-    payload = load(spark, folder, "orders").select(_feature_json().alias("payload_json"))
+    payload = load(spark, folder, "orders", spread).select(_feature_json().alias("payload_json"))
     return payload.select(
         F.coalesce(F.get_json_object("payload_json", "$.properties.id"), F.lit("")).alias(
             "disruption_id"

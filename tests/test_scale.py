@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from frames import rows
 from plazaflow.operators import gold, profile, silver
+from plazaflow.plans import testdata
 from plazaflow.plans.queries import QUERIES
 from plazaflow.sources import timetable
 
@@ -232,3 +233,13 @@ def test_scans_read_only_the_columns_they_need(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     schemas = [line.split("ReadSchema: ")[1] for line in plan.splitlines() if "ReadSchema" in line]
     assert schemas and all(s.startswith("struct<o_custkey:bigint,o_orderpriority") for s in schemas)
+
+
+@pytest.mark.parametrize("table", ["mentions", "trip_updates", "station_status", "stop_times", "trips", "features"])
+def test_bronze_is_built_by_all_cores(spark, table):
+    """A file of one split is spread over tasks before its rows are built, so none builds and writes all."""
+    make = getattr(testdata, table)
+    found = make(spark, SMALL, spread=True)
+    sizes = found.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) > spark.sparkContext.defaultParallelism
+    assert sum(r["count"] for r in sizes) == make(spark, SMALL).count()
