@@ -10,7 +10,8 @@ could still swallow it. States are kept in a table of bounded size, which is beg
 
 Text is cut by the pattern that belongs to the ranks. Where a blank stands between two characters
 that are no white space, no match of it can reach across, so texts are first cut there and the
-stretches between, mostly words, are looked up in a bounded table of stretches already encoded.
+stretches between, mostly words, are looked up in a bounded table of stretches already encoded. Half of
+a full table is kept as the older one, and what is found there goes back: common words are not lost to rare ones.
 
 Decoding joins the bytes of tokens and passes them through an incremental UTF-8 machine, which
 holds back a character until its last byte has come and puts U+FFFD for ill-formed bytes.
@@ -27,7 +28,7 @@ import gc
 import hashlib
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -192,18 +193,24 @@ class Transducer:
         return array("i", out).tobytes()
 
 
-class _Stretches(dict):
-    """Ids of stretches of text, computed when first asked for."""
+class _Recent(dict):
+    """Ids of texts, computed when first asked for. Holds at most `most`: those asked for since half of
+    them were put in, and the half before."""
 
-    def __init__(self, encoder: Encoder, before: str):
-        self.encoder, self.before = encoder, before
+    def __init__(self, compute: Callable[[str], bytes], most: int):
+        self.compute, self.half = compute, most // 2
+        self.older: dict[str, bytes] = {}
 
-    def __missing__(self, stretch: str) -> bytes:
-        found = self.encoder.pieces(self.before + stretch)
-        if len(stretch) <= LONGEST_STRETCH:
-            if len(self) >= MAX_STRETCHES:
-                self.clear()
-            self[stretch] = found
+    def __missing__(self, text: str) -> bytes:
+        found = self.older.get(text)
+        if found is None:
+            found = self.compute(text)
+            if len(text) > LONGEST_STRETCH:
+                return found
+        if len(self) >= self.half:
+            self.older = dict(self)
+            self.clear()
+        self[text] = found
         return found
 
 
@@ -211,21 +218,16 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.transducer = Transducer(ranks)
         self.pattern = regex.compile(pattern)
-        self.first, self.later = _Stretches(self, ""), _Stretches(self, " ")
-        self.known: dict[str, bytes] = {}
-
-    def piece(self, piece: str) -> bytes:
-        found = self.known.get(piece)
-        if found is None:
-            found = self.transducer(piece.encode())
-            if len(piece) <= LONGEST_STRETCH:
-                if len(self.known) >= MAX_PIECES:
-                    self.known.clear()
-                self.known[piece] = found
-        return found
+        self.first = _Recent(self.pieces, MAX_STRETCHES)
+        self.later = _Recent(lambda stretch: self.pieces(" " + stretch), MAX_STRETCHES)
+        self.known = _Recent(lambda piece: self.transducer(piece.encode()), MAX_PIECES)
 
     def pieces(self, text: str) -> bytes:
-        return b"".join([self.piece(x) for x in self.pattern.findall(text)])
+        found = self.pattern.findall(text)
+        if len(found) == 1:  # its ids are kept as those of the stretch
+            piece = self.known.get(found[0])
+            return self.transducer(found[0].encode()) if piece is None else piece
+        return b"".join(map(self.known.__getitem__, found))
 
     def encode(self, text: str | None) -> bytes:
         """Ids as int32 bytes."""

@@ -138,3 +138,14 @@ def test_recount_with_a_table_of_edits(spark):
 def test_empty_tables(spark, nothing):
     assert QUERIES["op1_byte_bpe"](spark, nothing).count() == 0
     assert QUERIES["op6_edit_recount"](spark, nothing).count() == 0
+
+
+def test_a_full_table_keeps_its_recent_half():
+    """What was asked for lately is not computed again when rare texts fill the table."""
+    asked = []
+    table = bpe._Recent(lambda x: asked.append(x) or x.encode(), 10)
+    for i in range(100):
+        assert table["common"] == b"common" and table[f"rare {i}"] == f"rare {i}".encode()
+        assert len(table) + len(table.older) <= 10
+    assert asked.count("common") == 1
+    assert table["x" * 65] == b"x" * 65 and "x" * 65 not in table
