@@ -6,12 +6,15 @@ sequences: it walks the trie of tokens and may end a token wherever the pair wit
 is stable. It is made deterministic state by state, as bytes ask for it: a state is the set of
 guesses still alive, each with the tokens it has not yet agreed on with the others. What all guesses
 agree on is emitted, so a token leaves after a lookahead no longer than the longest token that
-could still swallow it. States are kept in a table of bounded size, which is begun anew when full.
+could still swallow it. States are kept in a table of bounded size, which is begun anew when full; they
+are packed to bytes and numbered, and a transition is one number from another, so that a table stays small.
 
 Text is cut by the pattern that belongs to the ranks. Where a blank stands between two characters
 that are no white space, no match of it can reach across, so texts are first cut there and the
 stretches between, mostly words, are looked up in a bounded table of stretches already encoded. Half of
 a full table is kept as the older one, and what is found there goes back: common words are not lost to rare ones.
+Of the pattern `WORDS` it is known that letters after a blank are one match, and marks after them another,
+so a stretch of that kind is not cut by the pattern again.
 
 Decoding joins the bytes of tokens and passes them through an incremental UTF-8 machine, which
 holds back a character until its last byte has come and puts U+FFFD for ill-formed bytes.
@@ -26,6 +29,7 @@ from __future__ import annotations
 import base64
 import gc
 import hashlib
+import marshal
 import re
 from array import array
 from collections.abc import Callable, Iterator
@@ -39,15 +43,25 @@ from pyspark.sql import DataFrame, SparkSession
 from plazaflow.llm.spans import left_over
 from plazaflow.llm.tables import with_text
 
-# Most transitions, stretches and pairs kept by one task.
+# Most transitions, stretches and pairs kept by one task; a task that does not pass its tables on has a share.
 MAX_TRANSITIONS = 500_000
 MAX_STRETCHES = 250_000
 MAX_PIECES = 250_000
 MAX_PAIRS = 400_000
+SHARE = 0.25
 LONGEST_STRETCH = 64
 
 BETWEEN_WORDS = re.compile(r"(?<=\S) (?=\S)")
 
+# A common pattern of byte-level vocabularies, and stretches of Latin letters and marks that it always cuts
+# alike: the letters with the blank before them, then the marks.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
+
+# A transition's number holds the next state in its lower bits and what is emitted in the others.
+STATE_BITS = 32
+STATE = (1 << STATE_BITS) - 1
+
 
 def read_ranks(path: str) -> dict[bytes, int]:
     with open(path, "rb") as lines:
@@ -69,8 +83,10 @@ def merged(piece: bytes, ranks: dict[bytes, int], until: int = 1) -> list[bytes]
 class Transducer:
     """Token ids of single pieces, as int32 bytes."""
 
-    def __init__(self, ranks: dict[bytes, int], max_transitions: int = MAX_TRANSITIONS):
-        self.ranks, self.max_transitions = ranks, max_transitions
+    def __init__(
+        self, ranks: dict[bytes, int], max_transitions: int = MAX_TRANSITIONS, max_pairs: int = MAX_PAIRS
+    ):
+        self.ranks, self.max_transitions, self.max_pairs = ranks, max_transitions, max_pairs
         self.bytes_of = {v: k for k, v in ranks.items()}
         # The trie: (node, byte) to node, the token that ends at a node, nodes that go on.
         self.edges: dict[int, int] = {}
@@ -94,14 +110,17 @@ class Transducer:
                     self.token_at.append(-1)
             self.token_at[node] = rank
         self.inner = {key >> 8 for key in self.edges}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self._begin()
 
     def _begin(self) -> None:
-        start = ((0, -1, ()),)
+        # Without references within it (version 2), a packed state is the same for the same guesses.
+        start = marshal.dumps(((0, -1, ()),), 2)
         self.states, self.numbers = [start], {start: 0}
-        self.ends: list[tuple[int, ...]] = [()]
-        self.moves: dict[int, int | tuple[int, tuple[int, ...]]] = {}
+        self.ends: list[bytes] = [b""]
+        self.emitted: dict[bytes, int] = {b"": 0}
+        self.emissions: list[bytes] = [b""]
+        self.moves: dict[int, int] = {}
 
     def stable(self, left: int, right: int) -> bool:
         """Whether merging the bytes of both gives just these two tokens.
@@ -110,11 +129,11 @@ class Transducer:
         the one made last is taken apart, and what then meets must not have merged before that.
         Of merges of one rank the left one comes first.
         """
-        pair = left, right
+        pair = left << 32 | right
         known = self.pairs.get(pair)
         if known is not None:
             return known
-        if len(self.pairs) >= MAX_PAIRS:
+        if len(self.pairs) >= self.max_pairs:
             self.pairs.clear()
         ranks, bytes_of, made, split = self.ranks, self.bytes_of, self.made, self.split
         before, known = len(ranks) + 256, True
@@ -132,11 +151,11 @@ class Transducer:
         self.pairs[pair] = known
         return known
 
-    def _move(self, state: int, byte: int) -> int | tuple[int, tuple[int, ...]]:
-        """The next state, together with the tokens emitted on the way to it if there are any."""
+    def _move(self, state: int, byte: int) -> int:
+        """The next state, and above it the number of the tokens emitted on the way to it."""
         alive, ended, stable = [], None, self.stable
         edges, inner, token_at = self.edges, self.inner, self.token_at
-        for node, last, pending in self.states[state]:
+        for node, last, pending in marshal.loads(self.states[state]):
             node = edges.get(node << 8 | byte)
             if node is None:
                 continue
@@ -164,12 +183,18 @@ class Transducer:
             after = tuple(alive)
         else:
             tokens, final, after = final, (), ((0, ended[1], ()),)
-        number = self.numbers.get(after)
+        packed = marshal.dumps(after, 2)
+        number = self.numbers.get(packed)
         if number is None:
-            number = self.numbers[after] = len(self.states)
-            self.states.append(after)
-            self.ends.append(final)
-        move = self.moves[state << 8 | byte] = (number, tokens) if tokens else number
+            number = self.numbers[packed] = len(self.states)
+            self.states.append(packed)
+            self.ends.append(array("i", final).tobytes())
+        said = array("i", tokens).tobytes()
+        emission = self.emitted.get(said)
+        if emission is None:
+            emission = self.emitted[said] = len(self.emissions)
+            self.emissions.append(said)
+        move = self.moves[state << 8 | byte] = number | emission << STATE_BITS
         return move
 
     def __call__(self, piece: bytes) -> bytes:
@@ -178,19 +203,17 @@ class Transducer:
             return whole.to_bytes(4, "little")
         if len(self.moves) > self.max_transitions:
             self._begin()
-        out: list[int] = []
-        state, moves = 0, self.moves
+        out, state, move_of, emissions = b"", 0, self.moves.get, self.emissions
         for byte in piece:
-            state_or_both = moves.get(state << 8 | byte)
-            if state_or_both is None:
-                state_or_both = self._move(state, byte)
-            if type(state_or_both) is int:
-                state = state_or_both
+            move = move_of(state << 8 | byte)
+            if move is None:
+                move = self._move(state, byte)
+            if move > STATE:
+                out += emissions[move >> STATE_BITS]
+                state = move & STATE
             else:
-                state, tokens = state_or_both
-                out += tokens
-        out += self.ends[state]
-        return array("i", out).tobytes()
+                state = move
+        return out + self.ends[state]
 
 
 class _Recent(dict):
@@ -215,12 +238,16 @@ class _Recent(dict):
 
 
 class Encoder:
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.transducer = Transducer(ranks)
+    def __init__(self, ranks: dict[bytes, int], pattern: str, share: float = 1.0):
+        """Tables are of the largest size times `share`."""
+        transitions, stretches, pieces, pairs = (
+            int(most * share) for most in (MAX_TRANSITIONS, MAX_STRETCHES, MAX_PIECES, MAX_PAIRS)
+        )
+        self.transducer = Transducer(ranks, transitions, pairs)
         self.pattern = regex.compile(pattern)
-        self.first = _Recent(self.pieces, MAX_STRETCHES)
-        self.later = _Recent(lambda stretch: self.pieces(" " + stretch), MAX_STRETCHES)
-        self.known = _Recent(lambda piece: self.transducer(piece.encode()), MAX_PIECES)
+        self.first = _Recent(self.pieces, stretches)
+        self.later = _Recent(self.after_blank if pattern == WORDS else self.after_any, stretches)
+        self.known = _Recent(lambda piece: self.transducer(piece.encode()), pieces)
 
     def pieces(self, text: str) -> bytes:
         found = self.pattern.findall(text)
@@ -229,6 +256,18 @@ class Encoder:
             return self.transducer(found[0].encode()) if piece is None else piece
         return b"".join(map(self.known.__getitem__, found))
 
+    def after_any(self, stretch: str) -> bytes:
+        return self.pieces(" " + stretch)
+
+    def after_blank(self, stretch: str) -> bytes:
+        plain = PLAIN.fullmatch(stretch)
+        if not plain:
+            return self.after_any(stretch)
+        word, marks = plain.groups()
+        if marks:
+            return self.later[word] + self.known[marks]
+        return self.transducer(b" " + word.encode())
+
     def encode(self, text: str | None) -> bytes:
         """Ids as int32 bytes."""
         if not text:
@@ -312,13 +351,13 @@ def encode(
 
     A worker keeps its tables for its next task, which saves a third of the time. Where other
     operators ran before, more workers than run at once may come to hold tables in turn; without
-    `keep_tables` each task begins with empty ones and drops them at its end."""
+    `keep_tables` each task begins with empty ones, of a `SHARE` of the size, and drops them at its end."""
     docs = docs.drop(ids_col, *([decoded_col] if decoded_col else []))
     kept, (given, text) = docs.columns, with_text(docs, text_col)
     shared, name = share_ranks(docs.sparkSession, ranks_path, pattern)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(shared, pattern, name) if keep_tables else Encoder(shared.value, pattern)
+        encoder = encoder_of(shared, pattern, name) if keep_tables else Encoder(shared.value, pattern, SHARE)
         tokens = encoder.transducer.bytes_of
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index(text))

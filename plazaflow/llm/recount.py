@@ -41,8 +41,12 @@ def leaves_of(text: str, encoder: Encoder) -> tuple[list[int], list[int]]:
     if not text:
         return [], []
     first, *later = BETWEEN_WORDS.split(text)
-    tokens = np.array([len(encoder.first[first]), *map(len, map(encoder.later.__getitem__, later))])
-    chars = np.array([len(first), *map(len, later)])
+    tokens = np.empty(len(later) + 1, np.int64)
+    tokens[0] = len(encoder.first[first])
+    tokens[1:] = np.fromiter(map(len, map(encoder.later.__getitem__, later)), np.int64, len(later))
+    chars = np.empty(len(later) + 1, np.int64)
+    chars[0] = len(first)
+    chars[1:] = np.fromiter(map(len, later), np.int64, len(later))
     chars[1:] += 1
     before = np.cumsum(chars) - chars
     starts = np.flatnonzero(np.diff(before // LEAF_CHARS, prepend=-1))

@@ -149,3 +149,27 @@ def test_a_full_table_keeps_its_recent_half():
         assert len(table) + len(table.older) <= 10
     assert asked.count("common") == 1
     assert table["x" * 65] == b"x" * 65 and "x" * 65 not in table
+
+
+def test_plain_words_are_cut_as_the_pattern_cuts_them(encoder):
+    rnd = random.Random(11)
+    letters = "abcxyzABZÀÖØöøÿéßªµ×÷ſ"
+    for _ in range(2000):
+        words = ["".join(rnd.choice(letters) for _ in range(rnd.randint(1, 9))) + rnd.choice(["", ",", "?!", "..", "'s"]) for _ in range(4)]
+        text = " ".join(words)
+        assert ids(encoder.encode(text)) == REFERENCE.encode_ordinary(text), repr(text)
+
+
+def test_a_table_is_packed_and_a_share_of_it_gives_the_same_ids(monkeypatch):
+    """States are bytes and transitions numbers; with a share of the table it is bounded by that share."""
+    monkeypatch.setattr(bpe, "MAX_TRANSITIONS", 400)
+    monkeypatch.setattr(bpe, "MAX_STRETCHES", 40)
+    small = bpe.Encoder(RANK_TABLE, public_tokenizers.PATTERN, share=0.25)
+    rnd = random.Random(13)
+    for _ in range(60):
+        text = " ".join("".join(rnd.choice("aeilnorstu") for _ in range(7)) for _ in range(5))
+        assert ids(small.encode(text)) == REFERENCE.encode_ordinary(text)
+        assert len(small.later) + len(small.later.older) <= 10
+        assert len(small.transducer.moves) <= 100 + 10
+    assert all(type(x) is bytes for x in small.transducer.states)
+    assert all(type(x) is int for x in small.transducer.moves.values())
