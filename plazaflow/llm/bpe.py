@@ -44,11 +44,11 @@ from plazaflow.llm.spans import left_over
 from plazaflow.llm.tables import with_text
 
 # Most transitions, stretches and pairs kept by one task; a task that does not pass its tables on has a share.
-MAX_TRANSITIONS = 500_000
-MAX_STRETCHES = 250_000
-MAX_PIECES = 250_000
-MAX_PAIRS = 400_000
-SHARE = 0.25
+MAX_TRANSITIONS = 1_000_000
+MAX_STRETCHES = 500_000
+MAX_PIECES = 500_000
+MAX_PAIRS = 800_000
+SHARE = 0.125
 LONGEST_STRETCH = 64
 
 BETWEEN_WORDS = re.compile(r"(?<=\S) (?=\S)")
