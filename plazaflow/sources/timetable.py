@@ -142,9 +142,13 @@ def referenced(df: DataFrame, by: DataFrame, key: str, keys: int = 0) -> DataFra
     The keys are made distinct first, before the shuffle on every task, so a key holding a large
     share of `by` travels once per task; a key holding a large share of `df` is split by AQE.
     Where `by` is known to have many `keys`, rows of `df` pass a filter of them before they are shuffled.
+    These keys are not broadcast: packed in a file they look small, but a task's table of them grows with
+    the timetable. Both sides are sorted, which spills.
     """
-    near = perhaps_in(df, key, keys, by) if keys >= FILTERED_FROM else df
-    return near.join(distinct_join_keys(by, key), key, "left_semi").select(*df.columns)
+    wanted = distinct_join_keys(by, key)
+    if keys >= FILTERED_FROM:
+        df, wanted = perhaps_in(df, key, keys, by), wanted.hint("merge")
+    return df.join(wanted, key, "left_semi").select(*df.columns)
 
 
 def cut_to_area(tables: Mapping[str, DataFrame], event: EventConfig) -> dict[str, DataFrame]:

@@ -89,3 +89,15 @@ def test_sketches_add_up(spark):
     exact = mentions.groupBy("hour_of_day").agg(F.count_distinct("user_hash").alias("n"))
     for r in gold.people_over(sketches, "hour_of_day").join(exact, "hour_of_day").collect():
         assert abs(r.num_people - r.n) <= 4 * gold.SKETCH_ERROR * r.n + 1
+
+
+def test_many_keys_are_sorted_not_broadcast(spark, monkeypatch):
+    """Keys that look small to the planner are not held whole by a task once they are known to be many."""
+    monkeypatch.setattr(timetable, "FILTERED_FROM", 100)
+    times = spark.range(5000).select((F.col("id") % 900).cast("string").alias("k"), "id")
+    keys = spark.range(0, 900, 3).select(F.col("id").cast("string").alias("k"))
+    found = timetable.referenced(times, keys, "k", 300)
+    assert found.count() == times.where("cast(k as int) % 3 = 0").count()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "LeftSemi" in line]
+    assert joins and all("SortMergeJoin" in line for line in joins)
