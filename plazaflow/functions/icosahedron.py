@@ -524,7 +524,10 @@ def _in_steps(df: DataFrame, steps: list[Step], column: str) -> DataFrame:
     own, as Spark computes once what a later projection uses more than once.
 
     Spark compiles neighbouring projections into one method, and Java runs large methods uncompiled. A coalescing to
-    more partitions than there are leaves all rows where they are, but ends the method."""
+    more partitions than there are leaves all rows where they are, but ends the method.
+
+    The last value comes out of a generator with one row for each: a condition on it stays above. Spark would
+    move it below all steps and write each value out in place of its name, the whole plan many times over."""
     prefix = "_"
     while any(c.startswith(prefix) for c in df.columns):
         prefix += "_"
@@ -536,7 +539,8 @@ def _in_steps(df: DataFrame, steps: list[Step], column: str) -> DataFrame:
             df = df.coalesce(MANY_PARTITIONS)
         scope |= {name: F.col(prefix + name) for name in new}
     (value,) = steps[-1](scope).values()
-    return df.withColumn(column, value).drop(*(prefix + name for name in scope))
+    df = df.select("*", F.explode(F.array(value)).alias(f"{prefix}result"))
+    return df.withColumn(column, F.col(f"{prefix}result")).drop(f"{prefix}result", *(prefix + name for name in scope))
 
 
 def _cell_steps(lat: Column, lon: Column, resolution: int) -> list[Step]:

@@ -128,3 +128,20 @@ def test_backend_of_the_event(spark):
     assert "Python" not in celled._jdf.queryExecution().toString()
     back = with_cell_center(celled.select("h3_index"), event)
     assert sorted(r[2] for r in rows(with_cell(back.select("lat", "lon", F.col("h3_index").alias("was")), event))) == sorted([a, b, c])
+
+
+def test_a_condition_on_the_last_value_stays_above_the_steps(spark):
+    """Moved below them, it would hold every step's value in place of its name, and again in theirs."""
+    steps = [lambda s: {"v0": F.col("id")}]
+    steps += [lambda s, i=i: {f"v{i}": F.greatest(s[f"v{i - 1}"], 1 - s[f"v{i - 1}"])} for i in range(1, 10)]
+    kept = ico._in_steps(spark.range(5), steps, "last").where("last > 2")
+    assert len(kept._jdf.queryExecution().optimizedPlan().toString()) < 5000
+    assert sorted(r.id for r in kept.collect()) == [3, 4]
+
+
+def test_conditions_on_cells_and_centres(spark):
+    event = EventConfig(cell_backend="h3", h3_resolution=8)
+    df = spark.createDataFrame([(52.5, 13.4), (None, 13.4), (91.0, 0.0)], "lat double, lon double")
+    kept = with_cell(df, event).where(F.col("h3_index").isNotNull())
+    assert [r.lat for r in kept.collect()] == [52.5]
+    assert with_cell_center(kept.select("h3_index"), event).where("lat > 0").count() == 1
