@@ -24,7 +24,7 @@ from plazaflow.plans import jobs, upkeep
 from plazaflow.plans import testdata as data
 from plazaflow.sources import feeds, timetable
 from plazaflow.sources.contracts import BY_NAME, DISRUPTION_JSON, MENTIONS
-from plazaflow.sources.lake import Lake, with_provenance
+from plazaflow.sources.lake import RELEASED, Lake, configured, with_provenance
 from plazaflow.sources.mentions import mentions_for
 from plazaflow.streaming.mentions import (
     REASON,
@@ -753,9 +753,15 @@ def lake_jobs(spark, folder):
     return lake.read("gold", "gold_mobility_vs_activity")
 
 
-def _landed(documents: DataFrame, path: str) -> None:
+# Landed files are compressed, as JSON and CSV texts take many times the room of the tables they come from. One task
+# reads such a file whole, so it ends after this many rows.
+LANDED = {"compression": "gzip", "maxRecordsPerFile": 1_000_000}
+
+
+def _landed(documents: DataFrame, path: str, **options) -> None:
     """Every document, in files that are sequences of them."""
-    documents.select(F.col("document").alias("value")).write.mode("append").text(path, lineSep=feeds.BETWEEN)
+    texts = documents.select(F.col("document").alias("value")).write.mode("append")
+    texts.options(**options).text(path, lineSep=feeds.BETWEEN)
 
 
 @query
@@ -763,14 +769,15 @@ def landed_to_gold(spark, folder):
     """Documents and timetable files landed, all stages run over them; rows by table."""
     lake, files = scratch_lake(spark, "landed"), scratch_dir(spark, "timetable")
     event = event_of(spark)
-    _landed(data.update_documents(spark, folder), lake.landing("gtfs_rt"))
-    _landed(data.station_documents(spark, folder), lake.landing("gbfs_status"))
-    _landed(data.information_documents(spark, folder), lake.landing("gbfs_information"))
-    _landed(data.feature_documents(spark, folder), lake.landing("viz"))
-    mentions = data.mentions(spark, folder).select(*MENTIONS.fieldNames())
-    mentions.write.json(lake.landing("mentions"))
-    for name, df in (_timetable(spark, folder) | {"stops": data.stops(spark, folder)}).items():
-        df.write.option("header", True).csv(f"{files}/{name}.txt")
+    with configured(spark, RELEASED):
+        _landed(data.update_documents(spark, folder), lake.landing("gtfs_rt"), **LANDED)
+        _landed(data.station_documents(spark, folder), lake.landing("gbfs_status"), **LANDED)
+        _landed(data.information_documents(spark, folder), lake.landing("gbfs_information"), **LANDED)
+        _landed(data.feature_documents(spark, folder), lake.landing("viz"), **LANDED)
+        mentions = data.mentions(spark, folder).select(*MENTIONS.fieldNames())
+        mentions.write.options(**LANDED).json(lake.landing("mentions"))
+        for name, df in (_timetable(spark, folder) | {"stops": data.stops(spark, folder)}).items():
+            df.write.options(**LANDED).option("header", True).csv(f"{files}/{name}.txt")
     few = forecast.ForestSettings(trees=5, depth=4)
     runs = jobs.run_all(lake, event, files, batches=0, settings=few)
     failed = [t for stage in runs.values() for t, n in stage.items() if n == jobs.FAILED]

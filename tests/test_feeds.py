@@ -6,6 +6,7 @@ import pytest
 from frames import rows
 from pyspark.sql import functions as F
 
+from plazaflow.plans import queries
 from plazaflow.plans.queries import _landed
 from plazaflow.sources import feeds
 
@@ -108,3 +109,14 @@ def test_an_empty_feed_writes_nothing(spark, lake):
     assert feeds.ingest_feed(lake, "viz") == 0
     assert not lake.exists("bronze", "bronze_viz_disruptions")
     assert lake.commits().count() == 0
+
+
+def test_landed_documents_are_packed_and_read_back_whole(spark, tmp_path):
+    elements = F.repeat(F.lit('{"a":\n1},'), 50)
+    docs = spark.range(0, 1000, 1, 1).select(F.concat(F.lit('{"features":['), elements, F.col("id"), F.lit("]}")).alias("document"))
+    _landed(docs, str(tmp_path / "landed"), **queries.LANDED | {"maxRecordsPerFile": 300})
+    files = list((tmp_path / "landed").glob("part-*"))
+    text = docs.agg(F.sum(F.octet_length("document"))).first()[0]
+    assert len(files) >= 4 and sum(f.stat().st_size for f in files) < text / 4
+    found = feeds.read_documents(spark, str(tmp_path / "landed")).select("document")
+    assert found.count() == 1000 and found.exceptAll(docs).isEmpty()

@@ -1,4 +1,5 @@
 import datetime as dt
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -127,3 +128,23 @@ def test_views(spark, lake):
     lake.replace(numbers(spark, 4), "gold", "some_view")
     lake.register_views("gold", "some_view")
     assert spark.sql("SELECT max(n) FROM some_view").head()[0] == 3
+
+
+def test_rebuilt_tables_are_packed_and_leave_no_shuffled_rows(spark, lake):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        names = (disk.getAllFiles().apply(i).getName() for i in range(disk.getAllFiles().size()))
+        return {n for n in names if n.startswith("shuffle_")}
+
+    before = shuffled()
+    rows = spark.range(20_000).repartition(3).select("id", F.lit("the same text").alias("t"))
+    assert lake.replace(rows, "silver", "packed") == 20_000
+    assert all(f.endswith(".zstd.parquet") for f in lake.read("silver", "packed").inputFiles())
+    for _ in range(50):
+        if not shuffled() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffled() - before
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    assert spark.conf.get(key) == "false"
